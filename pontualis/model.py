@@ -49,7 +49,7 @@ AIRLINE_HEADERS = {
 
 # -- fixed values: operation codes (domain, code, description) -----------------------
 
-OPERATION_CODES_DDL = "dominio string, codigo string, descricao string"
+OPERATION_CODE_COLUMNS = ("dominio", "codigo", "descricao")
 OPERATION_CODES = [
     ("codigo_di", "0", "Etapa Regular"),
     ("codigo_di", "2", "Etapa Extra"),

@@ -4,21 +4,35 @@ None of these joins carries a broadcast hint.  Registries come from tables or fi
 Spark knows their size and broadcasts them only below
 ``spark.sql.autoBroadcastJoinThreshold``; a registry beyond it is sort-merge joined, and
 AQE splits the fact side's oversized partitions (a hot carrier, or all rows without a
-code).  The build side is always reduced to one row per key first, so a lookup can
-neither add nor drop fact rows, and AQE may split the fact side freely.
+code).  The build side is reduced to one row per key first, so a lookup can neither add
+nor drop fact rows.
+
+AQE splits only a join whose two inputs both come straight from a shuffle.  A build side
+grouped by the join key alone would keep that partitioning, skip the shuffle and rule the
+split out, hence the extra grouping column of :func:`unjoined_grouping`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pontualis.functions.text import is_filled
 
 
+def unjoined_grouping(*keys: str) -> Column:
+    """A grouping column that depends on ``keys`` alone: same groups, other partitioning."""
+    return F.hash(*keys).alias("key_hash")
+
+
+def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """Distinct values of ``keys``, ready to be the build side of a join on them."""
+    return df.select(*keys, unjoined_grouping(*keys)).distinct().select(*keys)
+
+
 def clean_keys(dim: DataFrame, key: str) -> DataFrame:
     """Distinct non-blank keys."""
-    return dim.filter(is_filled(F.col(key))).select(key).distinct()
+    return distinct_keys(dim.filter(is_filled(F.col(key))), key)
 
 
 def one_row_per_key(dim: DataFrame, key: str) -> DataFrame:
@@ -28,8 +42,8 @@ def one_row_per_key(dim: DataFrame, key: str) -> DataFrame:
     row keeps the choice independent of row order.
     """
     values = [c for c in dim.columns if c != key]
-    smallest = F.min(F.struct(*values)).alias("row")
-    return dim.filter(is_filled(F.col(key))).groupBy(key).agg(smallest).select(key, "row.*")
+    groups = dim.filter(is_filled(F.col(key))).groupBy(key, unjoined_grouping(key))
+    return groups.agg(F.min(F.struct(*values)).alias("row")).select(key, "row.*")
 
 
 def flag_membership(df: DataFrame, key: str, dim: DataFrame, dim_key: str, out: str) -> DataFrame:

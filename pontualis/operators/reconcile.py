@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pontualis.model import INSTANTS, NO_INSTANT, NO_REASON, PAIR_KEYS
+from pontualis.operators.joins import distinct_keys
 from pontualis.operators.profile import layer_counts
 from pontualis.operators.rows import union_all
 
@@ -158,7 +159,7 @@ def side_by_side(raw: DataFrame, typed: DataFrame, keys: Sequence[str] = PAIR_KE
     def first(df: DataFrame, *order: str) -> DataFrame:
         return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
 
-    partners = raw.select(*keys).distinct()
+    partners = distinct_keys(raw, *keys)
     chosen = first(typed.join(partners, list(keys), "left_semi"), _SCHEDULED, tie)
     shown = (*INSTANTS, "codigo_justificativa")
     typed_side = chosen.select(

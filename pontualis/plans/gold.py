@@ -107,15 +107,19 @@ def country(code: Column, prefixes: Sequence[str] = model.BRAZIL_PREFIXES) -> Co
     return F.when(at_home, model.BRAZIL).when(~at_home, model.ABROAD)
 
 
-def build_fact(silver: DataFrame, carriers: DataFrame, codes: DataFrame, *,
-               threshold: int = 15, low: int = -120, high: int = 1440) -> DataFrame:
-    """One row per leg: silver less exact copies, with the business rules applied."""
-    fact = delay_metrics(split_instants(without_copies(silver), ["partida_prevista"]))
-    fact = with_punctuality(null_out_of_range(fact, low, high), threshold)
-    fact = with_status_flags(with_scope(with_calendar(fact)))
-    fact = with_carrier(with_code_texts(fact, codes), carriers)
-    route = F.concat_ws(" - ", "icao_origem", "icao_destino")
-    return stamp(fact.withColumn("rota", route), model.PROCESSED_AT).select(*model.FACT_COLUMNS)
+def rated_legs(silver: DataFrame, *, threshold: int = 15, low: int = -120,
+               high: int = 1440) -> DataFrame:
+    """One row per leg: silver less exact copies, with every rule that needs no lookup."""
+    legs = delay_metrics(split_instants(without_copies(silver), ["partida_prevista"]))
+    legs = with_punctuality(null_out_of_range(legs, low, high), threshold)
+    legs = with_status_flags(with_scope(with_calendar(legs)))
+    return legs.withColumn("rota", F.concat_ws(" - ", "icao_origem", "icao_destino"))
+
+
+def build_fact(silver: DataFrame, carriers: DataFrame, codes: DataFrame, **rules) -> DataFrame:
+    """The fact: :func:`rated_legs` (whose ``rules`` it takes), carriers and codes named."""
+    named = with_carrier(with_code_texts(rated_legs(silver, **rules), codes), carriers)
+    return stamp(named, model.PROCESSED_AT).select(*model.FACT_COLUMNS)
 
 
 def build_dim(flights: DataFrame, airports: DataFrame,

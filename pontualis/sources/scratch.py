@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import tempfile
 
@@ -11,6 +12,11 @@ _SETTING = "spark.checkpoint.dir"
 _serial = itertools.count()
 
 
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"pontualis-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names; a temporary one only for a local session without it."""
     folder = spark.conf.get(_SETTING, None)
@@ -18,9 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="pontualis-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -1,0 +1,150 @@
+"""The data contract under three-valued logic."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from pontualis import model
+from pontualis.operators import contract, joins
+from tests.plans import adapted, executed, settings
+from workload import flights as w
+
+SCHEMA = ("partida_prevista timestamp_ntz, chegada_prevista timestamp_ntz, "
+          "partida_real timestamp_ntz, chegada_real timestamp_ntz, situacao_voo string, "
+          "atraso_partida_min int, atraso_chegada_min int, empresa_no_cadastro boolean, "
+          "origem_no_cadastro boolean, destino_no_cadastro boolean")
+GOOD = {
+    "partida_prevista": datetime(2026, 1, 1, 10), "chegada_prevista": datetime(2026, 1, 1, 11),
+    "partida_real": datetime(2026, 1, 1, 10), "chegada_real": datetime(2026, 1, 1, 11),
+    "situacao_voo": "REALIZADO", "atraso_partida_min": 0, "atraso_chegada_min": 0,
+    "empresa_no_cadastro": True, "origem_no_cadastro": True, "destino_no_cadastro": True,
+}
+
+
+def reasons(spark, **changes):
+    df = spark.createDataFrame([tuple({**GOOD, **changes}.values())], SCHEMA)
+    found = contract.quarantine(df, contract.flight_rules()).collect()
+    return found[0].motivos_quarentena.split(" | ") if found else []
+
+
+@pytest.fixture(scope="module")
+def marked(spark, small):
+    return contract.flag_references(
+        w.flights(spark, small), w.airports(spark, small), w.carriers(spark, small))
+
+
+@pytest.mark.parametrize("changes, rules", [
+    ({}, []),
+    ({"situacao_voo": None}, ["situacao_voo_conhecida"]),
+    ({"situacao_voo": "OUTRO"}, ["situacao_voo_conhecida"]),
+    ({"situacao_voo": "CANCELADO", "partida_real": None, "chegada_real": None,
+      "atraso_partida_min": None, "atraso_chegada_min": None}, []),
+    ({"partida_prevista": None}, ["horarios_previstos_presentes"]),
+    ({"chegada_prevista": GOOD["partida_prevista"]},
+     ["chegada_prevista_depois_da_partida_prevista"]),
+    ({"chegada_real": datetime(2026, 1, 1, 9)}, ["chegada_real_depois_da_partida_real"]),
+    ({"atraso_partida_min": -121}, ["atraso_partida_plausivel"]),
+    ({"atraso_partida_min": -120}, []),
+    ({"atraso_partida_min": 1440}, []),
+    ({"atraso_chegada_min": 1441}, ["atraso_chegada_plausivel"]),
+    ({"atraso_chegada_min": -121}, ["atraso_chegada_plausivel"]),
+    ({"empresa_no_cadastro": False, "destino_no_cadastro": None},
+     ["empresa_no_cadastro_anac", "aeroporto_destino_no_cadastro_anac"]),
+    ({"origem_no_cadastro": False}, ["aeroporto_origem_no_cadastro_anac"]),
+])
+def test_each_rule(spark, changes, rules):
+    assert reasons(spark, **changes) == rules
+
+
+def test_metrics(marked):
+    failed = {r.regra: r.reprovados
+              for r in contract.rule_metrics(marked, contract.flight_rules()).collect()}
+    assert list(failed.values()) == [100, 527, 32, 53, 75, 17, 2028, 1616, 1071]
+
+
+def test_quarantine_has_one_reason_per_failed_rule(marked):
+    rules = contract.flight_rules()
+    failing = contract.quarantine(marked, rules)
+    total = F.sum(F.size(F.split("motivos_quarentena", r" \| ")))
+    assert failing.count() == 4453
+    assert failing.agg(total).first()[0] == 5519
+    assert contract.rule_metrics(marked, rules).agg(F.sum("reprovados")).first()[0] == 5519
+
+
+def test_plain_negation_would_lose_rows_of_unknown_status(marked):
+    rules = contract.flight_rules()
+    together = rules[0].predicate
+    for rule in rules[1:]:
+        together = together & rule.predicate
+    assert marked.filter(~together).count() == 4391
+
+
+def test_flags_keep_the_row_count_and_are_never_null(spark, marked):
+    assert marked.count() == 10000
+    flags = [c for c in marked.columns if c.endswith("_no_cadastro")]
+    assert len(flags) == 3
+    assert marked.filter(" OR ".join(f"{c} IS NULL" for c in flags)).count() == 0
+
+
+def test_audit_keeps_every_row(marked):
+    audited, metrics = contract.audit(marked, contract.flight_rules())
+    assert audited.count() == 10000 and metrics.count() == 9
+
+
+def test_live_counts(marked):
+    seen = Observation()
+    rows = contract.with_rule_metrics(marked, contract.flight_rules(), seen)
+    assert rows.count() == 10000
+    assert seen.get["linhas"] == 10000 and seen.get["situacao_voo_conhecida"] == 527
+
+
+def test_small_registries_are_broadcast_and_shared(marked):
+    plan = adapted(marked.select("event_id", "origem_no_cadastro", "destino_no_cadastro",
+                                 "empresa_no_cadastro"))
+    assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
+    assert "ReusedExchange" in plan
+
+
+def test_large_registry_with_a_hot_key_is_split(spark):
+    """A third of the rows on one key, a third without a key, and no broadcast allowed."""
+    n = 60000
+    key = (F.when(F.col("id") % 3 == 0, "HOT")
+           .when(F.col("id") % 3 == 1, F.concat(F.lit("k"), (F.col("id") % 1000).cast("string"))))
+    fact = spark.range(0, n, 1, 8).select("id", key.alias("k"))
+    dim = spark.range(0, 500, 1, 4).select(
+        F.when(F.col("id") == 0, "HOT").otherwise(F.concat(F.lit("k"), "id")).alias("icao"))
+    dim = dim.union(dim)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1",
+                  spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10000",
+                  spark__sql__adaptive__advisoryPartitionSizeInBytes="20000"):
+        flagged = joins.flag_membership(fact, "k", dim, "icao", "known")
+        assert "SortMergeJoin(skew=true)" in adapted(flagged)
+        named = dim.withColumn("texto", F.concat(F.lit("nome "), "icao"))
+        looked_up = fact.join(joins.one_row_per_key(named, "icao"),
+                              F.col("k") == F.col("icao"), "left")
+        assert "SortMergeJoin(skew=true)" in adapted(looked_up)
+        got = flagged.groupBy("known").count().collect()
+        assert looked_up.count() == n
+    wanted = sum(1 for i in range(n) if i % 3 == 0 or (i % 3 == 1 and 0 < i % 1000 < 500))
+    assert {r.known: r["count"] for r in got} == {True: wanted, False: n - wanted}
+
+
+def test_code_table_is_a_local_relation(spark, small):
+    flights = w.flights(spark, small)
+    plan = executed(joins.describe_code(flights, "codigo_di", w.codes(spark), "codigo_di", "d"))
+    assert "BroadcastHashJoin" in plan and "ExistingRDD" not in plan
+
+
+def test_lookup_never_fans_out(spark):
+    dim = spark.createDataFrame([("A", "z"), ("A", "b"), ("", "c"), (None, "d")],
+                                "icao string, nome string")
+    assert joins.one_row_per_key(dim, "icao").collect() == [("A", "b")]
+    fact = spark.createDataFrame([("A",), ("",), (None,)], "k string")
+    flagged = joins.flag_membership(fact, "k", dim, "icao", "f")
+    assert {r.k: r.f for r in flagged.collect()} == {"A": True, "": False, None: False}
+
+
+def test_rule_names_match_the_contract():
+    assert model.FLOWN == "REALIZADO" and model.CANCELLED == "CANCELADO"

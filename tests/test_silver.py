@@ -1,0 +1,113 @@
+"""Typing, clock arithmetic and the laws of the silver layer."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from pontualis import model
+from pontualis.functions import clock, text
+from pontualis.operators import profile, reconcile, rows
+from pontualis.plans import silver
+from tests.plans import executed
+from workload import flights as w
+
+
+def instants(spark, *texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    return [r[0] for r in df.select(clock.parse_instant(
+        text.without_marker(F.col("t"), model.NO_INSTANT))).collect()]
+
+
+def test_instants_of_every_spelling(spark):
+    assert instants(
+        spark, "2026-01-27 19:45:00", "2026-01-27 19:45:00.123456",
+        "2026-01-27 19:45:00.123456789", "2026-01-27", "null", "", "lixo", "27/01/2026 10:00",
+    ) == [datetime(2026, 1, 27, 19, 45), datetime(2026, 1, 27, 19, 45, 0, 123456),
+          datetime(2026, 1, 27, 19, 45, 0, 123456), datetime(2026, 1, 27), *[None] * 4]
+
+
+@pytest.mark.parametrize("seconds, minutes", [
+    (30, 0), (-30, 0), (-90, -1), (60, 1), (-60, -1), (59, 0), (119, 1), (86400, 1440)])
+def test_minutes_are_truncated_toward_zero(spark, seconds, minutes):
+    start = F.lit(datetime(2026, 1, 1)).cast("timestamp_ntz")
+    end = start + F.expr(f"INTERVAL '{seconds}' SECOND")
+    assert spark.range(1).select(clock.minutes_between(start, end)).first()[0] == minutes
+
+
+def test_clock_does_not_depend_on_the_session_zone(spark):
+    """02:30 does not exist in New York on that night; here it is just a wall clock."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 01:59:30' a, "
+                       "TIMESTAMP_NTZ'2024-03-10 02:30:00' b")
+        got = df.select(clock.minutes_between(F.col("a"), F.col("b")),
+                        clock.clock_text(F.col("b")), F.col("b").cast("date")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert tuple(got) == (30, "02:30", date(2024, 3, 10))
+
+
+def test_absurd_years_do_not_stop_the_job(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'0001-01-01' a, TIMESTAMP_NTZ'9999-12-31' b")
+    assert df.select(clock.minutes_between(F.col("a"), F.col("b"))).first()[0] is None
+
+
+def test_weekday_names(spark):
+    df = spark.sql("SELECT explode(array(DATE'2026-01-25', DATE'2026-01-31', NULL)) d")
+    names = df.select(clock.weekday_name(F.col("d"), model.WEEKDAYS)).collect()
+    assert [r[0] for r in names] == ["domingo", "sabado", None]
+
+
+def test_decimal_comma(spark):
+    df = spark.createDataFrame([("193,0",), ("7",), ("n/d",), (None,)], "a string")
+    assert [r[0] for r in df.select(text.decimal_comma(F.col("a"))).collect()] == [
+        193.0, 7.0, None, None]
+
+
+def test_silver_has_26_columns_and_no_shuffle(spark, small):
+    bronze = rows.stamp(w.raw_flights(spark, small).drop("event_id"), model.INGESTED_AT)
+    assert len(bronze.columns) == 14
+    typed = silver.silver_flights(bronze)
+    assert len(typed.columns) == 26
+    plan = executed(typed)
+    assert "Exchange" not in plan and "Filter (" not in plan
+
+
+def test_silver_counts(spark, small):
+    flights = w.flights(spark, small)
+    got = flights.agg(
+        F.count("partida_prevista"), F.count("partida_real"), F.count("atraso_partida_min"),
+        F.sum("atraso_partida_min"), F.sum("atraso_chegada_min"), F.sum("minutos_recuperados"),
+    ).first()
+    assert tuple(got) == (9900, 7986, 7907, 276220, 1246354, -970134)
+
+
+def test_union_keeps_every_row_and_its_source(spark, small):
+    both = w.carriers(spark, small)
+    counts = {r.origem_cadastro: (r.linhas, r.com_icao) for r in
+              profile.registry_summary(both, "origem_cadastro", "icao").collect()}
+    assert counts == {"nacional": (1500, 1378), "estrangeira": (100, 100)}
+
+
+def test_schema_comparison(spark, small):
+    bronze = w.raw_flights(spark, small)
+    typed = silver.silver_flights(bronze).drop("codigo_di")
+    diff = reconcile.keyed_diff(
+        reconcile.schema_as_rows(bronze), reconcile.schema_as_rows(typed), ["coluna"], "tipo",
+        names=("tipo_bronze", "tipo_silver"), changed="TIPO_ALTERADO", position="posicao")
+    got = diff.collect()
+    status = {r.coluna: r.status for r in got}
+    assert status["partida_real"] == "TIPO_ALTERADO"
+    assert status["partida_real_hora"] == "ADICIONADA"
+    assert status["icao_origem"] == "INALTERADA"
+    assert status["codigo_di"] == "REMOVIDA"
+    assert [r.coluna for r in got[:-1]] == typed.columns and got[-1].coluna == "codigo_di"
+
+
+def test_rename_map_keeps_values_and_checks_names(spark):
+    df = spark.createDataFrame([("007", 1)], "`Número Voo` string, n int")
+    assert rows.project_map(df, {"Número Voo": "numero", "n": "n"}).first() == ("007", "1")
+    with pytest.raises(rows.MissingColumns):
+        rows.project_map(df, {"nada": "x"})

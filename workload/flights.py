@@ -89,14 +89,12 @@ def flights(spark: SparkSession, folder: str) -> DataFrame:
 
 def airports(spark: SparkSession, folder: str) -> DataFrame:
     """Airport registry: nations, their region as the state."""
-    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    joined = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     key = F.col("n_nationkey").cast("string")
-    return joined.select(
+    return table(spark, folder, "nation").select(
         F.concat(F.lit("N"), key).alias("icao"),
         F.col("n_name").alias("nome"),
         F.concat(F.lit("Municipio "), key).alias("municipio"),
-        F.col("r_name").alias("uf_nome"),
+        F.concat(F.lit("Estado "), F.col("n_regionkey").cast("string")).alias("uf_nome"),
     )
 
 

@@ -82,8 +82,9 @@ silver AS (
 _AIRPORTS = """
 aerodromos AS (
   SELECT 'N' || CAST(n_nationkey AS VARCHAR) AS icao, n_name AS nome,
-         'Municipio ' || CAST(n_nationkey AS VARCHAR) AS municipio, r_name AS uf_nome
-  FROM nation LEFT JOIN region ON n_regionkey = r_regionkey)"""
+         'Municipio ' || CAST(n_nationkey AS VARCHAR) AS municipio,
+         'Estado ' || CAST(n_regionkey AS VARCHAR) AS uf_nome
+  FROM nation)"""
 
 _CARRIERS = """
 nacionais AS (

@@ -302,6 +302,11 @@ def _fact(spark: SparkSession, folder: str) -> DataFrame:
     return gold.build_fact(w.flights(spark, folder), w.carriers(spark, folder), w.codes(spark))
 
 
+def _legs(spark: SparkSession, folder: str) -> DataFrame:
+    """What the measures need of the fact: no lookup is made for them."""
+    return gold.rated_legs(w.flights(spark, folder))
+
+
 def _dim(spark: SparkSession, folder: str) -> DataFrame:
     return gold.build_dim(w.flights(spark, folder), w.airports(spark, folder), w.HOME_PREFIXES)
 
@@ -379,32 +384,32 @@ def gold_obt(spark, folder):
 
 @query
 def gold_kpis(spark, folder):
-    return gold.kpis(_fact(spark, folder))
+    return gold.kpis(_legs(spark, folder))
 
 
 @query
 def gold_by_hour(spark, folder):
-    return gold.kpis(_fact(spark, folder), "hora_partida_prevista")
+    return gold.kpis(_legs(spark, folder), "hora_partida_prevista")
 
 
 @query
 def gold_by_day(spark, folder):
-    return gold.kpis(_fact(spark, folder), "partida_prevista_data")
+    return gold.kpis(_legs(spark, folder), "partida_prevista_data")
 
 
 @query
 def gold_by_month(spark, folder):
-    return gold.kpis(_fact(spark, folder), "mes_referencia")
+    return gold.kpis(_legs(spark, folder), "mes_referencia")
 
 
 @query
 def gold_by_route(spark, folder):
-    return gold.kpis(_fact(spark, folder), "rota")
+    return gold.kpis(_legs(spark, folder), "rota")
 
 
 @query
 def gold_by_scope(spark, folder):
-    return gold.kpis(_fact(spark, folder), "escopo_voo")
+    return gold.kpis(_legs(spark, folder), "escopo_voo")
 
 
 @query
@@ -414,9 +419,9 @@ def gold_by_carrier(spark, folder):
 
 @query
 def recovered_but_late(spark, folder):
-    return profile.recovered_but_late(_fact(spark, folder))
+    return profile.recovered_but_late(_legs(spark, folder))
 
 
 @query
 def punctual_null_by_status(spark, folder):
-    return profile.punctual_null_by_status(_fact(spark, folder))
+    return profile.punctual_null_by_status(_legs(spark, folder))
