@@ -49,7 +49,7 @@ def publish_bronze(spark: SparkSession, source: Source, path: str, load_id: str,
     """
     seen = Observation()
     rows = bronze_table(spark, source, headers_seen=seen)
-    files = len(spark.read.text(source.path).inputFiles())
+    files = len(rows.inputFiles())
 
     def one_header_per_file() -> None:
         if source.layout.banner_lines and seen.get["headers"] != files:
@@ -91,7 +91,7 @@ def refresh(spark: SparkSession, inputs: Inputs, root: str, load_id: str) -> dic
     put("gold.dim_aeroporto", gold.build_dim(flights, airports))
     put("gold.fato_voos", gold.build_fact(
         flights, tables["silver.empresas"], tables["silver.codigos_operacao"]),
-        partition_by=["mes_referencia"])
+        partition_by=["mes_referencia"], rebalance=True)
     put("gold.obt_voos", gold.build_obt(tables["gold.fato_voos"], tables["gold.dim_aeroporto"]),
         partition_by=["mes_referencia"])
     return tables

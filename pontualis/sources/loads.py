@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,26 +56,29 @@ def current(spark: SparkSession, path: str) -> DataFrame:
 
 
 def publish(df: DataFrame, path: str, load_id: str, *, view: str | None = None,
-            partition_by: Sequence[str] = (),
+            partition_by: Sequence[str] = (), rebalance: bool = False,
             verify: Callable[[], None] | None = None) -> DataFrame:
     """Replace the table at ``path`` by ``df``; the schema may differ from the last load.
 
     ``verify`` runs after the write and before the commit; if it raises, the previous load
-    stays current.  With ``partition_by`` rows are rebalanced on those columns first, where
-    AQE splits a hot value over several tasks instead of writing it from one.
+    stays current.  ``rebalance`` gathers the rows of each ``partition_by`` value first, so
+    that tasks do not write a small file into every partition; AQE splits a hot value over
+    several tasks.  Rows read from a table with the same partitions need no rebalancing.
     """
     spark = df.sparkSession
     if not loads(spark, path).filter(F.col("load_id") == load_id).isEmpty():
         raise ValueError(f"{path}: load {load_id} is already published")
-    out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if rebalance else df
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(_data(path, load_id))
     if verify is not None:
         verify()
-    written = spark.read.parquet(_data(path, load_id)).select(*df.columns)
-    row = (load_id, written.count(), datetime.now(timezone.utc))
-    spark.createDataFrame([row], LOADS_DDL).coalesce(1).write.mode("append").parquet(
-        f"{path}/loads"
-    )
+    written = spark.read.schema(df.schema).parquet(_data(path, load_id)).select(*df.columns)
+    commit = pa.table({
+        "load_id": [load_id],
+        "linhas": [written.count()],
+        "publicado_em": [datetime.now(timezone.utc)],
+    })
+    spark.createDataFrame(commit).write.mode("append").parquet(f"{path}/loads")
     if view:
         written.createOrReplaceTempView(view)
     return written

@@ -59,7 +59,7 @@ def test_nothing_published(spark, tmp_path):
 def test_partitions_keep_null_and_column_order(spark, tmp_path):
     df = spark.sql("SELECT * FROM VALUES (DATE'2026-01-01', 1), (NULL, 2), "
                    "(DATE'2026-02-01', 3) t(m, x)")
-    out = loads.publish(df, str(tmp_path / "t"), "a", partition_by=["m"])
+    out = loads.publish(df, str(tmp_path / "t"), "a", partition_by=["m"], rebalance=True)
     assert out.dtypes == df.dtypes and multiset_difference(df, out, ["m", "x"]).count() == 0
     january = loads.current(spark, str(tmp_path / "t")).filter("m = DATE'2026-01-01'")
     plan = january._jdf.queryExecution().executedPlan().toString()

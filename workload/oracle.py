@@ -11,6 +11,7 @@ from pontualis.model import (
     FLIGHT_COLUMNS,
     INSTANTS,
     OPERATION_CODES,
+    PAIR_KEYS,
     UNKNOWN_AIRPORT,
     UNKNOWN_CARRIER,
     UNKNOWN_CODE,
@@ -234,8 +235,8 @@ def _kpis(axis: str) -> str:
     return _gold(f"SELECT {axis}, {_KPIS} FROM fato GROUP BY {axis}")
 
 
-def _sum_if(condition: str, name: str) -> str:
-    return f"CAST(sum(CASE WHEN {condition} THEN 1 ELSE 0 END) AS BIGINT) AS {name}"
+def _count_if(condition: str, name: str) -> str:
+    return f"count(*) FILTER (WHERE {condition}) AS {name}"
 
 
 _DERIVED = [
@@ -248,19 +249,16 @@ _DERIVED = [
 
 
 def _pair_measures() -> str:
-    items = [_sum_if(f"b.{c} = 'null'", f"bronze_{c}_str_null") for c in INSTANTS]
-    items += [_sum_if(f"s.{c} IS NULL", f"silver_{c}_null_real") for c in INSTANTS]
-    items += [_sum_if(f"b.{c} <> 'null' AND s.{c} IS NOT NULL", f"{c}_cast_ok") for c in INSTANTS]
-    items += [_sum_if("b.codigo_justificativa = 'N/A'", '"bronze_justificativa_NA"'),
-              _sum_if("s.codigo_justificativa IS NULL", "silver_justificativa_null")]
-    items += [_sum_if(f"s.{c} IS NOT NULL", name) for name, c in _DERIVED]
+    items = [_count_if(f"b.{c} = 'null'", f"bronze_{c}_str_null") for c in INSTANTS]
+    items += [_count_if(f"s.{c} IS NULL", f"silver_{c}_null_real") for c in INSTANTS]
+    items += [_count_if(f"b.{c} <> 'null' AND s.{c} IS NOT NULL", f"{c}_cast_ok") for c in INSTANTS]
+    items += [_count_if("b.codigo_justificativa = 'N/A'", '"bronze_justificativa_NA"'),
+              _count_if("s.codigo_justificativa IS NULL", "silver_justificativa_null")]
+    items += [_count_if(f"s.{c} IS NOT NULL", name) for name, c in _DERIVED]
     return ",\n  ".join([*items, "count(*) AS total_linhas"])
 
 
-_PAIR_JOIN = """FROM raw b JOIN silver s
-  ON b._arquivo_origem = s._arquivo_origem AND b.icao_empresa = s.icao_empresa
- AND b.numero_voo = s.numero_voo AND b.icao_origem = s.icao_origem
- AND b.icao_destino = s.icao_destino"""
+_PAIR_JOIN = f"FROM raw b JOIN silver s USING ({', '.join(PAIR_KEYS)})"
 
 _RAW_TEXT = ", ".join(f"{c}" for c in FLIGHT_COLUMNS)
 
@@ -310,7 +308,7 @@ SELECT event_id, icao_empresa, numero_voo, icao_origem, icao_destino, partida_pr
 FROM silver ORDER BY partida_prevista NULLS FIRST, event_id LIMIT 5"""),
     "registry_union": _with("SELECT * FROM empresas", _CARRIERS),
     "clean_keys": _with(
-        "SELECT DISTINCT icao FROM empresas WHERE icao IS NOT NULL AND icao <> ''", _CARRIERS),
+        "SELECT icao FROM empresas WHERE length(icao) > 0 GROUP BY icao", _CARRIERS),
     "ref_flags": _contract("""
 SELECT event_id, origem_no_cadastro, destino_no_cadastro, empresa_no_cadastro FROM marcado"""),
     "rule_metrics": _contract("\nUNION ALL\n".join(
@@ -324,15 +322,13 @@ SELECT event_id, situacao_voo, atraso_partida_min, {_N_FAILS} AS reprovadas FROM
 SELECT {_REASONS} AS motivos_quarentena, count(*) AS voos
 FROM marcado WHERE {_ANY_FAILS} GROUP BY 1"""),
     "count_conservation": _flights("""
-SELECT (SELECT count(*) FROM raw) AS bronze_vra, (SELECT count(*) FROM silver) AS silver_vra,
-  (SELECT count(*) FROM raw) - (SELECT count(*) FROM silver) AS diferenca"""),
+SELECT r AS bronze_vra, s AS silver_vra, r - s AS diferenca
+FROM (SELECT count(*) AS r FROM raw), (SELECT count(*) AS s FROM silver)"""),
     "union_conservation": _with("""
-SELECT (SELECT count(*) FROM nacionais) AS bronze_nacionais,
-  (SELECT count(*) FROM estrangeiras) AS bronze_estrangeiras,
-  (SELECT count(*) FROM nacionais) + (SELECT count(*) FROM estrangeiras) AS soma_esperada,
-  (SELECT count(*) FROM empresas) AS silver_empresas,
-  (SELECT count(*) FROM nacionais) + (SELECT count(*) FROM estrangeiras)
-    - (SELECT count(*) FROM empresas) AS diferenca""", _CARRIERS),
+SELECT n AS bronze_nacionais, e AS bronze_estrangeiras, n + e AS soma_esperada,
+  t AS silver_empresas, n + e - t AS diferenca
+FROM (SELECT count(*) AS n FROM nacionais), (SELECT count(*) AS e FROM estrangeiras),
+  (SELECT count(*) AS t FROM empresas)""", _CARRIERS),
     "layer_counts": _with("""
 SELECT 'aerodromos' AS tabela, count(*) AS total_registros FROM nation
 UNION ALL SELECT 'empresas_nacionais', count(*) FROM customer
@@ -340,15 +336,14 @@ UNION ALL SELECT 'empresas_estrangeiras', count(*) FROM supplier
 UNION ALL SELECT 'codigos_operacao', count(*) FROM codigos
 UNION ALL SELECT 'vra', count(*) FROM events""", _CODES),
     "registry_summary": _with("""
-SELECT origem_cadastro, count(*) AS linhas,
-  count(CASE WHEN icao IS NOT NULL AND icao <> '' THEN 1 END) AS com_icao
+SELECT origem_cadastro, count(*) AS linhas, count(nullif(icao, '')) AS com_icao
 FROM empresas GROUP BY 1""", _CARRIERS),
     "sentinel_profile": _with("SELECT count(*) AS linhas, " + ", ".join([
-        _sum_if("partida_real IS NULL", "partida_real_null_de_verdade"),
-        _sum_if("partida_real = 'null'", "partida_real_string_null"),
-        _sum_if("partida_prevista = 'null'", "partida_prevista_string_null"),
-        _sum_if("partida_prevista LIKE '%.%'", "com_fracao_de_segundo"),
-        _sum_if("partida_real LIKE '%.%'", "partida_real_com_fracao"),
+        _count_if("partida_real IS NULL", "partida_real_null_de_verdade"),
+        _count_if("partida_real = 'null'", "partida_real_string_null"),
+        _count_if("partida_prevista = 'null'", "partida_prevista_string_null"),
+        _count_if("partida_prevista LIKE '%.%'", "com_fracao_de_segundo"),
+        _count_if("partida_real LIKE '%.%'", "partida_real_com_fracao"),
     ]) + " FROM raw", _RAW),
     "typing_success": _flights("SELECT " + ", ".join(
         f"count({c}) AS {c}_ok" for c in INSTANTS
@@ -380,9 +375,8 @@ FROM programados p FULL OUTER JOIN realizados r
   ON p.numero_voo = r.numero_voo AND p.icao_destino = r.icao_destino"""),
     "completeness": """
 SELECT lang, count(*) AS linhas,
-  CAST(sum(CASE WHEN quality IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS sem_valor,
-  CAST(round(100.0 * sum(CASE WHEN quality IS NOT NULL THEN 1 ELSE 0 END) / count(*), 1)
-    AS DOUBLE) AS pct_preenchido
+  count(*) - count(quality) AS sem_valor,
+  CAST(round(100.0 * count(quality) / count(*), 1) AS DOUBLE) AS pct_preenchido
 FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang""",
     "attr_listing": """
 SELECT s_name AS entidade, 'razao_social' AS atributo,
@@ -444,12 +438,12 @@ LEFT JOIN dim d ON f.icao_destino = d.icao_aeroporto""",
     "gold_by_carrier": _kpis("nome_companhia"),
     "recovered_but_late": _gold(
         "SELECT count(*) AS recuperou_algum_minuto, " + ", ".join([
-            _sum_if("atraso_chegada_min <= 0", "chegou_adiantado_ou_no_horario"),
-            _sum_if("atraso_chegada_min > 0", "chegou_atrasado_mesmo_assim"),
-            _sum_if("atraso_chegada_min > 15", "chegou_atrasado_mais_de_15"),
+            _count_if("atraso_chegada_min <= 0", "chegou_adiantado_ou_no_horario"),
+            _count_if("atraso_chegada_min > 0", "chegou_atrasado_mesmo_assim"),
+            _count_if("atraso_chegada_min > 15", "chegou_atrasado_mais_de_15"),
         ]) + " FROM fato WHERE minutos_recuperados > 0"),
     "punctual_null_by_status": _gold(
         "SELECT situacao_voo, count(*) AS voos, "
-        + _sum_if("partida_pontual IS NULL", "partida_pontual_null")
+        + _count_if("partida_pontual IS NULL", "partida_pontual_null")
         + " FROM fato GROUP BY situacao_voo"),
 }
