@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pontualis.model import INSTANTS, NO_INSTANT, NO_REASON, PAIR_KEYS
+from pontualis.model import DELAYS, INSTANTS, NO_INSTANT, NO_REASON, PAIR_KEYS
 from pontualis.operators.joins import distinct_keys
 from pontualis.operators.profile import layer_counts
 from pontualis.operators.rows import union_all
@@ -153,28 +153,29 @@ def side_by_side(raw: DataFrame, typed: DataFrame, keys: Sequence[str] = PAIR_KE
     """The first ``n`` (raw, typed) pairs by scheduled departure, next to each other.
 
     ``tie`` is a unique column of both sides.  The pairs needed can only involve the first
-    ``n`` typed rows that have a partner, so those are found first (semi join and top-n)
-    and only they meet the raw rows; the last top-n keeps ``n`` pairs per task.
+    ``n`` typed rows that have a partner.  Finding those shuffles the keys and the order
+    alone; their other columns, and the raw rows they meet, come from scans that a broadcast
+    of at most ``n`` rows filters.  The last top-n keeps ``n`` pairs per task.
     """
     def first(df: DataFrame, *order: str) -> DataFrame:
         return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
 
-    partners = distinct_keys(raw, *keys)
-    chosen = first(typed.join(partners, list(keys), "left_semi"), _SCHEDULED, tie)
+    paired = typed.select(*keys, _SCHEDULED, tie).join(
+        distinct_keys(raw, *keys), list(keys), "left_semi"
+    )
+    chosen = first(paired, _SCHEDULED, tie).select(tie)
     shown = (*INSTANTS, "codigo_justificativa")
-    typed_side = chosen.select(
+    typed_side = typed.join(F.broadcast(chosen), tie, "left_semi").select(
         *keys,
         *[F.col(c).cast("string").alias(f"silver_{c}") for c in shown],
         *[F.col(f"{c}_{part}").alias(f"silver_{c}_{part}")
           for c in INSTANTS[:2] for part in ("data", "hora")],
-        *[F.col(c).alias(f"silver_{c}")
-          for c in ("atraso_partida_min", "atraso_chegada_min", "minutos_recuperados")],
+        *[F.col(c).alias(f"silver_{c}") for c in DELAYS],
         "situacao_voo", F.col(_SCHEDULED).alias("__scheduled"), F.col(tie).alias("__typed_tie"),
     )
     raw_side = raw.select(
         *keys, *[F.col(c).alias(f"bronze_{c}") for c in shown], F.col(tie).alias("__raw_tie")
     )
-    # At most n rows: the one side whose size is known without looking.
     pairs = raw_side.join(F.broadcast(typed_side), list(keys), "inner")
     order = ("__scheduled", "__typed_tie", "__raw_tie")
     return first(pairs, *order).drop(*order)
