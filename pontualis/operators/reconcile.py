@@ -149,33 +149,39 @@ def reconcile_pairs(raw: DataFrame, typed: DataFrame,
 
 
 def side_by_side(raw: DataFrame, typed: DataFrame, keys: Sequence[str] = PAIR_KEYS, *,
-                 tie: str, n: int = 5) -> DataFrame:
+                 tie: str | None = None, n: int = 5) -> DataFrame:
     """The first ``n`` (raw, typed) pairs by scheduled departure, next to each other.
 
-    ``tie`` is a unique column of both sides.  The pairs needed can only involve the first
-    ``n`` typed rows that have a partner.  Finding those shuffles the keys and the order
-    alone; their other columns, and the raw rows they meet, come from scans that a broadcast
-    of at most ``n`` rows filters.  The last top-n keeps ``n`` pairs per task.
+    The pairs needed can only involve the first ``n`` typed rows that have a partner, so
+    those are found first (semi join, top-n) and only they, broadcast, meet the raw rows;
+    the last top-n keeps ``n`` pairs per task.  ``tie``, a unique column of both sides,
+    lets the semi join shuffle keys and order alone, and a scan fetch the rest.  Without
+    one, ties are broken by the shown columns, so only equal pairs are interchangeable.
     """
+    shown = (*INSTANTS, "codigo_justificativa")
+    typed_order = [_SCHEDULED, *([tie] if tie else [*keys, *shown, "situacao_voo"])]
+    raw_order = [tie] if tie else [f"bronze_{c}" for c in shown]
+
     def first(df: DataFrame, *order: str) -> DataFrame:
         return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
 
-    paired = typed.select(*keys, _SCHEDULED, tie).join(
-        distinct_keys(raw, *keys), list(keys), "left_semi"
-    )
-    chosen = first(paired, _SCHEDULED, tie).select(tie)
-    shown = (*INSTANTS, "codigo_justificativa")
-    typed_side = typed.join(F.broadcast(chosen), tie, "left_semi").select(
+    candidates = typed.select(*keys, _SCHEDULED, tie) if tie else typed
+    paired = candidates.join(distinct_keys(raw, *keys), list(keys), "left_semi")
+    chosen = first(paired, *typed_order)
+    if tie:
+        chosen = typed.join(F.broadcast(chosen.select(tie)), tie, "left_semi")
+    typed_side = chosen.select(
         *keys,
         *[F.col(c).cast("string").alias(f"silver_{c}") for c in shown],
         *[F.col(f"{c}_{part}").alias(f"silver_{c}_{part}")
           for c in INSTANTS[:2] for part in ("data", "hora")],
         *[F.col(c).alias(f"silver_{c}") for c in DELAYS],
-        "situacao_voo", F.col(_SCHEDULED).alias("__scheduled"), F.col(tie).alias("__typed_tie"),
+        "situacao_voo", F.struct(*typed_order).alias("__typed_order"),
     )
     raw_side = raw.select(
-        *keys, *[F.col(c).alias(f"bronze_{c}") for c in shown], F.col(tie).alias("__raw_tie")
+        *keys, *[F.col(c).alias(f"bronze_{c}") for c in shown], *([tie] if tie else [])
+    ).withColumn("__raw_order", F.struct(*raw_order))
+    pairs = raw_side.drop(*([tie] if tie else [])).join(
+        F.broadcast(typed_side), list(keys), "inner"
     )
-    pairs = raw_side.join(F.broadcast(typed_side), list(keys), "inner")
-    order = ("__scheduled", "__typed_tie", "__raw_tie")
-    return first(pairs, *order).drop(*order)
+    return first(pairs, "__typed_order", "__raw_order").drop("__typed_order", "__raw_order")

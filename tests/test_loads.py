@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pontualis import model
 from pontualis.operators.reconcile import multiset_difference
 from pontualis.plans.refresh import HeaderMismatch, Inputs, refresh
+from pontualis.plans.reports import layer_reports
 from pontualis.sources import loads
 from pontualis.sources.scratch import fresh_path, materialize, shared_folder
 
@@ -118,6 +119,31 @@ def write_inputs(folder, second_header=None):
                   f"{folder}/nacionais.csv", f"{folder}/estrangeiras.csv")
 
 
+def check_reports(reports):
+    rows = {name: df.collect() for name, df in reports.items()}
+    assert [(r._arquivo_origem, r.linhas) for r in rows["rows_per_file"]] == [
+        ("VRA_2026-01.csv", 5), ("VRA_2026-02.csv", 1)]
+    assert {r.tabela: r.total_registros for r in rows["layer_counts"]} == {
+        "aerodromos": 2, "codigos_operacao": 13, "empresas_estrangeiras": 1,
+        "empresas_nacionais": 2, "vra": 6}
+    assert [r.diferenca for r in rows["mirrors"]] == [0, 0, 0]
+    assert rows["union_conservation"][0].diferenca == 0
+    assert {r.origem_cadastro: r.com_icao for r in rows["registry_summary"]} == {
+        "nacional": 1, "estrangeira": 1}
+    assert len(rows["schema_diff"]) == 26
+    assert rows["typing_success"][0].partida_real_ok == 4
+    assert rows["transform_profile"][0].total_linhas == 6
+    # the repeated flight meets itself and its copy: 2 x 2 pairs, all others 1
+    assert rows["reconcile_pairs"][0].total_linhas == 8
+    pairs = rows["side_by_side"]
+    assert [p.silver_partida_prevista for p in pairs] == [
+        None, "2026-01-01 10:00:00", *["2026-01-27 10:00:00"] * 3]
+    assert all(p.bronze_partida_prevista == (p.silver_partida_prevista or "null") for p in pairs)
+    assert rows["recovered_but_late"][0].chegou_atrasado_mesmo_assim == 1
+    assert {r.situacao_voo: r.partida_pontual_null for r in rows["punctual_null_by_status"]} == {
+        "REALIZADO": 2, "CANCELADO": 1}
+
+
 def test_refresh_from_files_to_gold(spark, tmp_path):
     (tmp_path / "in").mkdir()
     inputs = write_inputs(tmp_path / "in")
@@ -147,6 +173,8 @@ def test_refresh_from_files_to_gold(spark, tmp_path):
     assert obt["0007"].pais_destino == "Exterior" and obt["0007"].mes_referencia is None
     assert obt["0008"].atraso_fora_de_faixa and obt["0008"].atraso_partida_min is None
 
+    check_reports(layer_reports(first))
+
     again = refresh(spark, inputs, root, "2026-09-01")
     for name in ("bronze.vra", "silver.vra", "gold.obt_voos"):
         columns = [c for c in again[name].columns if not c.endswith("_em")]

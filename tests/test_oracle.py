@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from tests.plans import settings
 
 QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 
@@ -55,3 +56,11 @@ def test_sample_is_ten_rows(spark, small):
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.count() > 0 and "taxa_cancelamento" in df.columns
+
+
+@pytest.mark.parametrize("name", ["ref_flags", "quarantine_reasons", "gold_obt", "side_by_side"])
+def test_matches_sql_when_nothing_may_be_broadcast(name, spark, small, duck):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1",
+                  spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20000",
+                  spark__sql__adaptive__advisoryPartitionSizeInBytes="40000"):
+        test_matches_sql(name, spark, small, duck)

@@ -82,6 +82,15 @@ def test_side_by_side_equals_the_literal_join(layers, n):
             for r in got] == wanted
 
 
+def test_side_by_side_without_a_unique_column(layers):
+    raw, typed = layers
+    with_id = reconcile.side_by_side(raw, typed, tie="event_id", n=30).collect()
+    without = reconcile.side_by_side(raw.drop("event_id"), typed.drop("event_id"), n=30)
+    assert without.columns == reconcile.side_by_side(raw, typed, tie="event_id").columns
+    scheduled = [r.silver_partida_prevista for r in with_id]
+    assert [r.silver_partida_prevista for r in without.collect()] == scheduled
+
+
 def test_keyed_diff_on_two_versions_of_a_registry(spark, small):
     customer = w.table(spark, small, "customer").select("c_custkey", "c_mktsegment")
     old = customer.filter("c_custkey % 11 <> 0").withColumn(
