@@ -351,7 +351,8 @@ FROM empresas GROUP BY 1""", _CARRIERS),
   count(minutos_recuperados) AS minutos_recuperados_ok FROM silver"""),
     "transform_profile": _flights(
         f"SELECT {_pair_measures()}\nFROM raw b JOIN silver s USING (event_id)"),
-    "reconcile_pairs": _flights(f"SELECT {_pair_measures()}\n{_PAIR_JOIN}"),
+    "reconcile_pairs": _flights(
+        f"SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (SELECT {_pair_measures()}\n{_PAIR_JOIN})"),
     "side_by_side": _flights("SELECT " + ", ".join([
         *[f"s.{c}" for c in ("icao_empresa", "numero_voo", "icao_origem", "icao_destino",
                              "_arquivo_origem", "situacao_voo")],
