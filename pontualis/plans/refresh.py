@@ -2,10 +2,12 @@
 
 Every step reads the layer below from its published files, so an executor or driver lost
 on the way costs the step at hand, and the planner knows the size of each lookup table.
+Repeating a refresh that died, with the same load id, resumes after its last table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,7 +16,7 @@ from pontualis.operators import contract
 from pontualis.plans import gold, silver
 from pontualis.plans.bronze import Source, bronze_table
 from pontualis.sources.delimited import AIRLINES, AIRPORTS, FLIGHTS
-from pontualis.sources.loads import publish
+from pontualis.sources.loads import is_published, publish, read_load
 from pontualis.sources.seeds import operation_codes
 
 
@@ -65,15 +67,21 @@ def refresh(spark: SparkSession, inputs: Inputs, root: str, load_id: str) -> dic
     """
     tables: dict[str, DataFrame] = {}
 
-    def put(name: str, df: DataFrame, **options) -> None:
+    def step(name: str, write: Callable[[str, str], DataFrame]) -> None:
         view = name.replace(".", "_")
-        tables[name] = publish(df, f"{root}/{view}", load_id, view=view, **options)
+        path = f"{root}/{view}"
+        if is_published(spark, path, load_id):
+            tables[name] = read_load(spark, path, load_id)
+            tables[name].createOrReplaceTempView(view)
+        else:
+            tables[name] = write(path, view)
+
+    def put(name: str, df: DataFrame, **options) -> None:
+        step(name, lambda path, view: publish(df, path, load_id, view=view, **options))
 
     for name, source in inputs.sources().items():
-        view = f"bronze_{name}"
-        tables[f"bronze.{name}"] = publish_bronze(
-            spark, source, f"{root}/{view}", load_id, view
-        )
+        step(f"bronze.{name}", lambda path, view, source=source: publish_bronze(
+            spark, source, path, load_id, view))
     put("bronze.codigos_operacao", operation_codes(spark))
 
     put("silver.vra", silver.silver_flights(tables["bronze.vra"]))

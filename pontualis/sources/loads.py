@@ -8,18 +8,20 @@ half-way leaves a folder without a row, which the retry overwrites.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pontualis.model import INGESTED_AT
 from pontualis.operators.rows import union_all
 
-LOADS_DDL = "load_id string, linhas bigint, publicado_em timestamp"
+LOADS_DDL = "load_id string, linhas bigint, esquema string, publicado_em timestamp"
 
 
 class LoadNotFound(LookupError):
@@ -40,11 +42,30 @@ def _data(path: str, load_id: str) -> str:
     return f"{path}/data/load_id={load_id}"
 
 
+def _find(spark: SparkSession, path: str, load_id: str) -> Row | None:
+    return loads(spark, path).filter(F.col("load_id") == load_id).first()
+
+
+def _read(spark: SparkSession, path: str, load_id: str, schema: StructType) -> DataFrame:
+    """With columns in their order, which partitioned folders alone would not tell."""
+    return spark.read.schema(schema).parquet(_data(path, load_id)).select(*schema.names)
+
+
+def _committed(spark: SparkSession, path: str, commit: Row) -> DataFrame:
+    schema = StructType.fromJson(json.loads(commit.esquema))
+    return _read(spark, path, commit.load_id, schema)
+
+
+def is_published(spark: SparkSession, path: str, load_id: str) -> bool:
+    return _find(spark, path, load_id) is not None
+
+
 def read_load(spark: SparkSession, path: str, load_id: str) -> DataFrame:
     """One committed load, with the schema it was written with."""
-    if loads(spark, path).filter(F.col("load_id") == load_id).isEmpty():
+    commit = _find(spark, path, load_id)
+    if commit is None:
         raise LoadNotFound(f"{path}: {load_id}")
-    return spark.read.parquet(_data(path, load_id))
+    return _committed(spark, path, commit)
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
@@ -52,7 +73,7 @@ def current(spark: SparkSession, path: str) -> DataFrame:
     latest = loads(spark, path).orderBy(F.desc("publicado_em"), F.desc("load_id")).first()
     if latest is None:
         raise LoadNotFound(path)
-    return spark.read.parquet(_data(path, latest.load_id))
+    return _committed(spark, path, latest)
 
 
 def publish(df: DataFrame, path: str, load_id: str, *, view: str | None = None,
@@ -66,16 +87,17 @@ def publish(df: DataFrame, path: str, load_id: str, *, view: str | None = None,
     several tasks.  Rows read from a table with the same partitions need no rebalancing.
     """
     spark = df.sparkSession
-    if not loads(spark, path).filter(F.col("load_id") == load_id).isEmpty():
+    if is_published(spark, path, load_id):
         raise ValueError(f"{path}: load {load_id} is already published")
     out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if rebalance else df
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(_data(path, load_id))
     if verify is not None:
         verify()
-    written = spark.read.schema(df.schema).parquet(_data(path, load_id)).select(*df.columns)
+    written = _read(spark, path, load_id, df.schema)
     commit = pa.table({
         "load_id": [load_id],
         "linhas": [written.count()],
+        "esquema": [df.schema.json()],
         "publicado_em": [datetime.now(timezone.utc)],
     })
     spark.createDataFrame(commit).write.mode("append").parquet(f"{path}/loads")

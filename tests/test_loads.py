@@ -62,6 +62,7 @@ def test_partitions_keep_null_and_column_order(spark, tmp_path):
                    "(DATE'2026-02-01', 3) t(m, x)")
     out = loads.publish(df, str(tmp_path / "t"), "a", partition_by=["m"], rebalance=True)
     assert out.dtypes == df.dtypes and multiset_difference(df, out, ["m", "x"]).count() == 0
+    assert loads.current(spark, str(tmp_path / "t")).dtypes == df.dtypes
     january = loads.current(spark, str(tmp_path / "t")).filter("m = DATE'2026-01-01'")
     plan = january._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(m" in plan and january.count() == 1
@@ -193,3 +194,22 @@ def test_a_file_with_another_header_stops_the_load(spark, tmp_path):
         refresh(spark, inputs, str(tmp_path / "out"), "2026-08-01")
     with pytest.raises(loads.LoadNotFound):
         loads.current(spark, str(tmp_path / "out/bronze_vra"))
+
+
+def test_a_repeated_refresh_resumes(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    inputs, root = write_inputs(tmp_path / "in"), str(tmp_path / "out")
+
+    def die(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("pontualis.plans.gold.build_dim", die)
+        with pytest.raises(RuntimeError):
+            refresh(spark, inputs, root, "2026-08-01")
+    ingested = loads.current(spark, f"{root}/bronze_vra").first()._ingerido_em
+    tables = refresh(spark, inputs, root, "2026-08-01")
+    assert tables["bronze.vra"].first()._ingerido_em == ingested
+    assert tables["gold.obt_voos"].count() == 4 == spark.table("gold_obt_voos").count()
+    assert len(tables["gold.obt_voos"].columns) == 39
+    assert loads.loads(spark, f"{root}/bronze_vra").count() == 1
