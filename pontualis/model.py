@@ -112,8 +112,6 @@ DELAYS = ("atraso_partida_min", "atraso_chegada_min", "minutos_recuperados")
 
 PAIR_KEYS = (SOURCE_FILE, "icao_empresa", "numero_voo", "icao_origem", "icao_destino")
 
-AIRPORT_ROLE_COLUMNS = ("nome_aeroporto", "municipio", "uf", "pais")
-
 OBT_COLUMNS = (
     "icao_empresa", "nome_companhia", "numero_voo",
     "codigo_di", "descricao_di", "codigo_tipo_linha", "descricao_tipo_linha", "escopo_voo",

@@ -6,6 +6,8 @@ Thresholds, ranges and prefixes are business decisions, hence parameters.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,7 +105,7 @@ def with_carrier(df: DataFrame, carriers: DataFrame) -> DataFrame:
 
 def country(code: Column, prefixes: Sequence[str] = model.BRAZIL_PREFIXES) -> Column:
     """Brazil or abroad, from the prefix of the airport code; NULL without a code."""
-    at_home = code.rlike("^(" + "|".join(prefixes) + ")")
+    at_home = reduce(or_, [code.startswith(prefix) for prefix in prefixes])
     return F.when(at_home, model.BRAZIL).when(~at_home, model.ABROAD)
 
 
