@@ -52,7 +52,7 @@ def header_names(spark: SparkSession, path: str, layout: Layout) -> list[str]:
     lines = spark.read.text(path).select(line.alias("line")).take(layout.banner_lines + 1)
     if len(lines) <= layout.banner_lines:
         return []
-    header = lines[layout.banner_lines].line.rstrip("\r").lstrip("﻿")
+    header = lines[layout.banner_lines].line.rstrip("\r").lstrip("\ufeff")
     if layout.quote is None:
         return header.split(layout.sep)
     return next(csv.reader([header], delimiter=layout.sep, quotechar=layout.quote))

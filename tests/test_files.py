@@ -10,7 +10,7 @@ from pontualis.plans.bronze import Source, bronze_table
 from pontualis.plans.silver import silver_airports
 from pontualis.sources.delimited import AIRLINES, AIRPORTS, FLIGHTS, Layout, read_delimited
 
-BOM = "﻿"
+BOM = "\ufeff"
 HEADER = ";".join(f'"{h}"' for h in model.FLIGHT_HEADERS)
 ROW = ('"GLO";"0123";"0";"N";"SBGR";"SBSP";"2026-01-27 19:45:00";'
        '"2026-01-27 19:50:12.123456789";"2026-01-27 21:00:00";"null";"REALIZADO";"N/A"')

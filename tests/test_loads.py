@@ -94,7 +94,7 @@ FLIGHTS = [
 
 
 def write_inputs(folder, second_header=None):
-    def put(name, headers, rows, charset="utf-8", quote='"', bom="﻿"):
+    def put(name, headers, rows, charset="utf-8", quote='"', bom="\ufeff"):
         lines = [bom + "Atualizado em: 2026-08-01"]
         for row in [headers, *rows]:
             lines.append(";".join(quote + f.replace(quote or "\0", quote * 2) + quote

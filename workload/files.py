@@ -29,7 +29,7 @@ def write_published(df: DataFrame, path: str, layout: Layout) -> None:
     """
     quote = layout.quote or ""
     header = layout.sep.join(f"{quote}{h}{quote}" for h in layout.columns)
-    bom = "﻿" if layout.charset.upper() == "UTF-8" else ""
+    bom = "\ufeff" if layout.charset.upper() == "UTF-8" else ""
     head = [bom + BANNER] * layout.banner_lines + [header]
 
     def head_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
