@@ -9,8 +9,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 from tests.plans import settings
-
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 
 @pytest.fixture(scope="session")
@@ -53,6 +53,11 @@ def test_sample_is_ten_rows(spark, small):
     assert QUERIES["sample_rows"](spark, small).count() == 10
 
 
+def test_all_are_registered():
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert ORACLE.items() <= entry_point.oracle_sql().items()
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.count() > 0 and "taxa_cancelamento" in df.columns
