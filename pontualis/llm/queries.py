@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pontualis.llm import exact, mixing, sharding
+from pontualis.llm import exact, language, mixing, sharding
 from pontualis.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,13 @@ def op8_sharding(spark, folder):
     return out.select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"),
                       F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op7_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    apart = F.coalesce(language.held_out("doc_id"), F.lit(False))
+    model = language.train(docs.filter(~apart))
+    out = language.identify(docs.select("doc_id", "text"), model, "answer")
+    return out.select("doc_id", apart.alias("held_out"), F.col("answer.lang").alias("lang_pred"),
+                      "answer.score")
