@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pontualis.llm import exact, language, mixing, sharding
+from pontualis.llm import decontaminate, exact, language, mixing, sharding
 from pontualis.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,15 @@ def op7_language_id(spark, folder):
     out = language.identify(docs.select("doc_id", "text"), model, "answer")
     return out.select("doc_id", apart.alias("held_out"), F.col("answer.lang").alias("lang_pred"),
                       "answer.score")
+
+
+@query
+def op10_decontamination(spark, folder):
+    out = decontaminate.matches(table(spark, folder, "documents"),
+                                table(spark, folder, "benchmark"))
+    listed = F.array_join(F.array_sort("items"), ",")
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit",
+                      F.size("items").cast("long").alias("n_items"),
+                      F.sha2(listed, 256).alias("items_sha256"),
+                      decontaminate.contaminated(F.col("n_hit"), F.col("n_words"))
+                      .alias("contaminated"))
