@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pontualis.llm import decontaminate, exact, language, mixing, sharding
+from pontualis.llm import decontaminate, exact, jaccard, language, mixing, sharding
 from pontualis.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,9 @@ def op10_decontamination(spark, folder):
                       F.sha2(listed, 256).alias("items_sha256"),
                       decontaminate.contaminated(F.col("n_hit"), F.col("n_words"))
                       .alias("contaminated"))
+
+
+@query
+def op3_jaccard_join(spark, folder):
+    out = jaccard.near_duplicates(table(spark, folder, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
