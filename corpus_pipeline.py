@@ -1,24 +1,65 @@
-"""The stages from raw documents to shards."""
+"""The stages from raw documents to shards.
+
+Every stage takes what its predecessor kept, and all but the last return the columns of
+``documents``.  Rows are expected to have unique identifiers.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pontualis.llm import sharding
-from pontualis.llm.tables import table
+from pontualis.llm import decontaminate, jaccard, language, mixing, sharding
+from pontualis.llm.tables import fresh, table
 from pontualis.sources.scratch import materialize
 
 
-def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sharding.into_shards(docs, 8)
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: those without text or letters go.
+
+    The column ``lang`` is only learned from; it is left as it is.
+    """
+    model = language.train(docs)
+    answer = fresh(docs.columns, "_answer")
+    found = language.identify(docs, model, answer)
+    return found.filter(F.col(f"{answer}.lang") != "und").select(*docs.columns)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest identifier."""
+    return jaccard.representatives(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which fewer than one word in twenty lies in a benchmark passage."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the target of its source takes it."""
+    return mixing.repeated(docs)
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, size, shard, slot`` of every row of the mix."""
+    out = sharding.into_shards(docs, 8)
+    return out.select(F.col("id").alias("doc_id"), "size", "shard", "slot")
+
 
+STAGES = [
+    ("language ID", identified),
+    ("n-gram Jaccard join", distinct),
+    ("benchmark decontamination", decontaminated),
+    ("mixing", mixed),
+    ("sharding", sharded),
+]
 
-STAGES = [("sharding", shard)]
+#: The language model and the packing are beyond SQL; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "_"))
     return docs
