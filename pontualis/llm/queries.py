@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pontualis.llm import decontaminate, exact, jaccard, language, mixing, sharding
+from pontualis.llm import (
+    decontaminate,
+    exact,
+    jaccard,
+    language,
+    mixing,
+    secrets,
+    sharding,
+    toxicity,
+)
 from pontualis.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +130,28 @@ def op10_decontamination(spark, folder):
 def op3_jaccard_join(spark, folder):
     out = jaccard.near_duplicates(table(spark, folder, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query
+def op6_secrets(spark, folder):
+    out = secrets.secrets(table(spark, folder, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return out.select(F.col("id").alias("doc_id"), count("assign").alias("n_assign"),
+                      count("access").alias("n_access"), count("hex").alias("n_hex"),
+                      F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+                      secrets.listed(F.col("spans")).alias("spans"))
+
+
+@query
+def op1_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels")
+    apart = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = toxicity.train(docs.filter(~apart), labels.filter(~apart))
+    out = toxicity.score(docs.select("doc_id", "text"), model, "answer")
+    return out.select("doc_id", apart.alias("held_out"), F.col("answer.score").alias("score"),
+                      (F.col("answer.score") >= 0.3).cast("int").alias("predicted"))
