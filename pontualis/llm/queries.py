@@ -16,6 +16,7 @@ from pontualis.llm import (
     secrets,
     sharding,
     toxicity,
+    wrappers,
 )
 from pontualis.llm.tables import table
 
@@ -155,3 +156,10 @@ def op1_toxicity(spark, folder):
     out = toxicity.score(docs.select("doc_id", "text"), model, "answer")
     return out.select("doc_id", apart.alias("held_out"), F.col("answer.score").alias("score"),
                       (F.col("answer.score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op4_html_extraction(spark, folder):
+    out, _ = wrappers.extract(table(spark, folder, "pages"))
+    return out.select(F.col("id").alias("page_id"), "url", "text",
+                      F.char_length("text").cast("long").alias("n_chars"))
