@@ -12,6 +12,7 @@ from pontualis.llm import (
     exact,
     jaccard,
     language,
+    lines,
     mixing,
     secrets,
     sharding,
@@ -163,3 +164,52 @@ def op4_html_extraction(spark, folder):
     out, _ = wrappers.extract(table(spark, folder, "pages"))
     return out.select(F.col("id").alias("page_id"), "url", "text",
                       F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op9_line_dedup(spark, folder):
+    out = lines.dedup_lines(table(spark, folder, "documents"))
+    return out.select(F.col("id").alias("doc_id"),
+                      F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).cast("long")
+                      .alias("n_lines"),
+                      F.size("deleted").cast("long").alias("n_deleted"),
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+# A stretch of eight lines holds eight words at least, so longer ones add nothing.
+ORACLE["op9_line_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
+), numbered AS (
+  SELECT doc_id, text, unnest(parts) AS line, generate_subscripts(parts, 1) AS number
+  FROM split
+), wordy AS (
+  SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+         row_number() OVER (PARTITION BY doc_id ORDER BY number) AS pos
+  FROM numbered WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), stretches AS (
+  SELECT doc_id, pos, n,
+         array_agg(line) OVER ahead AS run,
+         sum(words) OVER ahead AS words,
+         count(*) OVER ahead AS size
+  FROM wordy, (VALUES (1), (2), (4), (8)) AS t(n)
+  WINDOW ahead AS (PARTITION BY doc_id, n ORDER BY pos
+                   ROWS BETWEEN CURRENT ROW AND n - 1 FOLLOWING)
+), later AS (
+  SELECT doc_id, pos, n, words FROM stretches WHERE size = n
+  QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) > 1
+), gone AS (
+  SELECT DISTINCT w.doc_id, w.number
+  FROM wordy w JOIN later l ON w.doc_id = l.doc_id AND w.pos BETWEEN l.pos AND l.pos + l.n - 1
+  WHERE l.words >= 5
+), joined AS (
+  SELECT n.doc_id, n.number, n.line, g.number IS NOT NULL AS deleted
+  FROM numbered n LEFT JOIN gone g ON n.doc_id = g.doc_id AND n.number = g.number
+)
+SELECT d.doc_id, coalesce(len(any_value(d.parts)), 0) AS n_lines,
+       count(*) FILTER (j.deleted) AS n_deleted,
+       sha256(coalesce(string_agg(j.line, chr(10) ORDER BY j.number) FILTER (NOT j.deleted), ''))
+         AS text_sha256
+FROM split d LEFT JOIN joined j ON d.doc_id = j.doc_id
+GROUP BY d.doc_id
+"""
