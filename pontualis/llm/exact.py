@@ -73,4 +73,4 @@ def exact_dedup(df: DataFrame, *, id_column: str = "doc_id", text_column: str =
     other = fresh(df.columns, "_id")
     kept = (groups(df, id_column=id_column, text_column=text_column, keep=keep)
             .filter("kept").select(F.col("id").alias(other)).distinct())
-    return df.join(kept, df[id_column].eqNullSafe(kept[other]), "left_semi")
+    return df.join(kept, F.col(id_column).eqNullSafe(F.col(other)), "left_semi")

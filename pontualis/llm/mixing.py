@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pontualis.llm.tables import WORD, with_running
+from pontualis.llm.tables import WORD, fresh, with_running
 from pontualis.sources.scratch import materialize
 
 
@@ -91,16 +91,15 @@ def repeated(df: DataFrame, **parameters) -> DataFrame:
     """
     id_column = parameters.get("id_column", "doc_id")
     text_column = parameters.get("text_column", "text")
+    name, size, taken, copy = (fresh(df.columns, c) for c in ("_id", "_size", "_taken", "_copy"))
     plan = (mix(df, **parameters).filter("taken > 0")
-            .select(F.col("id").alias("_mix_id"), F.col("size").alias("_mix_size"),
-                    F.col("taken").alias("_mix_taken")))
-    joined = df.join(plan, df[id_column].eqNullSafe(plan["_mix_id"]))
-    part = F.col("_mix_taken") % F.col("_mix_size")
-    copies = F.array_repeat(F.lit(0).cast("long"),
-                            (F.col("_mix_taken") / F.col("_mix_size")).cast("int"))
+            .select(F.col("id").alias(name), F.col("size").alias(size), F.col("taken").alias(taken)))
+    joined = df.join(plan, F.col(id_column).eqNullSafe(F.col(name)))
+    part = F.col(taken) % F.col(size)
+    copies = F.array_repeat(F.lit(0).cast("long"), (F.col(taken) / F.col(size)).cast("int"))
     copies = F.when(part > 0, F.array_append(copies, part)).otherwise(copies)
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_column), F.lit(WORD), F.lit(0)),
-                               1, F.greatest(F.col("_mix_copy"), F.lit(1)).cast("int")), " ")
-    text = F.when(F.col("_mix_copy") > 0, cut).otherwise(F.col(text_column))
-    return (joined.withColumn("_mix_copy", F.explode(copies)).withColumn(text_column, text)
+    found = F.regexp_extract_all(F.col(text_column), F.lit(WORD), F.lit(0))
+    cut = F.array_join(F.slice(found, 1, F.col(copy).cast("int")), " ")
+    text = F.when(F.col(copy) > 0, cut).otherwise(F.col(text_column))
+    return (joined.withColumn(copy, F.explode(copies)).withColumn(text_column, text)
             .select(*df.columns))

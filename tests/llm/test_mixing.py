@@ -1,0 +1,63 @@
+import random
+import re
+
+import pytest
+
+from pontualis.llm import mixing
+
+
+def poured(sizes, weights, budget, epochs):
+    """Clamp and reshare until no source is above its cap."""
+    total, caps = budget * sum(sizes), [epochs * s for s in sizes]
+    clamped = set()
+    while True:
+        rest = total - sum(caps[i] for i in clamped)
+        free = sum(w for i, w in enumerate(weights) if i not in clamped)
+        targets = [caps[i] if i in clamped else rest * w / free for i, w in enumerate(weights)]
+        above = {i for i, t in enumerate(targets) if i not in clamped and t >= caps[i]}
+        if not above:
+            return targets
+        clamped |= above
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_water_filling(spark, seed):
+    dice = random.Random(seed)
+    sizes = [dice.choice((0, 1, 10, 500, 10_000)) for _ in range(9)] + [7]
+    weights = [(3, 1, 2)[i % 3] for i in range(10)]
+    rows = list(enumerate(zip(sizes, weights)))
+    df = spark.createDataFrame([(i, s, w) for i, (s, w) in rows], "rank int, size long, weight int")
+    got = {r["rank"]: r.target for r in mixing.water_fill(df, budget=1.5, max_epochs=2).collect()}
+    for i, target in enumerate(poured(sizes, weights, 1.5, 2)):
+        assert got[i] == pytest.approx(target)
+
+
+def test_sources_get_their_targets(odd):
+    rows = mixing.mix(odd).collect()
+    assert rows == mixing.mix(odd).collect() or sorted(map(str, rows)) == sorted(
+        map(str, mixing.mix(odd).collect()))
+    by_source = {}
+    for r in rows:
+        assert 0 <= r.taken <= 2 * r.size
+        taken, _ = by_source.get(r.source, (0, 0))
+        by_source[r.source] = (taken + r.taken, r.target)
+    assert None in by_source
+    for taken, target in by_source.values():
+        assert abs(taken - target) <= 0.5
+    assert sum(t for t, _ in by_source.values()) == pytest.approx(
+        1.5 * sum(r.size for r in rows), abs=len(by_source))
+
+
+def test_repeated_rows_hold_the_words_taken(odd):
+    docs = odd.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    taken = {r.id: r.taken for r in mixing.mix(docs).collect()}
+    found = {}
+    out = mixing.repeated(docs)
+    assert out.columns == docs.columns
+    for r in out.collect():
+        found[r.doc_id] = found.get(r.doc_id, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
+    assert found == {i: t for i, t in taken.items() if t}
+
+
+def test_empty(empty):
+    assert mixing.mix(empty).count() == 0
