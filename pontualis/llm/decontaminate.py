@@ -72,7 +72,8 @@ def _windows(items: list, texts: pa.Array, size: int) -> dict[tuple, list[int]]:
     out: dict[tuple, list[int]] = {}
     number: dict = {}
     ends = np.cumsum(np.bincount(found.doc, minlength=len(items)))
-    for item, hashes in zip(items, np.split(found.hash, ends[:-1]), strict=True):
+    own_words = np.split(found.hash, ends[:-1]) if items else []
+    for item, hashes in zip(items, own_words, strict=True):
         own = tuple(hashes.tolist())
         n = number.setdefault(item, len(number))
         for i in range(max(1, len(own) - size + 1) if own else 0):

@@ -51,6 +51,7 @@ PRIORS = {"insult": 0.9, "insult+target": 0.95, "not-insult": 0.4, "said-insult"
           "threat+target": 0.8, "threat": 0.2, "not-threat": 0.05, "said-threat": 0.1}
 _PRIOR_ROWS = 2.0
 _SCOPE = 3
+_AIM = 5  # words after a person addressed that are about them
 _MOST = 3  # repeats of a pattern that count
 
 _CLAUSE_END = re.compile(r"[.!?;:\n]")
@@ -120,7 +121,7 @@ def grammar() -> Transducer:
 
     def aim(since, symbol):
         if symbol == "target":
-            return _SCOPE, symbol
+            return _AIM, symbol
         hit = since and symbol in ("insult", "threat")
         return max(0, since - 1), f"{symbol}+target" if hit else symbol
 
@@ -208,16 +209,18 @@ def _features(text: str) -> set[str]:
     return words | {f"{w[:k]}*" for w in words for k in range(3, 7) if len(w) > k}
 
 
-def _lower_bound(hits: float, n: float, z: float = 1.64) -> float:
-    """Wilson's lower bound of a share."""
-    share = hits / n
-    middle = share + z * z / (2 * n)
-    spread = z * math.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
-    return (middle - spread) / (1 + z * z / n)
+def _by_chance(hits: int, n: int, rate: float) -> float:
+    """The chance of ``hits`` or more toxic texts among ``n`` at the common rate."""
+    if not 0 < rate < 1:
+        return float(rate >= 1)
+    logs = [math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+            + k * math.log(rate) + (n - k) * math.log1p(-rate) for k in range(hits, n + 1)]
+    return sum(map(math.exp, logs))
 
 
-def _learn_lexicon(sample: DataFrame, known: Model, toxic: int, most: int, share: float):
-    """Words and stems that mark toxic texts among those without a known pattern."""
+def _learn_lexicon(sample: DataFrame, known: Model, toxic: int, rate: float, most: int, share: float):
+    """Words and stems that mark toxic texts among those without a known pattern; ``rate`` is
+    the share of toxic texts."""
     shared = sample.sparkSession.sparkContext.broadcast(known)
 
     def count(batches):
@@ -238,12 +241,14 @@ def _learn_lexicon(sample: DataFrame, known: Model, toxic: int, most: int, share
              pa.array([hits[f] for f in keep], pa.int64())], ["feature", "n", "hits"])
 
     least = max(3, int(share * toxic))
-    counted = (sample.mapInArrow(count, "feature string, n long, hits long")
-               .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
-               .filter((F.col("hits") >= least) & (F.col("hits") * 2 > F.col("n")))
-               .orderBy(F.desc("hits"), "feature").limit(most))
-    got = [r for r in counted.collect() if _lower_bound(r.hits, r.n) >= 0.5]
-    hits = {r.feature: r.hits for r in got}
+    counted = materialize(sample.mapInArrow(count, "feature string, n long, hits long")
+                          .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")),
+                          "features")
+    # So rare by chance that, of all features, hardly one is taken wrongly.
+    rare = 0.05 / max(1, counted.count())
+    got = (counted.filter((F.col("hits") >= least) & (F.col("hits") * 4 > 3 * F.col("n")))
+           .orderBy(F.desc("hits"), "feature").limit(most).collect())
+    hits = {r.feature: r.hits for r in got if _by_chance(r.hits, r.n, rate) < rare}
 
     def specific(feature: str) -> int:
         """Hits of the commonest feature that this one is a beginning of."""
@@ -277,10 +282,10 @@ def train(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id",
     once = (texts.groupBy("run").agg(F.min_by(F.struct("label", "text"), F.struct("_id", "text"))
                                      .alias("row")).select("row.label", "row.text"))
     sample = materialize(once.select(F.col("label").cast("int").alias("label"), "text"), "labelled")
-    toxic = sample.filter("label = 1").count()
+    toxic, rows = sample.filter("label = 1").count(), sample.count()
     model = Model(INSULTS, (), dict(PRIORS), 0.0)
     for least in (0.02, 0.01):
-        words, stems = _learn_lexicon(sample, model, toxic, lexicon, least)
+        words, stems = _learn_lexicon(sample, model, toxic, toxic / max(1, rows), lexicon, least)
         model = Model(model.words | words, tuple(sorted({*model.stems, *stems})), model.weights, 0.0)
     return _weighed(sample, model)
 
