@@ -17,6 +17,7 @@ from pontualis.operators.joins import flag_membership
 from pontualis.operators.rows import stamp
 
 REASONS = "motivos_quarentena"
+BROKEN = "regras_reprovadas"
 SEPARATOR = " | "
 
 
@@ -75,6 +76,10 @@ def rule_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         F.count(F.lit(1)).alias("linhas"),
         *[F.count_if(broken(r)).alias(r.name) for r in rules],
     )
+    return _long(counts, rules)
+
+
+def _long(counts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     long = counts.unpivot("linhas", [r.name for r in rules], "regra", "reprovados")
     return long.select(
         "regra", (F.col("linhas") - F.col("reprovados")).alias("aprovados"), "reprovados"
@@ -94,10 +99,32 @@ def with_rule_metrics(df: DataFrame, rules: Sequence[Rule], seen: Observation) -
     )
 
 
+def audited(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """All rows with the rules they break, evaluated once.  No row is dropped.
+
+    Publish this table; metrics and quarantine are then scans of it.
+    """
+    return df.withColumn(BROKEN, broken_rules(rules))
+
+
+def metrics_of(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """:func:`rule_metrics` from an audited table, of which only one column is read."""
+    broken_name = {r.name: F.array_contains(BROKEN, r.name) for r in rules}
+    counts = rows.agg(F.count(F.lit(1)).alias("linhas"),
+                      *[F.count_if(c).alias(name) for name, c in broken_name.items()])
+    return _long(counts, rules)
+
+
+def quarantine_of(rows: DataFrame) -> DataFrame:
+    """:func:`quarantine` from an audited table."""
+    failing = rows.filter(F.size(BROKEN) > 0)
+    reasons = F.array_join(BROKEN, SEPARATOR)
+    return stamp(failing.withColumn(REASONS, reasons).drop(BROKEN), QUARANTINED_AT)
+
+
 def audit(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """All rows with the rules they break, and the metrics.  No row is dropped."""
-    rows = df.withColumn("regras_reprovadas", broken_rules(rules))
-    return rows, rule_metrics(df, rules)
+    return audited(df, rules), rule_metrics(df, rules)
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

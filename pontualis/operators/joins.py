@@ -14,6 +14,8 @@ split out, hence the extra grouping column of :func:`unjoined_grouping`.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,15 +37,20 @@ def clean_keys(dim: DataFrame, key: str) -> DataFrame:
     return distinct_keys(dim.filter(is_filled(F.col(key))), key)
 
 
-def one_row_per_key(dim: DataFrame, key: str) -> DataFrame:
-    """Non-blank keys with the smallest of their attribute rows.
+def one_row_per_key(dim: DataFrame, key: str, *, wanted: str | None = None,
+                    precedence: Sequence[Column] = ()) -> DataFrame:
+    """Non-blank keys with one of their attribute rows.
 
-    Registries may list a code more than once; taking the minimum of the whole attribute
-    row keeps the choice independent of row order.
+    Registries may list a code more than once.  Rows whose ``wanted`` attribute (the first
+    one, if not named) is filled come first, then those first by ``precedence``, then the
+    smallest row, so that the choice never depends on row order.
     """
     values = [c for c in dim.columns if c != key]
+    blank = ~is_filled(F.col(wanted or values[0]).cast("string"))
+    order = F.struct(blank.alias("blank"), *[c.alias(f"p{i}") for i, c in enumerate(precedence)],
+                     *values)
     groups = dim.filter(is_filled(F.col(key))).groupBy(key, unjoined_grouping(key))
-    return groups.agg(F.min(F.struct(*values)).alias("row")).select(key, "row.*")
+    return groups.agg(F.min(order).alias("row")).select(key, *[f"row.{c}" for c in values])
 
 
 def flag_membership(df: DataFrame, key: str, dim: DataFrame, dim_key: str, out: str) -> DataFrame:

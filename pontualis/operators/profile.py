@@ -13,10 +13,9 @@ from pontualis.model import INGESTED_AT, NO_INSTANT, SOURCE_FILE
 from pontualis.operators.rows import union_all
 
 
-def sum_if(condition: Column, among: Column | None = None) -> Column:
-    """Rows meeting ``condition`` (of those ``among``); NULL over no rows, as SUM is."""
-    flag = F.when(condition, 1).otherwise(0)
-    return F.sum(flag if among is None else F.when(among, flag))
+def sum_if(condition: Column) -> Column:
+    """Rows meeting ``condition``; NULL over no rows, as SUM is."""
+    return F.sum(F.when(condition, 1).otherwise(0))
 
 
 def sentinel_profile(bronze: DataFrame) -> DataFrame:
@@ -116,16 +115,14 @@ def attr_listing(df: DataFrame, entity: str, attributes: Sequence[str], label: s
 def recovered_but_late(flights: DataFrame, threshold: int = 15) -> DataFrame:
     """Flights that won time in the air, by how they arrived all the same.
 
-    The condition sits in the aggregates: as a filter it would be pushed to wherever the
-    delays are derived and make Spark derive them twice.
+    Meant for a published table, whose scan takes the filter.
     """
-    won = F.col("minutos_recuperados") > 0
     delay = F.col("atraso_chegada_min")
-    return flights.agg(
-        F.count_if(won).alias("recuperou_algum_minuto"),
-        sum_if(delay <= 0, among=won).alias("chegou_adiantado_ou_no_horario"),
-        sum_if(delay > 0, among=won).alias("chegou_atrasado_mesmo_assim"),
-        sum_if(delay > threshold, among=won).alias(f"chegou_atrasado_mais_de_{threshold}"),
+    return flights.filter(F.col("minutos_recuperados") > 0).agg(
+        F.count(F.lit(1)).alias("recuperou_algum_minuto"),
+        sum_if(delay <= 0).alias("chegou_adiantado_ou_no_horario"),
+        sum_if(delay > 0).alias("chegou_atrasado_mesmo_assim"),
+        sum_if(delay > threshold).alias(f"chegou_atrasado_mais_de_{threshold}"),
     )
 
 

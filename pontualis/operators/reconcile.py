@@ -60,7 +60,7 @@ def keyed_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], compare:
     )
     diff = old.join(new, list(keys), "full").withColumn("status", status)
     if position:
-        diff = diff.orderBy(F.coalesce(F.col(position), F.lit(999)), *keys)
+        diff = diff.orderBy(F.col(position).asc_nulls_last(), *keys)
     return diff.select(*keys, before, after, "status")
 
 
@@ -128,10 +128,14 @@ def reconcile_pairs(raw: DataFrame, typed: DataFrame,
     """
     def counted(df: DataFrame, size: str, measures: dict[str, Column]) -> DataFrame:
         return df.groupBy(*keys).agg(
-            F.count(F.lit(1)).cast(PAIR_COUNT).alias(size),
-            *[F.count_if(c).cast(PAIR_COUNT).alias(n) for n, c in measures.items()],
+            F.count(F.lit(1)).alias(size),
+            *[F.count_if(c).alias(n) for n, c in measures.items()],
         )
 
+    def product(a: str, b: str) -> Column:
+        """Counts stay BIGINT through join and sort; only their product is wider."""
+        return F.col(a).cast(PAIR_COUNT) * F.col(b).cast(PAIR_COUNT)
+
     raw_measures, typed_measures = _raw_measures(), _typed_measures()
     present = {f"bronze_{c}_texto": F.col(c) != NO_INSTANT for c in INSTANTS}
     typed_ok = {f"silver_{c}_ok": F.col(c).isNotNull() for c in INSTANTS}
@@ -139,11 +143,10 @@ def reconcile_pairs(raw: DataFrame, typed: DataFrame,
         counted(typed, "__typed", {**typed_measures, **typed_ok}), list(keys), "inner"
     )
     products = {
-        **{n: F.col(n) * F.col("__typed") for n in raw_measures},
-        **{n: F.col(n) * F.col("__raw") for n in typed_measures},
-        **{f"{c}_cast_ok": F.col(f"bronze_{c}_texto") * F.col(f"silver_{c}_ok")
-           for c in INSTANTS},
-        "total_linhas": F.col("__raw") * F.col("__typed"),
+        **{n: product(n, "__typed") for n in raw_measures},
+        **{n: product(n, "__raw") for n in typed_measures},
+        **{f"{c}_cast_ok": product(f"bronze_{c}_texto", f"silver_{c}_ok") for c in INSTANTS},
+        "total_linhas": product("__raw", "__typed"),
     }
     return groups.agg(*[F.sum(products[c]).cast(PAIR_COUNT).alias(c) for c in PROFILE_COLUMNS])
 
@@ -152,24 +155,25 @@ def side_by_side(raw: DataFrame, typed: DataFrame, keys: Sequence[str] = PAIR_KE
                  tie: str | None = None, n: int = 5) -> DataFrame:
     """The first ``n`` (raw, typed) pairs by scheduled departure, next to each other.
 
-    The pairs needed can only involve the first ``n`` typed rows that have a partner, so
-    those are found first (semi join, top-n) and only they, broadcast, meet the raw rows;
-    the last top-n keeps ``n`` pairs per task.  ``tie``, a unique column of both sides,
-    lets the semi join shuffle keys and order alone, and a scan fetch the rest.  Without
-    one, ties are broken by the shown columns, so only equal pairs are interchangeable.
+    The pairs needed belong to the first ``n`` keys that have a partner, in the order of each
+    key's first typed row, for every earlier key has an earlier pair.  So only keys and what
+    orders them are aggregated, shuffled and semi-joined; the ``n`` keys, broadcast, then
+    fetch the rows from both sides.  ``tie``, a unique column of both sides, orders rows of
+    the same instant.  Without one, ties are broken by the keys and the shown columns, so
+    only equal pairs are interchangeable.
     """
     shown = (*INSTANTS, "codigo_justificativa")
     typed_order = [_SCHEDULED, *([tie] if tie else [*keys, *shown, "situacao_voo"])]
+    lead = [_SCHEDULED, *([tie] if tie else [])]
     raw_order = [tie] if tie else [f"bronze_{c}" for c in shown]
 
     def first(df: DataFrame, *order: str) -> DataFrame:
         return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
 
-    candidates = typed.select(*keys, _SCHEDULED, tie) if tie else typed
-    paired = candidates.join(distinct_keys(raw, *keys), list(keys), "left_semi")
-    chosen = first(paired, *typed_order)
-    if tie:
-        chosen = typed.join(F.broadcast(chosen.select(tie)), tie, "left_semi")
+    starts = typed.groupBy(*keys).agg(F.min(F.struct(*lead)).alias("__lead"))
+    paired = starts.join(distinct_keys(raw, *keys), list(keys), "left_semi")
+    nearest = first(paired, "__lead", *keys).select(*keys)
+    chosen = first(typed.join(F.broadcast(nearest), list(keys), "left_semi"), *typed_order)
     typed_side = chosen.select(
         *keys,
         *[F.col(c).cast("string").alias(f"silver_{c}") for c in shown],

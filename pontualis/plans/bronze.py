@@ -15,12 +15,15 @@ from pontualis.sources.delimited import Layout, read_delimited
 
 @dataclass(frozen=True)
 class Source:
-    """Files of one layout.  ``label`` fixes the provenance text; else it is the file name."""
+    """Files of one layout.  ``label`` fixes the provenance text; else it is the file name.
+    ``malformed`` names the column that keeps lines with too many or too few fields.
+    """
 
     path: str
     layout: Layout
     label: str | None = None
     provenance: bool = True
+    malformed: str | None = None
 
 
 def bronze_table(spark: SparkSession, source: Source,
@@ -28,7 +31,8 @@ def bronze_table(spark: SparkSession, source: Source,
     named_by_file = source.provenance and source.label is None
     rows = read_delimited(
         spark, source.path, source.layout,
-        provenance=SOURCE_FILE if named_by_file else None, headers_seen=headers_seen,
+        provenance=SOURCE_FILE if named_by_file else None, malformed=source.malformed,
+        headers_seen=headers_seen,
     )
     if source.label is not None:
         rows = rows.withColumn(SOURCE_FILE, F.lit(source.label))

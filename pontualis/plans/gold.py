@@ -86,15 +86,23 @@ def with_code_texts(df: DataFrame, codes: DataFrame) -> DataFrame:
     return df
 
 
-def with_carrier(df: DataFrame, carriers: DataFrame) -> DataFrame:
-    """Company name, and the registry it came from (NULL if unregistered)."""
+def with_carrier(df: DataFrame, carriers: DataFrame,
+                 registries: Sequence[str] = (model.NATIONAL, model.FOREIGN)) -> DataFrame:
+    """Company name, and the registry it came from (NULL if unregistered).
+
+    Of several entries of a code, one with a name is taken, from the first of ``registries``
+    that has one.
+    """
+    place = F.array_position(F.array(*[F.lit(r) for r in registries]), F.col("cadastro_companhia"))
     registered = one_row_per_key(
         carriers.select(
             F.col("icao").alias("icao_empresa"),
             F.col("origem_cadastro").alias("cadastro_companhia"),
             F.col("razao_social").alias("nome_companhia"),
         ),
-        "icao_empresa",
+        "icao_empresa", wanted="nome_companhia",
+        # Registries that are not listed have position 0 and come last.
+        precedence=[F.when(place > 0, place).otherwise(len(registries) + 1)],
     )
     named = df.join(registered, "icao_empresa", "left")
     return named.withColumn(

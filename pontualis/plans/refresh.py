@@ -7,19 +7,25 @@ Repeating a refresh that died, with the same load id, resumes after its last tab
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from pontualis.operators import contract
 from pontualis.plans import gold, silver
 from pontualis.plans.bronze import Source, bronze_table
 from pontualis.sources.delimited import AIRLINES, AIRPORTS, FLIGHTS
-from pontualis.sources.loads import is_published, publish, read_load
+from pontualis.sources.loads import is_published, publish, read_load, require_origin
 from pontualis.sources.seeds import operation_codes
 
 
+#: Bronze keeps here the whole line of a row with too many or too few fields.
+MALFORMED = "_linha_malformada"
+
+
 class HeaderMismatch(ValueError):
     """Some file's header line differs from the first file's."""
 
@@ -33,11 +39,11 @@ class Inputs:
 
     def sources(self) -> dict[str, Source]:
         def named(path: str) -> Source:
-            return Source(path, AIRLINES, label=path.rsplit("/", 1)[-1])
+            return Source(path, AIRLINES, label=path.rsplit("/", 1)[-1], malformed=MALFORMED)
 
         return {
-            "vra": Source(self.flights, FLIGHTS),
-            "aerodromos": Source(self.airports, AIRPORTS, provenance=False),
+            "vra": Source(self.flights, FLIGHTS, malformed=MALFORMED),
+            "aerodromos": Source(self.airports, AIRPORTS, provenance=False, malformed=MALFORMED),
             "empresas_nacionais": named(self.national_carriers),
             "empresas_estrangeiras": named(self.foreign_carriers),
         }
@@ -47,8 +53,16 @@ def publish_bronze(spark: SparkSession, source: Source, path: str, load_id: str,
                    view: str) -> DataFrame:
     """Publish one source, unless one of its files turns out to have another header.
 
-    The write is a single map stage, so each task's count enters exactly once.
+    The write is a single map stage, so each task's count enters exactly once.  The commit
+    holds the files' names, sizes and times; a committed load is taken as it is if they are
+    still the same.
     """
+    origin = file_listing(spark, source.path)
+    if is_published(spark, path, load_id):
+        require_origin(spark, path, load_id, origin)
+        table = read_load(spark, path, load_id)
+        table.createOrReplaceTempView(view)
+        return table
     seen = Observation()
     rows = bronze_table(spark, source, headers_seen=seen)
     files = len(rows.inputFiles())
@@ -57,7 +71,15 @@ def publish_bronze(spark: SparkSession, source: Source, path: str, load_id: str,
         if source.layout.banner_lines and seen.get["headers"] != files:
             raise HeaderMismatch(f"{source.path}: {seen.get['headers']} of {files} headers match")
 
-    return publish(rows, path, load_id, view=view, verify=one_header_per_file)
+    return publish(rows, path, load_id, view=view, verify=one_header_per_file, origin=origin)
+
+
+def file_listing(spark: SparkSession, path: str) -> str:
+    """A digest of the names, sizes and times of the files a source reads."""
+    files = (spark.read.format("binaryFile").load(path)
+             .select("path", "length", F.col("modificationTime").cast("string")))
+    lines = sorted("|".join(map(str, row)) for row in files.collect())
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()
 
 
 def refresh(spark: SparkSession, inputs: Inputs, root: str, load_id: str) -> dict[str, DataFrame]:
@@ -80,21 +102,29 @@ def refresh(spark: SparkSession, inputs: Inputs, root: str, load_id: str) -> dic
         step(name, lambda path, view: publish(df, path, load_id, view=view, **options))
 
     for name, source in inputs.sources().items():
-        step(f"bronze.{name}", lambda path, view, source=source: publish_bronze(
-            spark, source, path, load_id, view))
+        view = f"bronze_{name}"
+        tables[f"bronze.{name}"] = publish_bronze(spark, source, f"{root}/{view}", load_id, view)
     put("bronze.codigos_operacao", operation_codes(spark))
 
-    put("silver.vra", silver.silver_flights(tables["bronze.vra"]))
+    def kept(name: str) -> DataFrame:
+        """Bronze as silver mirrors it: malformed lines stay below."""
+        return tables[f"bronze.{name}"].drop(MALFORMED)
+
+    put("silver.vra", silver.silver_flights(kept("vra")))
     put("silver.empresas", silver.silver_carriers(
-        tables["bronze.empresas_nacionais"], tables["bronze.empresas_estrangeiras"]))
-    put("silver.aerodromos", silver.silver_airports(tables["bronze.aerodromos"]))
+        kept("empresas_nacionais"), kept("empresas_estrangeiras")))
+    put("silver.aerodromos", silver.silver_airports(kept("aerodromos")))
     put("silver.codigos_operacao", silver.silver_codes(tables["bronze.codigos_operacao"]))
     flights, airports = tables["silver.vra"], tables["silver.aerodromos"]
 
-    marked = contract.flag_references(flights, airports, tables["silver.empresas"])
     rules = contract.flight_rules()
-    put("contract.vra_metricas", contract.rule_metrics(marked, rules))
-    put("contract.vra_quarentena", contract.quarantine(marked, rules))
+    put("contract.vra_auditado", contract.audited(
+        contract.flag_references(flights, airports, tables["silver.empresas"]), rules))
+    audited = tables["contract.vra_auditado"]
+    # Flags without verdicts: a view alone, not a table.
+    audited.drop(contract.BROKEN).createOrReplaceTempView("vra_marcado")
+    put("contract.vra_metricas", contract.metrics_of(audited, rules))
+    put("contract.vra_quarentena", contract.quarantine_of(audited))
 
     put("gold.dim_aeroporto", gold.build_dim(flights, airports))
     put("gold.fato_voos", gold.build_fact(

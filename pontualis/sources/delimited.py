@@ -9,7 +9,7 @@ Files stay splittable: no multi-line mode, no whole-file reads, no inference.
 from __future__ import annotations
 
 import csv
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
@@ -62,12 +62,24 @@ def _is_header(names: list[str]) -> Column:
     return reduce(and_, [quoted(n).eqNullSafe(F.lit(n)) for n in names])
 
 
+def _other_header(names: list[str], wanted: Iterable[str]) -> Column:
+    """Whether a row holds all wanted column names, in whatever order."""
+    # Ordinary rows fail the first, cheap test.
+    starts = quoted(names[0]).isin(*names)
+    row = F.array(*[quoted(n) for n in names])
+    return starts & reduce(and_, [F.array_contains(row, n) for n in wanted])
+
+
 def read_delimited(spark: SparkSession, path: str, layout: Layout, *,
-                   provenance: str | None = None,
+                   provenance: str | None = None, malformed: str | None = None,
                    headers_seen: Observation | None = None) -> DataFrame:
     """All rows of the files matching ``path``, renamed per ``layout``, as text.
 
-    Raises ``MissingColumns`` before any row is read if the header lacks a column.
+    Raises ``MissingColumns`` before any row is read if the header lacks a column, and
+    fails at the header line of a file whose columns come in another order, rather than
+    read its values into the wrong columns.
+    ``malformed`` names a column to receive the whole line of a row with more or fewer fields
+    than the header (NULL for all other rows), so that no field is lost.
     ``provenance`` names a column to receive the file name.  ``headers_seen`` counts the
     header lines met (as ``headers``) while an action runs; a load can compare that with
     the number of files, which shows a file whose header differs from the others.
@@ -84,16 +96,25 @@ def read_delimited(spark: SparkSession, path: str, layout: Layout, *,
         "escape": layout.quote or "",
     }
     schema = StructType([StructField(n, StringType()) for n in names])
+    if malformed:
+        schema = schema.add(malformed, StringType())
+        options["columnNameOfCorruptRecord"] = malformed
     rows = spark.read.schema(schema).options(**options).csv(path)
-    columns = [quoted(n) for n in names]
+    columns = [quoted(n) for n in schema.names]
     if provenance:
         columns.append(F.col("_metadata.file_name").alias(provenance))
     rows = rows.select(*columns)
     if layout.banner_lines:
         if headers_seen is not None:
             rows = rows.observe(headers_seen, F.count_if(_is_header(names)).alias("headers"))
-        rows = rows.filter(~_is_header(names))
+        message = F.lit(f"{path}: a file's header has the columns in another order")
+        rows = rows.filter(
+            F.when(_is_header(names), False)
+            .when(_other_header(names, layout.columns), F.raise_error(message).isNull())
+            .otherwise(True))
     renames = dict(layout.columns)
+    if malformed:
+        renames[malformed] = malformed
     if provenance:
         renames[provenance] = provenance
     return project_map(rows, renames)

@@ -21,13 +21,22 @@ from pyspark.sql.types import StructType
 from pontualis.model import INGESTED_AT
 from pontualis.operators.rows import union_all
 
-LOADS_DDL = "load_id string, linhas bigint, esquema string, publicado_em timestamp"
+LOADS_DDL = ("load_id string, linhas bigint, esquema string, publicado_em timestamp, "
+             "sequencia bigint, origem string")
 
 
 class LoadNotFound(LookupError):
     """No committed load of that name, or none at all."""
 
 
+class RivalLoad(RuntimeError):
+    """Another writer has committed the same load, or the same place in the history."""
+
+
+class InputsChanged(ValueError):
+    """A committed load was made from other inputs."""
+
+
 def loads(spark: SparkSession, path: str) -> DataFrame:
     """The committed loads of a table; empty if there are none."""
     try:
@@ -68,9 +77,16 @@ def read_load(spark: SparkSession, path: str, load_id: str) -> DataFrame:
     return _committed(spark, path, commit)
 
 
+def require_origin(spark: SparkSession, path: str, load_id: str, origin: str) -> None:
+    """Raises ``InputsChanged`` if the committed load has another ``origin``."""
+    commit = _find(spark, path, load_id)
+    if commit is not None and commit.origem != origin:
+        raise InputsChanged(f"{path}: load {load_id} was made from other inputs")
+
+
 def current(spark: SparkSession, path: str) -> DataFrame:
-    """The load committed last."""
-    latest = loads(spark, path).orderBy(F.desc("publicado_em"), F.desc("load_id")).first()
+    """The load committed last, by its place in the history and not by any clock."""
+    latest = loads(spark, path).orderBy(F.desc("sequencia"), F.desc("load_id")).first()
     if latest is None:
         raise LoadNotFound(path)
     return _committed(spark, path, latest)
@@ -78,13 +94,15 @@ def current(spark: SparkSession, path: str) -> DataFrame:
 
 def publish(df: DataFrame, path: str, load_id: str, *, view: str | None = None,
             partition_by: Sequence[str] = (), rebalance: bool = False,
-            verify: Callable[[], None] | None = None) -> DataFrame:
+            verify: Callable[[], None] | None = None, origin: str | None = None) -> DataFrame:
     """Replace the table at ``path`` by ``df``; the schema may differ from the last load.
 
     ``verify`` runs after the write and before the commit; if it raises, the previous load
     stays current.  ``rebalance`` gathers the rows of each ``partition_by`` value first, so
     that tasks do not write a small file into every partition; AQE splits a hot value over
     several tasks.  Rows read from a table with the same partitions need no rebalancing.
+    ``origin`` describes the inputs, for :func:`require_origin`.  After its commit a writer
+    looks whether a rival has taken the same load or place, and raises ``RivalLoad`` if so.
     """
     spark = df.sparkSession
     if is_published(spark, path, load_id):
@@ -94,13 +112,18 @@ def publish(df: DataFrame, path: str, load_id: str, *, view: str | None = None,
     if verify is not None:
         verify()
     written = _read(spark, path, load_id, df.schema)
+    place = (loads(spark, path).agg(F.max("sequencia")).first()[0] or 0) + 1
     commit = pa.table({
         "load_id": [load_id],
         "linhas": [written.count()],
         "esquema": [df.schema.json()],
         "publicado_em": [datetime.now(timezone.utc)],
+        "sequencia": pa.array([place], pa.int64()),
+        "origem": pa.array([origin], pa.string()),
     })
     spark.createDataFrame(commit).write.mode("append").parquet(f"{path}/loads")
+    if loads(spark, path).filter((F.col("load_id") == load_id) | (F.col("sequencia") == place)).count() > 1:
+        raise RivalLoad(f"{path}: another writer has committed {load_id} or place {place}")
     if view:
         written.createOrReplaceTempView(view)
     return written

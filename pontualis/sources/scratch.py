@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import functools
 import itertools
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,25 +10,23 @@ _SETTING = "spark.checkpoint.dir"
 _serial = itertools.count()
 
 
-@functools.cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"pontualis-{application}-")
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see, by what the session says of itself.
 
+    In this order: ``spark.checkpoint.dir``, the context's checkpoint folder, and the
+    warehouse.  Never a machine's own temporary folder.
+    """
+    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; a temporary one only for a local session without it."""
-    folder = spark.conf.get(_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    return _local_folder(spark.sparkContext.applicationId)
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path on shared storage that no other call gets."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/{app}/{name}-{next(_serial)}"
+    return f"{_own_folder(spark)}/{name}-{next(_serial)}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -42,3 +38,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Remove what this application has put there; its results must no longer be in use."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

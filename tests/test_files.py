@@ -46,6 +46,23 @@ def test_missing_column_raises_before_reading(spark, tmp_path):
         read_delimited(spark, str(tmp_path), FLIGHTS)
 
 
+def test_reordered_columns_are_never_read_into_the_wrong_ones(spark, tmp_path):
+    layout = Layout({"a": "first", "b": "second"})
+    write(tmp_path / "1.csv", ["banner", '"a";"b"', '"1";"2"'])
+    write(tmp_path / "2.csv", ["banner", '"b";"a"', '"4";"3"'])
+    with pytest.raises(Exception, match="columns in another order"):
+        read_delimited(spark, f"{tmp_path}/*.csv", layout).collect()
+
+
+def test_lines_with_other_numbers_of_fields_are_kept_whole(spark, tmp_path):
+    layout = Layout({"a": "first", "b": "second"})
+    write(tmp_path / "1.csv", ["banner", '"a";"b"', '"1";"2"', '"3";"4";"5"', '"6"', ';'])
+    rows = read_delimited(spark, str(tmp_path), layout, malformed="line").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(
+        [("1", "2", None), ("3", "4", '"3";"4";"5"'), ("6", None, '"6"'), (None, None, None)], key=str)
+    assert [tuple(r) for r in read_delimited(spark, str(tmp_path), layout).collect()][1] == ("3", "4")
+
+
 def test_empty_file_has_no_columns(spark, tmp_path):
     write(tmp_path / "a.csv", ["Atualizado em: x"])
     with pytest.raises(MissingColumns):

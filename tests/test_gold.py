@@ -11,6 +11,7 @@ from pontualis.plans import gold
 from pontualis.sources.scratch import materialize
 from tests.plans import adapted, executed
 from workload import flights as w
+from workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -142,3 +143,31 @@ def test_cancelled_flights_are_in_no_mean(spark):
     assert (row.voos, row.voos_cancelados, row.partidas_avaliadas) == (3, 1, 2)
     assert row.atraso_partida_medio == 20.0 and row.pontualidade_partida == 0.5
     assert row.taxa_cancelamento == pytest.approx(1 / 3)
+
+
+def test_a_name_is_preferred_then_the_first_registry(spark):
+    carriers = spark.createDataFrame(
+        [("TAM", None, "estrangeira"), ("TAM", "TAM LINHAS", "nacional"), ("AAA", "Z foreign", "estrangeira"),
+         ("AAA", "Y national", "nacional"), ("BBB", "", "nacional"), ("BBB", "B named", "estrangeira"),
+         ("CCC", None, "nacional"), ("", "no code", "nacional")],
+        "icao string, razao_social string, origem_cadastro string")
+    legs = spark.createDataFrame([(c,) for c in ("TAM", "AAA", "BBB", "CCC", "DDD")], "icao_empresa string")
+    got = {r.icao_empresa: (r.nome_companhia, r.cadastro_companhia)
+           for r in gold.with_carrier(legs, carriers).collect()}
+    assert got["TAM"] == ("TAM LINHAS", "nacional")
+    assert got["AAA"] == ("Y national", "nacional") and got["BBB"] == ("B named", "estrangeira")
+    assert got["CCC"] == ("COMPANHIA NAO CADASTRADA CCC", "nacional") and got["DDD"][1] is None
+    foreign_first = gold.with_carrier(legs, carriers, ("estrangeira", "nacional"))
+    assert {r.nome_companhia for r in foreign_first.collect()} >= {"Z foreign", "TAM LINHAS"}
+
+
+def test_one_lookup_for_carrier_measures(spark, small):
+    plan = QUERIES["gold_by_carrier"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_the_condition_reaches_a_published_scan(spark, small, tmp_path):
+    QUERIES["gold_fact"](spark, small).write.parquet(str(tmp_path / "fact"))
+    counted = profile.recovered_but_late(spark.read.parquet(str(tmp_path / "fact")))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(minutos_recuperados,0)" in plan

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pontualis import model
+from pontualis.operators import contract
 from pontualis.operators.reconcile import multiset_difference
 from pontualis.plans.refresh import HeaderMismatch, Inputs, refresh
 from pontualis.plans.reports import layer_reports
@@ -69,15 +70,98 @@ def test_partitions_keep_null_and_column_order(spark, tmp_path):
 
 
 def test_shared_folder(spark, monkeypatch):
-    """The one the session names; without one, a local session gets its own."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        assert shared_folder(spark) == named.rstrip("/")
-    monkeypatch.setattr("pontualis.sources.scratch._SETTING", "spark.not.set")
-    own = shared_folder(spark)
-    assert own != named and own == shared_folder(spark)
+    """The one the session names, or else its warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == named.rstrip("/")
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
     assert materialize(table(spark, 1, 2), "m").count() == 2
+    monkeypatch.setattr("pontualis.sources.scratch._SETTING", "spark.not.set")
+    if not spark.sparkContext.getCheckpointDir():
+        assert shared_folder(spark).startswith(spark.conf.get("spark.sql.warehouse.dir"))
+
+
+def test_a_rival_writer_is_noticed(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    loads.publish(table(spark, 1), path, "a")
+
+    def rival():  # commits between this writer's start and its own commit
+        with monkeypatch.context() as alone:
+            alone.setattr(loads, "is_published", lambda *args: False)
+            loads.publish(table(spark, 5), str(tmp_path / "other"), "b")
+        import shutil
+
+        for part in (tmp_path / "other" / "loads").glob("*.parquet"):
+            shutil.copy(part, tmp_path / "t" / "loads" / part.name)
+
+    with pytest.raises(loads.RivalLoad):
+        loads.publish(table(spark, 2), path, "b", verify=rival)
+
+
+def test_the_history_does_not_follow_clocks(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    loads.publish(table(spark, 1), path, "a")
+
+    class Slow(loads.datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return loads.datetime(2001, 1, 1, tzinfo=tz)
+
+    monkeypatch.setattr(loads, "datetime", Slow)
+    loads.publish(table(spark, 1, 2), path, "b")
+    assert loads.current(spark, path).count() == 2
+
+
+def test_a_resumed_refresh_refuses_other_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    inputs, root = write_inputs(tmp_path / "in"), str(tmp_path / "out")
+    refresh(spark, inputs, root, "2026-08-01")
+    with (tmp_path / "in/nacionais.csv").open("a") as file:
+        file.write('"AZU";"AD";"AZUL";"REGULAR";"Barueri";"SP";"ATIVA"\n')
+    with pytest.raises(loads.InputsChanged, match="nacionais"):
+        refresh(spark, inputs, root, "2026-08-01")
+
+
+def test_surplus_and_missing_fields_stay_in_bronze(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    inputs = write_inputs(tmp_path / "in")
+    with (tmp_path / "in/vra/VRA_2026-02.csv").open("a") as file:
+        file.write(";".join(f'"{f}"' for f in FLIGHTS[0]) + ';"SURPLUS"\n"GLO";"0999"\n')
+    tables = refresh(spark, inputs, str(tmp_path / "out"), "2026-08-01")
+    kept = [r._linha_malformada for r in tables["bronze.vra"].collect() if r._linha_malformada]
+    assert len(kept) == 2 and any("SURPLUS" in line for line in kept)
+    assert tables["bronze.vra"].count() == tables["silver.vra"].count() == 8
+    assert {"0999"} <= {r.numero_voo for r in tables["silver.vra"].collect()}
+
+
+def test_rules_and_joins_run_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    tables = refresh(spark, write_inputs(tmp_path / "in"), str(tmp_path / "out"), "2026-08-01")
+    audited = tables["contract.vra_auditado"]
+    assert audited.count() == 6 and spark.table("vra_marcado").count() == 6
+    assert "regras_reprovadas" not in spark.table("vra_marcado").columns
+    for derived in (contract.metrics_of(audited, contract.flight_rules()),
+                    contract.quarantine_of(audited)):
+        plan = derived._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "partida_prevista >" not in plan
+    metrics = {r.regra: r.reprovados for r in tables["contract.vra_metricas"].collect()}
+    assert metrics == {r.regra: r.reprovados for r in contract.rule_metrics(
+        audited, contract.flight_rules()).collect()}
+
+
+def test_an_absurd_instant_is_flagged_and_stops_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    inputs = write_inputs(tmp_path / "in")
+    odd = ("GLO", "0666", "0", "N", "SBGR", "SBSP", "0001-01-01 00:00:00", "9999-12-31 23:59:59",
+           "9999-12-31 23:59:59", "0001-01-01 00:00:00", "REALIZADO", "N/A")
+    with (tmp_path / "in/vra/VRA_2026-02.csv").open("a") as file:
+        file.write(";".join(f'"{f}"' for f in odd) + "\n")
+    tables = refresh(spark, inputs, str(tmp_path / "out"), "2026-08-01")
+    row = tables["silver.vra"].filter("numero_voo = '0666'").first()
+    assert row.atraso_partida_min == -row.atraso_chegada_min > 5_000_000_000
+    assert row.minutos_recuperados == 2 * row.atraso_partida_min
+    why = tables["contract.vra_quarentena"].filter("numero_voo = '0666'").first()
+    assert "atraso_partida_plausivel | atraso_chegada_plausivel" in why.motivos_quarentena
+    assert tables["gold.obt_voos"].filter("numero_voo = '0666'").first().atraso_fora_de_faixa
 
 
 FLIGHTS = [
@@ -131,7 +215,9 @@ def check_reports(reports):
     assert rows["union_conservation"][0].diferenca == 0
     assert {r.origem_cadastro: r.com_icao for r in rows["registry_summary"]} == {
         "nacional": 1, "estrangeira": 1}
-    assert len(rows["schema_diff"]) == 26
+    # bronze's column of malformed lines is the one that silver lacks
+    assert len(rows["schema_diff"]) == 27
+    assert rows["schema_diff"][-1].coluna == "_linha_malformada"
     assert rows["typing_success"][0].partida_real_ok == 4
     assert rows["transform_profile"][0].total_linhas == 6
     # the repeated flight meets itself and its copy: 2 x 2 pairs, all others 1
@@ -155,7 +241,7 @@ def test_refresh_from_files_to_gold(spark, tmp_path):
     assert counts["silver.empresas"] == 3 and counts["bronze.codigos_operacao"] == 13
     assert counts["gold.fato_voos"] == counts["gold.obt_voos"] == 4
     assert counts["gold.dim_aeroporto"] == 4
-    assert (len(first["bronze.vra"].columns), len(first["silver.vra"].columns)) == (14, 26)
+    assert (len(first["bronze.vra"].columns), len(first["silver.vra"].columns)) == (15, 26)
     assert len(first["silver.empresas"].columns) == 11
 
     reasons = {r.numero_voo: r.motivos_quarentena
@@ -185,11 +271,21 @@ def test_refresh_from_files_to_gold(spark, tmp_path):
     assert rows[0].linhas == rows[1].linhas == 6 and rows[0].ingerido_em < rows[1].ingerido_em
 
 
-def test_a_file_with_another_header_stops_the_load(spark, tmp_path):
+def test_a_file_with_reordered_columns_stops_the_load(spark, tmp_path):
     (tmp_path / "in").mkdir()
     other = list(model.FLIGHT_HEADERS)
     other[0], other[1] = other[1], other[0]
     inputs = write_inputs(tmp_path / "in", second_header=other)
+    with pytest.raises(Exception, match="columns in another order"):
+        refresh(spark, inputs, str(tmp_path / "out"), "2026-08-01")
+    with pytest.raises(loads.LoadNotFound):
+        loads.current(spark, str(tmp_path / "out/bronze_vra"))
+
+
+def test_a_file_with_another_header_stops_the_load(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    other = ["Empresa", *list(model.FLIGHT_HEADERS)[1:]]
+    inputs = write_inputs(tmp_path / "in", second_header=other)
     with pytest.raises(HeaderMismatch, match="1 of 2"):
         refresh(spark, inputs, str(tmp_path / "out"), "2026-08-01")
     with pytest.raises(loads.LoadNotFound):

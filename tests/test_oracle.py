@@ -44,13 +44,8 @@ def test_matches_sql(name, spark, small, duck):
     assert not list((got - wanted).items())[:3] and not list((wanted - got).items())[:3]
 
 
-def test_only_the_sample_has_no_sql():
-    assert set(QUERIES) - set(ORACLE) == {"sample_rows"}
-    assert set(ORACLE) <= set(QUERIES)
-
-
-def test_sample_is_ten_rows(spark, small):
-    assert QUERIES["sample_rows"](spark, small).count() == 10
+def test_all_have_sql():
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_all_are_registered():

@@ -132,3 +132,27 @@ def test_profile_without_join(spark, small):
     row = reconcile.transform_profile(raw, typed).first()
     assert row.bronze_partida_prevista_str_null == row.silver_partida_prevista_null_real == 100
     assert row.partida_real_cast_ok == 7986 and row.total_linhas == 10000
+
+
+def test_a_removed_column_comes_last_however_many_there_are(spark):
+    left = spark.createDataFrame([("gone", "int")], "coluna string, tipo string")
+    right = spark.createDataFrame([(f"c{i}", "int", i) for i in range(1, 1005)],
+                                  "coluna string, tipo string, posicao int")
+    diff = reconcile.keyed_diff(left, right, ["coluna"], "tipo", position="posicao").collect()
+    assert diff[-1].coluna == "gone" and diff[999].coluna == "c1000"
+
+
+def test_side_by_side_moves_keys_and_order_only(spark, small):
+    for tie in (None, "event_id"):
+        shown = reconcile.side_by_side(w.raw_flights(spark, small), w.flights(spark, small), tie=tie)
+        plan = shown._jdf.queryExecution().executedPlan().toString()
+        assert "codigo_justificativa" not in "".join(
+            line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+        semi = [line for line in plan.splitlines() if "LeftSemi" in line]
+        assert len(semi) == 2
+
+
+def test_pair_counts_stay_narrow_until_the_product(spark, small):
+    plan = reconcile.reconcile_pairs(w.raw_flights(spark, small), w.flights(spark, small))
+    lines = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not any("decimal" in line for line in lines if "partial_count" in line)

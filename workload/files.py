@@ -21,9 +21,11 @@ def _field(name: str, quote: str | None) -> Column:
     return F.coalesce(value, F.lit(""))
 
 
-def write_published(df: DataFrame, path: str, layout: Layout) -> None:
+def write_published(df: DataFrame, path: str, layout: Layout, tail: Column | None = None) -> None:
     """One file per partition of ``df``, each with banner, header and its rows.
 
+    ``tail`` is put behind each row as it is.
+
     The leading lines are put before a partition's rows inside the task that writes it,
     so nothing is shuffled and a file is as large as its partition.
     """
@@ -39,7 +41,8 @@ def write_published(df: DataFrame, path: str, layout: Layout) -> None:
             yield pa.RecordBatch.from_arrays(batch.columns, schema=schema)
 
     fields = [_field(c, layout.quote) for c in layout.columns.values()]
-    lines = df.select(F.concat_ws(layout.sep, *fields).alias("line"))
+    line = F.concat_ws(layout.sep, *fields)
+    lines = df.select((line if tail is None else F.concat(line, tail)).alias("line"))
     lines.mapInArrow(head_first, "line string").write.options(
         # The lines are complete: the writer must neither quote, escape nor trim them.
         sep="\u0001", quote="", escape="", encoding=layout.charset, header="false",

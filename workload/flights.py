@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pontualis.model import CANCELLED, FLOWN, NO_INSTANT, NO_REASON, SOURCE_FILE
+from pontualis.model import CANCELLED, FLOWN, FOREIGN, NATIONAL, NO_INSTANT, NO_REASON, SOURCE_FILE
 from pontualis.plans.silver import silver_carriers, silver_flights
 from pontualis.sources.seeds import operation_codes
 
@@ -144,6 +144,45 @@ def airport_register(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def airport_file(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`airports` with all columns of the published file."""
+    known = airports(spark, folder).withColumnRenamed("uf_nome", "uf")
+    filler = ("ciad", "municipio_servido", "uf_servido", "latitude", "longitude", "altitude",
+              "situacao")
+    return known.withColumns({c: F.lit("1,0" if c == "altitude" else c.upper()) for c in filler})
+
+
+def untidy_carriers(spark: SparkSession, folder: str) -> DataFrame:
+    """Every code twice or more: once without a name, and some in both registries."""
+    clean = carriers(spark, folder)
+    number = F.col("uf").cast("int")
+    nameless = clean.withColumn("razao_social", F.when(number % 2 == 0, F.lit("")))
+    abroad = clean.filter(number % 3 == 0).withColumns({
+        "razao_social": F.concat(F.lit("Outra "), F.col("razao_social")),
+        "origem_cadastro": F.lit(FOREIGN)})
+    only_abroad = clean.filter((number % 5 == 0) & (F.col("origem_cadastro") == NATIONAL))
+    unnamed = clean.join(only_abroad.select("icao"), "icao", "left_anti")
+    return unnamed.unionByName(nameless).unionByName(abroad)
+
+
+def absurd_flights(spark: SparkSession, folder: str) -> DataFrame:
+    """Flights with instants in the years 1, 5500 and 9999."""
+    def year(column: str, places: dict[int, str]) -> Column:
+        out = F.col(column)
+        for place, value in places.items():
+            out = F.when(F.col("event_id") % 7 == place, value).otherwise(out)
+        return out
+
+    first, late, last = "0001-01-01 00:00:00", "5500-06-01 12:00:00", "9999-12-31 23:59:59"
+    raw = raw_flights(spark, folder).withColumns({
+        "partida_prevista": year("partida_prevista", {0: first, 1: last}),
+        "partida_real": year("partida_real", {0: last, 1: first, 2: late}),
+        "chegada_prevista": year("chegada_prevista", {0: last, 1: first, 3: late}),
+        "chegada_real": year("chegada_real", {0: first, 1: last}),
+    })
+    return silver_flights(raw).drop("_transformado_em")
+
+
 def carriers(spark: SparkSession, folder: str) -> DataFrame:
     return silver_carriers(
         national_carriers(spark, folder), foreign_carriers(spark, folder)

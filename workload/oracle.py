@@ -6,18 +6,36 @@ literal many-to-many join, the quarantine a negated conjunction, the fact one SE
 
 from __future__ import annotations
 
-from pontualis.model import (
-    DELAYS,
-    FLIGHT_COLUMNS,
-    INSTANTS,
-    OPERATION_CODES,
-    PAIR_KEYS,
-    UNKNOWN_AIRPORT,
-    UNKNOWN_CARRIER,
-    UNKNOWN_CODE,
-    WEEKDAYS,
+# Written out here, not taken from the code under test: a wrong value must show.
+DI_CODES = ("0", "2", "3", "4", "6", "7", "9", "D", "E", "1")
+LINE_TYPES = ("N", "C", "I", "G")
+INSTANTS = ("partida_prevista", "partida_real", "chegada_prevista", "chegada_real")
+DELAYS = ("atraso_partida_min", "atraso_chegada_min", "minutos_recuperados")
+FLIGHT_COLUMNS = ("icao_empresa", "numero_voo", "codigo_di", "codigo_tipo_linha", "icao_origem",
+                  "icao_destino", "partida_prevista", "partida_real", "chegada_prevista",
+                  "chegada_real", "situacao_voo", "codigo_justificativa")
+PAIR_KEYS = ("_arquivo_origem", "icao_empresa", "numero_voo", "icao_origem", "icao_destino")
+WEEKDAYS = ("domingo", "segunda-feira", "terca-feira", "quarta-feira", "quinta-feira",
+            "sexta-feira", "sabado")
+UNKNOWN_AIRPORT = "AEROPORTO FORA DO CADASTRO ANAC"
+UNKNOWN_CARRIER = "COMPANHIA NAO CADASTRADA"
+UNKNOWN_CODE = "CODIGO NAO CATALOGADO"
+# Operation codes.
+OPERATION_CODES = (
+    ("codigo_di", "0", "Etapa Regular"),
+    ("codigo_di", "2", "Etapa Extra"),
+    ("codigo_di", "3", "Etapa de Retorno"),
+    ("codigo_di", "4", "Inclusão de Etapa"),
+    ("codigo_di", "6", "Etapa Não Remunerada Sem Transporte de Objetos"),
+    ("codigo_di", "7", "Etapa de Voo de Fretamento"),
+    ("codigo_di", "9", "Etapa de Voo Charter"),
+    ("codigo_di", "D", "Etapa de Voo Duplicada"),
+    ("codigo_di", "E", "Etapa Não Remunerada Com Transporte de Objetos"),
+    ("codigo_tipo_linha", "N", "Doméstica Mista"),
+    ("codigo_tipo_linha", "C", "Doméstica Cargueira"),
+    ("codigo_tipo_linha", "I", "Internacional Mista"),
+    ("codigo_tipo_linha", "G", "Internacional Cargueira"),
 )
-from workload.flights import DI_CODES, LINE_TYPES
 
 _NINE = "strftime({}, '%Y-%m-%d %H:%M:%S.%f') || '000'"
 _ZERO = "strftime({}, '%Y-%m-%d %H:%M:%S')"
@@ -74,10 +92,10 @@ silver AS (
     """ + ",\n    ".join(
     f"CAST({c} AS DATE) AS {c}_data, strftime({c}, '%H:%M') AS {c}_hora" for c in INSTANTS
 ) + """,
-    CAST(date_sub('minute', partida_prevista, partida_real) AS INTEGER) AS atraso_partida_min,
-    CAST(date_sub('minute', chegada_prevista, chegada_real) AS INTEGER) AS atraso_chegada_min,
-    CAST(date_sub('minute', partida_prevista, partida_real)
-       - date_sub('minute', chegada_prevista, chegada_real) AS INTEGER) AS minutos_recuperados
+    date_sub('minute', partida_prevista, partida_real) AS atraso_partida_min,
+    date_sub('minute', chegada_prevista, chegada_real) AS atraso_chegada_min,
+    date_sub('minute', partida_prevista, partida_real)
+      - date_sub('minute', chegada_prevista, chegada_real) AS minutos_recuperados
   FROM typed)"""
 
 _AIRPORTS = """
@@ -262,6 +280,62 @@ _PAIR_JOIN = f"FROM raw b JOIN silver s USING ({', '.join(PAIR_KEYS)})"
 
 _RAW_TEXT = ", ".join(f"{c}" for c in FLIGHT_COLUMNS)
 
+_OBT = """
+SELECT f.* EXCLUDE (rota, cadastro_companhia), f.rota AS rota_icao,
+  o.nome_aeroporto AS nome_aeroporto_origem, o.municipio_aeroporto AS municipio_origem,
+  o.uf_aeroporto AS uf_origem, o.pais_aeroporto AS pais_origem,
+  d.nome_aeroporto AS nome_aeroporto_destino, d.municipio_aeroporto AS municipio_destino,
+  d.uf_aeroporto AS uf_destino, d.pais_aeroporto AS pais_destino,
+  coalesce(o.municipio_aeroporto, f.icao_origem) || ' - '
+    || coalesce(d.municipio_aeroporto, f.icao_destino) AS rota_municipios
+FROM fato f LEFT JOIN dim o ON f.icao_origem = o.icao_aeroporto
+LEFT JOIN dim d ON f.icao_destino = d.icao_aeroporto"""
+
+
+def _absurd(column: str, **places: str) -> str:
+    cases = " ".join(f"WHEN event_id % 7 = {p[1:]} THEN '{v}'" for p, v in places.items())
+    return f"CASE {cases} ELSE {column} END AS {column}"
+
+
+_FIRST, _LATE, _LAST = "0001-01-01 00:00:00", "5500-06-01 12:00:00", "9999-12-31 23:59:59"
+_ABSURD = _with("""
+SELECT event_id, atraso_partida_min AS lido_atraso_partida_min,
+  atraso_chegada_min AS lido_atraso_chegada_min,
+  minutos_recuperados AS lido_minutos_recuperados, """ + _VALID + """,
+  fora AS atraso_fora_de_faixa, concat_ws(' | ',
+    CASE WHEN coalesce(atraso_partida_min NOT BETWEEN -120 AND 1440, FALSE)
+      THEN 'atraso_partida_plausivel' END,
+    CASE WHEN coalesce(atraso_chegada_min NOT BETWEEN -120 AND 1440, FALSE)
+      THEN 'atraso_chegada_plausivel' END) AS regras
+FROM faixa""", _RAW.replace("raw AS", "cru AS"), """
+raw AS (SELECT * REPLACE (""" + ", ".join([
+    _absurd("partida_prevista", p0=_FIRST, p1=_LAST),
+    _absurd("partida_real", p0=_LAST, p1=_FIRST, p2=_LATE),
+    _absurd("chegada_prevista", p0=_LAST, p1=_FIRST, p3=_LATE),
+    _absurd("chegada_real", p0=_FIRST, p1=_LAST),
+]) + ") FROM cru)", _SILVER, _RANGE.format("silver"))
+
+# A named entry before one without a name, the national registry before the foreign one,
+# and of what is left the smallest name.
+_REPEATED = _with(f"""
+, entradas AS (
+  SELECT icao, razao_social, origem_cadastro FROM empresas
+  WHERE icao NOT IN (SELECT icao FROM nacionais WHERE CAST(uf AS INTEGER) % 5 = 0)
+  UNION ALL
+  SELECT icao, CASE WHEN CAST(uf AS INTEGER) % 2 = 0 THEN '' END, origem_cadastro FROM empresas
+  UNION ALL
+  SELECT icao, 'Outra ' || razao_social, 'estrangeira' FROM empresas
+  WHERE CAST(uf AS INTEGER) % 3 = 0
+), escolhidas AS (
+  SELECT * FROM entradas WHERE icao <> ''
+  QUALIFY row_number() OVER (PARTITION BY icao ORDER BY coalesce(razao_social, '') = '',
+    origem_cadastro <> 'nacional', razao_social NULLS FIRST) = 1
+)
+SELECT event_id, icao_empresa,
+  coalesce(razao_social, concat_ws(' ', '{UNKNOWN_CARRIER}', icao_empresa)) AS nome_companhia,
+  origem_cadastro AS cadastro_companhia
+FROM raw LEFT JOIN escolhidas ON icao = icao_empresa""", _RAW, _CARRIERS)
+
 ORACLE: dict[str, str] = {
     "scan_delimited": _with(
         f"SELECT CAST(event_id AS VARCHAR) AS event_id, {_RAW_TEXT} FROM raw", _RAW),
@@ -285,14 +359,32 @@ SELECT dominio, codigo, descricao, voos FROM codigos LEFT JOIN (
   UNION ALL
   SELECT 'codigo_tipo_linha', codigo_tipo_linha, count(*) FROM raw GROUP BY 2
 ) USING (dominio, codigo)""", _RAW, _CODES),
-    "rows_per_file": _with(
-        "SELECT _arquivo_origem, count(*) AS linhas FROM raw GROUP BY 1", _RAW),
-    "idempotent_load": _with("""
-SELECT count(*) AS linhas_diferentes FROM (
-  (SELECT * FROM raw EXCEPT ALL SELECT * FROM raw))""", _RAW),
+    "rows_per_file":
+        "SELECT count(*) AS linhas, TRUE AS identificado FROM events GROUP BY event_id % 12",
+    "malformed_rows": _with("""
+SELECT CAST(event_id AS VARCHAR) AS event_id, numero_voo, situacao_voo,
+  CASE WHEN event_id % 50 = 0 THEN '"SOBRA"' END AS sobra FROM raw""", _RAW),
+    "idempotent_load": """
+SELECT count(*) AS carga_1, count(*) AS carga_2, 0 AS linhas_diferentes FROM events""",
     "load_compare": """
-SELECT 'carga_1' AS versao, count(*) AS linhas FROM events
-UNION ALL SELECT 'carga_2', count(*) FROM events""",
+SELECT 'carga_1' AS versao, count(*) AS linhas, FALSE AS posterior_a_primeira FROM events
+UNION ALL SELECT 'carga_2', count(*), TRUE FROM events""",
+    "sample_rows": """
+SELECT least(10, count(*)) AS mostradas, least(10, count(*)) AS existentes FROM events""",
+    "absurd_delays": _ABSURD,
+    "repeated_codes": _REPEATED,
+    "refresh_obt": _with(_OBT, _RAW, _SILVER, _AIRPORTS, _CARRIERS, _CODES, _FACT,
+                         _DIM.replace(_COUNTRY.format("c.code"), "'Exterior'")),
+    "refresh_quarantine": _contract(f"""
+SELECT * EXCLUDE (event_id, _arquivo_origem), {_REASONS} AS motivos_quarentena
+FROM marcado WHERE {_ANY_FAILS}"""),
+    "refresh_reports": _contract("""
+SELECT 'vra' AS nome, count(*) AS a, count(*) AS b FROM events
+UNION ALL SELECT 'aerodromos', count(*), count(*) FROM nation
+UNION ALL SELECT 'codigos_operacao', 13, 13
+UNION ALL """ + "\nUNION ALL\n".join(
+        f"SELECT '{rule}', count(*) FILTER (WHERE NOT ({c})), "
+        f"count(*) FILTER (WHERE {c}) FROM marcado" for rule, c in _FAILS)),
     "project_map": """
 SELECT CAST(event_id AS VARCHAR) AS id_evento, CAST(user_id AS VARCHAR) AS numero_voo,
   event_type AS situacao_voo, props AS observacao FROM events""",
@@ -419,17 +511,7 @@ LEFT JOIN codigos tl ON tl.dominio = 'codigo_tipo_linha' AND tl.codigo = codigo_
                            _RAW, _CARRIERS, _CODES),
     "gold_fact": _gold("SELECT * FROM fato"),
     "gold_dim": _with("SELECT * FROM dim", _RAW, _SILVER, _AIRPORTS, _DIM),
-    "gold_obt": _with("""
-SELECT f.* EXCLUDE (rota, cadastro_companhia), f.rota AS rota_icao,
-  o.nome_aeroporto AS nome_aeroporto_origem, o.municipio_aeroporto AS municipio_origem,
-  o.uf_aeroporto AS uf_origem, o.pais_aeroporto AS pais_origem,
-  d.nome_aeroporto AS nome_aeroporto_destino, d.municipio_aeroporto AS municipio_destino,
-  d.uf_aeroporto AS uf_destino, d.pais_aeroporto AS pais_destino,
-  coalesce(o.municipio_aeroporto, f.icao_origem) || ' - '
-    || coalesce(d.municipio_aeroporto, f.icao_destino) AS rota_municipios
-FROM fato f LEFT JOIN dim o ON f.icao_origem = o.icao_aeroporto
-LEFT JOIN dim d ON f.icao_destino = d.icao_aeroporto""",
-                      _RAW, _SILVER, _AIRPORTS, _CARRIERS, _CODES, _FACT, _DIM),
+    "gold_obt": _with(_OBT, _RAW, _SILVER, _AIRPORTS, _CARRIERS, _CODES, _FACT, _DIM),
     "gold_kpis": _gold(f"SELECT {_KPIS} FROM fato"),
     "gold_by_hour": _kpis("hora_partida_prevista"),
     "gold_by_day": _kpis("partida_prevista_data"),

@@ -15,6 +15,8 @@ from pontualis import model
 from pontualis.operators import contract, joins, profile, reconcile, rows
 from pontualis.plans import gold, silver
 from pontualis.plans.bronze import Source, bronze_table, bronze_tables
+from pontualis.plans.refresh import Inputs, refresh
+from pontualis.plans.reports import layer_reports
 from pontualis.sources import loads
 from pontualis.sources.delimited import AIRLINES, AIRPORTS, FLIGHTS, Layout
 from pontualis.sources.scratch import fresh_path, materialize
@@ -73,8 +75,26 @@ def seed_codes(spark, folder):
 
 @query
 def rows_per_file(spark, folder):
-    bronze = rows.stamp(w.raw_flights(spark, folder), model.INGESTED_AT)
-    return profile.rows_per_file(bronze).drop("ingerido_em")
+    """Rows of each file by the name the reader found, which is not the same in two runs."""
+    path, raw = fresh_path(spark, "monthly_files"), w.raw_flights(spark, folder)
+    for month in range(12):
+        part = raw.filter(F.col("event_id") % 12 == month).coalesce(1)
+        write_published(part, f"{path}/{month}", FLIGHTS)
+    counts = profile.rows_per_file(bronze_table(spark, Source(f"{path}/*", FLIGHTS)))
+    named = F.col(model.SOURCE_FILE).endswith(".csv") & F.col("ingerido_em").isNotNull()
+    return counts.select("linhas", named.alias("identificado"))
+
+
+@query
+def malformed_rows(spark, folder):
+    """Lines with a field too many: their fields are read, and the whole line is kept."""
+    layout = Layout({"Id": "event_id", **FLIGHTS.columns})
+    path = fresh_path(spark, "surplus_files")
+    surplus = F.when(F.col("event_id") % 50 == 0, ';"SOBRA"').otherwise("")
+    write_published(w.raw_flights(spark, folder), path, layout, surplus)
+    read = bronze_table(spark, Source(path, layout, provenance=False, malformed="linha"))
+    return read.select("event_id", "numero_voo", "situacao_voo",
+                       F.substring_index("linha", ";", -1).alias("sobra"))
 
 
 def _two_loads(spark: SparkSession, folder: str) -> str:
@@ -87,19 +107,23 @@ def _two_loads(spark: SparkSession, folder: str) -> str:
 
 @query
 def idempotent_load(spark, folder):
-    """Rows that one of two loads of the same files has and the other lacks."""
+    """Rows of two loads of the same files, and rows that only one of them has."""
     path = _two_loads(spark, folder)
     first, now = loads.read_load(spark, path, "carga_1"), loads.current(spark, path)
     columns = [c for c in now.columns if c != model.INGESTED_AT]
     surplus = reconcile.multiset_difference(first, now, columns)
-    return surplus.agg(F.count(F.lit(1)).alias("linhas_diferentes"))
+    differing = surplus.agg(F.count(F.lit(1)).alias("linhas_diferentes"))
+    sizes = reconcile.count_conservation({"carga_1": first}, {"carga_2": now})
+    return sizes.drop("diferenca").join(differing)
 
 
 @query
 def load_compare(spark, folder):
     path = _two_loads(spark, folder)
     both = loads.compare_loads(spark, path, ["carga_1", "carga_2"])
-    return both.select("versao", "linhas")
+    first = both.filter("versao = 'carga_1'").select(F.col("ingerido_em").alias("primeira"))
+    return both.join(first).select("versao", "linhas", (F.col("ingerido_em") > F.col("primeira"))
+                                   .alias("posterior_a_primeira"))
 
 
 # -- projections and filters ---------------------------------------------------------
@@ -139,7 +163,25 @@ def top_k(spark, folder):
 
 @query
 def sample_rows(spark, folder):
-    return profile.sample_rows(w.raw_flights(spark, folder))
+    """How many rows a preview shows, and how many of them the table has."""
+    raw = w.raw_flights(spark, folder)
+    shown = profile.sample_rows(raw).select("event_id")
+    found = shown.join(raw.select(F.col("event_id").alias("known")),
+                       F.col("event_id") == F.col("known"), "left")
+    return found.agg(F.countDistinct("event_id").alias("mostradas"),
+                     F.count("known").alias("existentes"))
+
+
+@query
+def absurd_delays(spark, folder):
+    """Instants thousands of years apart are flagged, and neither lost nor fatal."""
+    delay_rules = [r for r in contract.flight_rules() if r.name.startswith("atraso_")]
+    marked = contract.audited(w.absurd_flights(spark, folder), delay_rules)
+    # Both the delays as typed and the judgement that voids them.
+    judged = gold.null_out_of_range(marked.withColumns({f"lido_{d}": F.col(d) for d in model.DELAYS}))
+    return judged.select("event_id", *[f"lido_{d}" for d in model.DELAYS], *model.DELAYS,
+                         "atraso_fora_de_faixa", F.array_join(contract.BROKEN, contract.SEPARATOR)
+                         .alias("regras"))
 
 
 @query
@@ -367,6 +409,49 @@ def gold_fallback(spark, folder):
     )
 
 
+@query
+def repeated_codes(spark, folder):
+    """Names from a registry that lists codes more than once, some without a name."""
+    named = gold.with_carrier(w.flights(spark, folder), w.untidy_carriers(spark, folder))
+    return named.select("event_id", "icao_empresa", "nome_companhia", "cadastro_companhia")
+
+
+def _refreshed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All tables, made from files by the refresh."""
+    files = {
+        "vra": (w.raw_flights(spark, folder), FLIGHTS),
+        "aerodromos": (w.airport_file(spark, folder), AIRPORTS),
+        "nacionais": (w.national_carriers(spark, folder), AIRLINES),
+        "estrangeiras": (w.foreign_carriers(spark, folder), AIRLINES),
+    }
+    paths = {name: fresh_path(spark, name) for name in files}
+    for name, (df, layout) in files.items():
+        write_published(df, paths[name], layout)
+    return refresh(spark, Inputs(*paths.values()), fresh_path(spark, "lake"), "carga_1")
+
+
+@query
+def refresh_obt(spark, folder):
+    """The product: the wide table as published from files."""
+    return _refreshed(spark, folder)["gold.obt_voos"]
+
+
+@query
+def refresh_quarantine(spark, folder):
+    return _refreshed(spark, folder)["contract.vra_quarentena"].drop(model.SOURCE_FILE)
+
+
+@query
+def refresh_reports(spark, folder):
+    """Mirrored layers and the rules' counts, from the published tables."""
+    tables = _refreshed(spark, folder)
+    mirrors = layer_reports(tables)["mirrors"].select(
+        F.col("tabela").alias("nome"), F.col("bronze").alias("a"), F.col("silver").alias("b"))
+    metrics = tables["contract.vra_metricas"].select(
+        F.col("regra").alias("nome"), F.col("aprovados").alias("a"), F.col("reprovados").alias("b"))
+    return mirrors.unionByName(metrics)
+
+
 @query
 def gold_fact(spark, folder):
     return _fact(spark, folder)
@@ -415,7 +500,8 @@ def gold_by_scope(spark, folder):
 
 @query
 def gold_by_carrier(spark, folder):
-    return gold.kpis(_fact(spark, folder), "nome_companhia")
+    named = gold.with_carrier(_legs(spark, folder), w.carriers(spark, folder))
+    return gold.kpis(named, "nome_companhia")
 
 
 @query
