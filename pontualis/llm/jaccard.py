@@ -12,13 +12,22 @@ would lie in the other ``n - k``, so the distance would be at least ``k/n``.  Wi
 threshold it thus has one of the first ``floor((1 - share) * n) + 1``; the document is
 replicated to the regions of these pivots and no others, and every link lies in a region.
 
-**Inside a region** documents are pivots.  Distances to the first one are computed exactly;
-what lies within the threshold is linked to it.  Only regions that still hold several
-components go on, recursively: more pivots are taken, far ones first, and meet the members of other
-components whose distances to an earlier common pivot differ by no more than the threshold
-(triangle inequality) and whose sizes allow a link.  A pivot that has met its region is
-done with; the number of pivots doubles from round to round, so small regions end at once.
-No region's pairs are all emitted: members of one component are not compared again.
+**Inside a region** documents are pivots.  Distances to the first one are bounded, and where
+the bound allows a link computed; what lies within the threshold is linked to it.  Regions
+with the same first pivot are now one, the region of that document.  Only those that still
+hold several components go on, recursively: more pivots are taken, from all components in
+turn, those first that are nearest to the pivots so far on average and so link most, and
+meet the members of other components, unless their distances to the first pivot differ by more than the threshold
+(triangle inequality).  A pivot that has met its region is done with; the number of pivots
+grows fourfold from round to round, so small regions end at once.  No region's pairs are
+all emitted: members of one component are not compared again.
+
+**Bounds.**  A pair must fit by size, and what follows its common pivot must suffice for a
+link (the first pivot that two linked documents share always passes).  Its sketches must
+too: a set's sketch keeps the parity of the number of its shingles per hash value, in two to
+four bits for each shingle.  Sketches differ in no more bits than the sets differ in
+shingles, so the distance is at least ``2h / (n + m + h)`` for h such bits.  Only texts of
+pairs that pass are read, and their distances are exact.
 
 The order only decides how large regions are, never what is found.  It counts shingles
 that recur within a batch, over all documents; the most frequent (at most ``frequent``,
@@ -40,15 +49,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from pontualis.llm.components import components
+from pontualis.llm.tables import fresh
 from pontualis.llm.words import NOT_SPACE, find_words, flat, mix, pieces, shingles
 from pontualis.sources.scratch import materialize
 
 _RECURS = 3  # times in a batch from which a shingle is counted
 _REGION = 4096  # documents of a frequent shingle's region that share a key at first
-_PIVOTS = 32
+_PIVOTS = 8
 
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -70,14 +80,36 @@ def _signed(h: np.ndarray) -> pa.Array:
     return pa.array(h.view(np.int64))
 
 
+def sketches(n: np.ndarray, owner: np.ndarray, h: np.ndarray) -> pa.Array:
+    """Parity sketches of sets of ``n`` hashes each, as lists of 64-bit words."""
+    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
+    base = np.concatenate([[0], np.cumsum(bits)])
+    value = mix(h ^ np.uint64(0x2545F4914F6CDD1D)).view(np.int64) & (bits[owner] - 1)
+    odd = np.bincount(base[:-1][owner] + value, minlength=base[-1]) & 1
+    words = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(base // 64, pa.int32()), pa.array(words))
+
+
+def differing_bits(a: Column, b: Column) -> Column:
+    """Bits in which two sketches differ, the longer one folded to the shorter's length."""
+    def fold(long: Column, size: Column) -> Column:
+        half = F.zip_with(F.slice(long, F.lit(1), size), F.slice(long, size + 1, size),
+                          lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(long) > size, half).otherwise(long)
+
+    size = F.least(F.size(a), F.size(b))
+    bits = F.zip_with(fold(a, size), fold(b, size), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0).cast("long"), lambda total, x: total + x)
+
+
 def _scan(rows: DataFrame, k: int) -> DataFrame:
-    """``id, n, d1, d2`` of every row, and rows ``shingle, df`` of shingles that recur."""
+    """``id, n, d1, d2, sketch`` of every row, and rows ``shingle, df`` of shingles that recur."""
     schema = StructType([rows.schema["id"]]).add("n", "long").add("d1", "long").add("d2", "long")
-    schema = schema.add("shingle", "long").add("df", "long")
+    schema = schema.add("sketch", ArrayType(LongType())).add("shingle", "long").add("df", "long")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, firsts, seconds, seen = [], [], [], []
+            sizes, firsts, seconds, marks, seen = [], [], [], [], []
             for low, high, owner, h in shingle_sets(batch.column(1), k):
                 n = np.bincount(owner, minlength=high - low)
                 edge = np.concatenate([[0], np.cumsum(n)])
@@ -86,6 +118,7 @@ def _scan(rows: DataFrame, k: int) -> DataFrame:
                     total = np.concatenate([[np.uint64(0)], np.cumsum(values, dtype=np.uint64)])
                     out.append(total[edge[1:]] - total[edge[:-1]])
                 sizes.append(n)
+                marks.append(sketches(n, owner, h))
                 seen.append(h)
             if not sizes:
                 continue
@@ -95,12 +128,14 @@ def _scan(rows: DataFrame, k: int) -> DataFrame:
             none = pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(np.concatenate(sizes)), _signed(np.concatenate(firsts)),
-                _signed(np.concatenate(seconds)), none, none], names=schema.names)
+                _signed(np.concatenate(seconds)), pa.concat_arrays(marks), none, none],
+                names=schema.names)
             if more:
                 gap = pa.nulls(more, pa.int64())
                 yield pa.RecordBatch.from_arrays([
-                    pa.nulls(more, batch.column(0).type), gap, gap, gap, _signed(values),
-                    pa.array(counts)], names=schema.names)
+                    pa.nulls(more, batch.column(0).type), gap, gap, gap,
+                    pa.nulls(more, pa.list_(pa.int64())), _signed(values), pa.array(counts)],
+                    names=schema.names)
 
     return materialize(rows.mapInArrow(scan, schema), "shingle_scan")
 
@@ -127,10 +162,11 @@ def _frequent(scanned: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _postings(rows: DataFrame, k: int, share: int, hashes, counts) -> DataFrame:
-    """``region, part, id, n``: the regions each document is replicated to."""
+    """``region, part, id, place``: the regions each document is replicated to; ``place`` is
+    its number of shingles, times 2^32, plus the region's place in its order."""
     shared = rows.sparkSession.sparkContext.broadcast((hashes, counts))
     schema = (StructType().add("region", "long").add("part", "integer")
-              .add(StructField("id", rows.schema["id"].dataType)).add("n", "integer"))
+              .add(StructField("id", rows.schema["id"].dataType)).add("place", "long"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, often = shared.value
@@ -155,28 +191,48 @@ def _postings(rows: DataFrame, k: int, share: int, hashes, counts) -> DataFrame:
                     if (key := (int(digest[i]), int(n[i]))) not in done:
                         done.add(key)
                         stands[i] = True
-                chosen = order[(rank < window[owner]) & stands[owner]]
+                within = (rank < window[owner]) & stands[owner]
+                chosen, rank = order[within], rank[within]
                 if not len(chosen):
                     continue
                 own = owner[chosen]
+                # Part 0 is a whole region; those of several parts have them from 1 on.
                 parts = df[chosen] // _REGION + 1
+                part = (digest[own] % parts.astype(np.uint64)).astype(np.int32) + (parts > 1)
                 yield pa.RecordBatch.from_arrays([
-                    _signed(h[chosen]),
-                    pa.array((digest[own] % parts.astype(np.uint64)).astype(np.int32)),
-                    ids.take(pa.array(own)), pa.array(n[own].astype(np.int32))], schema.names)
+                    _signed(h[chosen]), pa.array(part.astype(np.int32)),
+                    ids.take(pa.array(own)), pa.array(n[own] << 32 | rank)], schema.names)
 
     return rows.mapInArrow(place, schema)
 
 
-def _near_sizes(a: Column, b: Column, share: int) -> Column:
-    return 100 * F.least(a, b).cast("long") >= share * F.greatest(a, b).cast("long")
+def _may_link(a: Column, b: Column, share: int) -> Column:
+    """Whether sizes, and the shingles from a common region on, allow a link of two places."""
+    n, m = F.shiftright(a, 32), F.shiftright(b, 32)
+    low = F.lit((1 << 32) - 1)
+    most = F.least(n - a.bitwiseAND(low), m - b.bitwiseAND(low))
+    return ((100 * F.least(n, m) >= share * F.greatest(n, m))
+            & ((100 + share) * most >= share * (n + m)))
+
 
+def _bounded(pairs: DataFrame, docs: DataFrame, share: int) -> DataFrame:
+    """``a, b, low``: lower bounds of the distances, from sketches."""
+    x = docs.select(F.col("id").alias("a"), F.col("n").alias("n"), F.col("sketch").alias("x"))
+    y = docs.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    h = differing_bits(F.col("x"), F.col("y"))
+    return (pairs.join(x, "a").join(y, "b")
+            .select("a", "b", (2 * h / (F.col("n") + F.col("m") + h)).alias("low")))
 
-def _distances(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+
+def _distances(pairs: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """``a, b, common, either``: sizes of the intersection and union of two documents' sets."""
+    needed = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(),
+                         "needed")
+    # Merged at any size, so that small inputs behave as large ones do.
+    texts = materialize(rows.join(needed.hint("merge"), "id", "left_semi"), "texts")
     x = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
     y = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
-    joined = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    joined = pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").select("a", "b", "x", "y")
     schema = (StructType([joined.schema["a"], joined.schema["b"]])
               .add("common", "long").add("either", "long"))
 
@@ -215,15 +271,17 @@ def _several(rows: DataFrame) -> DataFrame:
 
 
 def join(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", k: int = 5,
-         share: int = 75, frequent: int = 1 << 16) -> tuple[DataFrame, DataFrame]:
-    """Documents (``id, n``) and the links found (``a, b, common, either``, ``a > b`` or not).
+         share: int = 75,
+         frequent: int = 1 << 16) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents (``id, n``), links found (``a, b, common, either``) and ``id, component`` of
+    their ends.
 
     The links span every component: two documents are connected by them exactly if they are
     by all pairs that share ``share`` percent of their shingles.
     """
     rows = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     scanned = _scan(rows, k)
-    docs = scanned.filter(F.col("shingle").isNull()).select("id", "n", "d1", "d2")
+    docs = scanned.filter(F.col("shingle").isNull()).select("id", "n", "d1", "d2", "sketch")
 
     # Documents with equal sets, linked without a look at their texts.
     sets = docs.filter("n > 0 AND id IS NOT NULL")
@@ -241,70 +299,108 @@ def join(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
     placed = _postings(rows, k, share, *_frequent(scanned, frequent))
     members = materialize(
         placed.select("*", F.first("id").over(by_region).alias("pivot"),
-                      F.first("n").over(by_region).alias("pivot_n"), alone.alias("alone"))
-        .filter("NOT alone").drop("alone"), "regions")
-    texts = materialize(rows.join(members.select("id").distinct(), "id", "left_semi"), "texts")
-
-    near = _near_sizes(F.col("n"), F.col("pivot_n"), share)
-    pairs = members.filter(near & (F.col("id") != F.col("pivot"))).select(
-        F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    pairs = pairs.join(links, ["a", "b"], "left_anti")
-    met = materialize(_distances(pairs, texts, k), "distances")
-    within = f"common > 0 AND 100 * common >= {share} * either"
-    links = materialize(links.union(met.filter(within)), "links")
-
-    # Regions of several parts are whole again from here on.
-    away = 1 - F.col("common") / F.col("either")
-    first = met.select(F.col("a").alias("id"), F.col("b").alias("pivot"), away.alias("away"))
-    open_rows = _labelled(members, links).filter(F.col("id") != F.col("pivot"))
-    # A pivot has met only its part, so it stays in regions that have several.
-    pivots = members.filter("id = pivot").withColumn("others", F.count(F.lit(1)).over(
-        W.partitionBy("region"))).filter("others > 1").drop("others")
-    open_rows = _several(open_rows.union(_labelled(pivots, links)))
-    rest = materialize(open_rows.join(first, ["id", "pivot"], "left"), "open")
-    pivots_taken = _PIVOTS
+                      F.first("place").over(by_region).alias("pivot_place"), alone.alias("alone"))
+        .filter("part > 0 OR NOT alone").drop("alone"), "regions")
+
+    meet = _may_link(F.col("place"), F.col("pivot_place"), share) & (F.col("id") != F.col("pivot"))
+    pairs = members.filter(meet).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    pairs = pairs.join(links.select("a", "b"), ["a", "b"], "left_anti")
+    first, new = _meet(pairs, sets, rows, k, share)
+    links = links.unionAll(new)
+    labels = _components(links)
+
+    # From here on regions are those of their first pivots.  One of several parts is whole
+    # again, under the least of its pivots, and all its members stay, for none has met all.
+    whole = (members.filter("part > 0").groupBy("region").agg(F.min("pivot").alias("center")))
+    parted = members.filter("part > 0").join(whole, "region").drop("region")
+    single = members.filter((F.col("part") == 0) & (F.col("id") != F.col("pivot")))
+    single = single.withColumn("center", F.col("pivot")).drop("region")
+    rest = (parted.unionByName(single).groupBy(F.col("center").alias("region"), "id")
+            .agg(F.min("place").alias("place")))
+    rest = materialize(_several(_labelled(rest, labels)), "open")
+    first = first.select(F.col("a").alias("id"), F.col("b").alias("region"), "low", "high")
+    rest = rest.join(first, ["id", "region"], "left")
+    itself = F.col("id") == F.col("region")
+    rest = materialize(rest.withColumns({
+        "low": F.when(itself, 0.0).otherwise(F.coalesce("low", F.lit(0.0))),
+        "high": F.when(itself, 0.0).otherwise(F.coalesce("high", F.lit(1.0)))})
+        .withColumn("away", F.col("low")), "open")
+    pivots = _PIVOTS
     while not rest.isEmpty():
-        links, rest = _round(rest, links, texts, k, share, within, pivots_taken)
-        pivots_taken *= 2
-    return docs.select("id", "n"), links
-
-
-def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-    found = materialize(components(links.select("a", "b")), "components")
-    return (rows.join(found, "id", "left")
+        new, left = _round(rest, sets, rows, k, share, pivots)
+        if not new.isEmpty():
+            links = links.unionAll(new)
+            labels = _components(links)
+            left = _labelled(left.drop("component"), labels)
+        rest = materialize(_several(left).select(*rest.columns), "open")
+        pivots *= 4
+    return docs.select("id", "n"), links, labels
+
+
+def _components(links: DataFrame) -> DataFrame:
+    return materialize(components(links.select("a", "b")), "components")
+
+
+def _meet(pairs: DataFrame, docs: DataFrame, rows: DataFrame, k: int, share: int):
+    """Bounds of the pairs' distances (``a, b, low, high``), and the links among them."""
+    bounds = materialize(_bounded(pairs, docs, share), "bounds")
+    # Rounding must not lose a pair at the very threshold.
+    near = bounds.filter(F.col("low") <= (100 - share) / 100 + 1e-9).select("a", "b").distinct()
+    met = materialize(_distances(near, rows, k), "distances")
+    within = (F.col("common") > 0) & (100 * F.col("common") >= share * F.col("either"))
+    away = (1 - F.max(F.col("common") / F.col("either"))).alias("away")
+    exact = met.groupBy("a", "b").agg(away)
+    bounds = (bounds.groupBy("a", "b").agg(F.min("low").alias("low"), F.count("a").alias("texts"))
+              .join(exact, ["a", "b"], "left"))
+    # Documents with several texts have no one distance.
+    one = F.col("texts") == 1
+    return bounds.select("a", "b", F.when(one, F.coalesce("away", "low")).otherwise(0.0).alias("low"),
+                         F.when(one, F.coalesce("away", F.lit(1.0))).otherwise(1.0).alias("high")), met.filter(within)
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return (rows.join(labels, "id", "left")
             .withColumn("component", F.coalesce("component", "id")))
 
 
-def _round(rest: DataFrame, links: DataFrame, texts: DataFrame, k: int, share: int, within: str,
+def _round(rest: DataFrame, docs: DataFrame, rows: DataFrame, k: int, share: int,
            pivots: int) -> tuple[DataFrame, DataFrame]:
-    """One step of the recursion inside regions; ``rest``: region, id, n, pivot, away,
-    component, members."""
-    far_first = W.partitionBy("region").orderBy(F.col("away").desc_nulls_first(), "id")
-    chosen = (rest.withColumn("rank", F.row_number().over(far_first)).filter(F.col("rank") <= pivots)
-              .select("region", F.col("id").alias("q"), F.col("n").alias("q_n"),
-                      F.col("pivot").alias("q_pivot"), F.col("away").alias("q_away"),
-                      F.col("component").alias("q_component")))
+    """One step of the recursion inside regions: links found, and the rows that go on.
+
+    ``rest``: region (its first pivot), id, place, low and high (bounds of the distance to the
+    first pivot), away (mean distance to the pivots of the last round), component, members.
+    """
+    in_component = W.partitionBy("region", "component").orderBy("away", "id")
+    central_first = W.partitionBy("region").orderBy("turn", "away", "id")
+    chosen = (rest.withColumn("turn", F.row_number().over(in_component))
+              .filter(F.col("turn") <= pivots)
+              .withColumn("rank", F.row_number().over(central_first))
+              .filter(F.col("rank") <= pivots)
+              .select("region", *[F.col(c).alias(f"q_{c}") for c in
+                                  ("id", "place", "low", "high", "component")]))
     chosen = materialize(chosen, "pivots")
-    windows = ((F.col("component") != F.col("q_component"))
-               & _near_sizes(F.col("n"), F.col("q_n"), share)
-               & ~F.coalesce((F.col("pivot") == F.col("q_pivot"))
-                             & (F.abs(F.col("away") - F.col("q_away")) > (100 - share) / 100 + 1e-9),
-                             F.lit(False)))
-    pairs = (rest.join(chosen, "region").filter(windows)
-             .select(F.greatest("id", "q").alias("a"), F.least("id", "q").alias("b")).distinct())
-    met = materialize(_distances(pairs, texts, k), "distances")
-    links = materialize(links.union(met.filter(within)), "links")
+    apart = (100 - share) / 100 + 1e-9
+    far = (F.col("low") - F.col("q_high") > apart) | (F.col("q_low") - F.col("high") > apart)
+    windows = ((F.col("component") != F.col("q_component")) & ~far
+               & _may_link(F.col("place"), F.col("q_place"), share))
+    meetings = materialize(
+        rest.join(chosen, "region").filter(windows)
+        .select("region", "id", F.greatest("id", "q_id").alias("a"), F.least("id", "q_id").alias("b")),
+        "meetings")
+    some = materialize(docs.join(rest.select("id").distinct(), "id", "left_semi"), "sketches")
+    bounds, new = _meet(meetings.select("a", "b").distinct(), some, rows, k, share)
+    means = (meetings.join(bounds, ["a", "b"]).groupBy("region", "id")
+             .agg(F.avg("low").alias("mean")))
     # A chosen pivot has met all of its region.
-    left = rest.join(chosen.select("region", F.col("q").alias("id")), ["region", "id"], "left_anti")
-    left = _labelled(left.drop("component", "members"), links)
-    return links, materialize(_several(left).select(*rest.columns), "open")
+    done = chosen.select("region", F.col("q_id").alias("id"))
+    left = rest.join(done, ["region", "id"], "left_anti").join(means, ["region", "id"], "left")
+    return new, left.withColumn("away", F.coalesce("mean", "away")).drop("mean", "members")
 
 
 def near_duplicates(df: DataFrame, **parameters) -> DataFrame:
     """One row per input row: ``id, n_shingles, component_id``."""
-    docs, links = join(df, **parameters)
-    found = materialize(components(links.select("a", "b")), "components")
-    return (docs.join(found, "id", "left")
+    docs, _, labels = join(df, **parameters)
+    return (docs.join(labels, "id", "left")
             .select("id", F.col("n").alias("n_shingles"),
                     F.coalesce("component", "id").alias("component_id")))
 
@@ -313,5 +409,6 @@ def representatives(df: DataFrame, *, id_column: str = "doc_id", **parameters) -
     """The rows of ``df`` with one document left of each component, the one with the smallest
     identifier; all columns unchanged.  Identifiers are unique."""
     docs = near_duplicates(df, id_column=id_column, **parameters)
-    gone = docs.filter("id <> component_id").select(F.col("id").alias("_gone")).distinct()
-    return df.join(gone, df[id_column] == gone["_gone"], "left_anti")
+    name = fresh(df.columns, "_gone")
+    gone = docs.filter("id <> component_id").select(F.col("id").alias(name)).distinct()
+    return df.join(gone, F.col(id_column) == F.col(name), "left_anti")
