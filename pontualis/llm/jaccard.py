@@ -325,9 +325,13 @@ def join(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
         "low": F.when(itself, 0.0).otherwise(F.coalesce("low", F.lit(0.0))),
         "high": F.when(itself, 0.0).otherwise(F.coalesce("high", F.lit(1.0)))})
         .withColumn("away", F.col("low")), "open")
+    # All that any round can need, so that rounds do not shuffle the documents again.
+    ids = materialize(rest.select("id").distinct(), "open_ids")
+    open_texts = materialize(rows.join(ids.hint("merge"), "id", "left_semi"), "open_texts")
+    open_sets = materialize(sets.join(ids, "id", "left_semi"), "open_sketches")
     pivots = _PIVOTS
     while not rest.isEmpty():
-        new, left = _round(rest, sets, rows, k, share, pivots)
+        new, left = _round(rest, open_sets, open_texts, k, share, pivots)
         if not new.isEmpty():
             links = links.unionAll(new)
             labels = _components(links)
@@ -387,8 +391,7 @@ def _round(rest: DataFrame, docs: DataFrame, rows: DataFrame, k: int, share: int
         rest.join(chosen, "region").filter(windows)
         .select("region", "id", F.greatest("id", "q_id").alias("a"), F.least("id", "q_id").alias("b")),
         "meetings")
-    some = materialize(docs.join(rest.select("id").distinct(), "id", "left_semi"), "sketches")
-    bounds, new = _meet(meetings.select("a", "b").distinct(), some, rows, k, share)
+    bounds, new = _meet(meetings.select("a", "b").distinct(), docs, rows, k, share)
     means = (meetings.join(bounds, ["a", "b"]).groupBy("region", "id")
              .agg(F.avg("low").alias("mean")))
     # A chosen pivot has met all of its region.
