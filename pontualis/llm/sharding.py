@@ -3,11 +3,13 @@
 Items sorted by size, largest first, each enter the bin with the least remaining capacity
 that still holds them; bins are kept in a balanced search tree by remaining capacity.
 
-``into_shards`` fills a fixed number of shards evenly: the capacity is the least one, found
-by bisection, at which the packing needs no more bins.  Its items are bounded in number:
+``into_shards`` fills a fixed number of shards evenly: a group larger than an even share of
+what is not yet placed gets a shard of its own, and for the others the capacity is the least
+one, found by bisection, at which the packing needs no more bins.  Its items are bounded in number:
 a group above ``1 / parcels`` of all bytes is an item of its own (there are fewer than
 ``parcels``), all other groups are dealt by hash into ``parcels`` items.  So the packing is
-the same small job for any input, and a shard's load is off by about one parcel.
+the same small job for any input.  Beside the shards of such large groups, loads differ by
+about a parcel, or by the size of the groups that are items of their own.
 
 ``by_capacity`` opens as many shards of a given capacity as it needs.  Groups are dealt by
 hash into zones of about ``zone_groups``; zones are packed in parallel, and each leaves at
@@ -94,7 +96,20 @@ def best_fit(sizes: Iterable[int], capacity: int, most: int | None = None) -> li
 
 
 def even_bins(sizes: Sequence[int], bins: int) -> list[int]:
-    """Best fit with the least capacity that bisection finds to need no more than ``bins``."""
+    """Best fit with the least capacity that bisection finds to need no more than ``bins``.
+
+    An item above an even share of itself and all smaller ones has a bin of its own, or its
+    size would be the capacity of every bin and leave the last ones empty.
+    """
+    rest, alone = sum(sizes), 0
+    while alone < len(sizes) and sizes[alone] * (bins - alone) > rest:
+        rest -= sizes[alone]
+        alone += 1
+    others = _least_capacity(sizes[alone:], bins - alone)
+    return [*range(alone), *(alone + b for b in others)]
+
+
+def _least_capacity(sizes: Sequence[int], bins: int) -> list[int]:
     if not sizes:
         return []
     low = max(sizes[0], -(-sum(sizes) // bins))

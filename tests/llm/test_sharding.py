@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -57,6 +58,29 @@ def test_loads_are_even(spark):
     assert len(loads) == 8 and max(loads) < 1.03 * min(loads)
 
 
+@pytest.mark.parametrize("large", [[3], [5], [3, 5], [4, 4, 4]])
+def test_loads_beside_large_groups(large):
+    total = 120_000
+    sizes = [total // part for part in large]
+    rest, bins = total - sum(sizes), 8 - len(sizes)
+    sizes += [rest // 4000] * 4000
+    loads = [0] * 8
+    for size, b in zip(sizes, sharding.even_bins(sizes, 8), strict=True):
+        loads[b] += size
+    loads.sort(reverse=True)
+    assert loads[:len(large)] == sizes[:len(large)]
+    assert loads[-1] > 0 and loads[len(large)] - loads[-1] <= 0.02 * rest / bins
+
+
+def test_shards_beside_a_large_group(spark):
+    docs = spark.range(9_000).selectExpr(
+        "id AS doc_id", "if(id % 3 = 0, repeat('y', 90), repeat('x', 85) || (10000 + id)) AS text")
+    loads = sorted(r["sum(size)"] for r in
+                   sharding.into_shards(docs, 8, parcels=512).groupBy("shard").sum("size").collect())
+    assert len(loads) == 8 and loads[-1] == 91 * 3_000
+    assert loads[-2] < 1.05 * loads[0]
+
+
 def test_by_capacity(odd, spark):
     check(sharding.by_capacity(odd, 1000).collect(), [r.text for r in odd.collect()])
     docs = spark.range(3000).selectExpr("id AS doc_id", "repeat('x', int(id % 50)) || id AS text")
