@@ -5,8 +5,13 @@ them, any value that a credential word is given is cut into words, dates, repeat
 walks and brute-force spans so that guessing it costs least; a value that even then costs
 ``bits`` or more is reported as ``guess``.
 
+A value that opens with a quote goes up to the same quote on its line (a backslash keeps a
+quote inside); one without quotes, or whose quote is not closed, ends at white space, a
+bracket, a quote, a comma or a semicolon.
+
 The costs are in bits.  Words cost by their place in a public vocabulary, whose order follows
-frequency; brute-force characters by the size of their class; every span one bit more.
+frequency; brute-force characters by the size of their class, where the letters of a span are
+of 26 if all have the same case and of 52 if not; every other span one bit more.
 
 Defined cases: a null text counts as empty and has no spans; offsets are code points of the
 unchanged text, ends exclusive; repeated rows get equal results.
@@ -36,7 +41,8 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _CONTEXT = re.compile(
     r"""(?:pass(?:word|phrase|code|wd)|pwd|secret|token|credentials?|authorization|bearer"""
     r"""|(?:api|access|private|secret|encryption|signing)[_-]?key)["']?\x20*(?::=|=>|[:=])"""
-    r"""\x20*["']?(?:bearer\x20+|basic\x20+)?([^\s"'`<>,;(){}\[\]]+)""",
+    r"""\x20*(?:(["'`])(?:bearer\x20+|basic\x20+)?((?:\\[^\n]|[^\\\n])*?)\1"""
+    r"""|["']?(?:bearer\x20+|basic\x20+)?([^\s"'`<>,;(){}\[\]]+))""",
     re.ASCII | re.IGNORECASE)
 #: What a text needs for any of the patterns to match.
 _NEEDED = r"(?i:pass|pwd|secret|token|credential|authorization|bearer|key)|AKIA|[0-9a-f]{32}"
@@ -72,14 +78,23 @@ def word_costs(path: str = VOCABULARY) -> dict[str, float]:
     return out
 
 
-def _class_bits(c: str) -> float:
+def _class_bits(c: str, mixed: bool = False) -> float:
+    """Bits of a brute-force character; ``mixed`` if its span has letters of both cases."""
     if c.isdigit():
         return math.log2(10)
     if c.isalpha():
-        return math.log2(26) if c.isascii() else math.log2(100)
+        return (math.log2(26) if c.isascii() else math.log2(100)) + mixed
     return math.log2(33)
 
 
+def _is_mixed(part: str) -> bool:
+    return part.lower() != part != part.upper()
+
+
+#: What a brute-force span holds: letters of one case, or of both.
+_LOWER, _UPPER, _BOTH = range(3)
+
+
 def _walk_end(keys: str, i: int) -> int:
     """The end of the run of neighbouring keys from ``i``."""
     j = i + 1
@@ -94,16 +109,21 @@ def guess_bits(value: str, words: dict[str, float], longest: int = 24) -> float:
     lower = value.lower()
     plain = lower.translate(_LEET)
     keys = lower.translate(_SHIFTED)
-    best = [0.0] + [math.inf] * n
+    best = [0.0] + [math.inf] * n  # after a span of another kind
+    brute = [[math.inf] * (n + 1) for _ in range(3)]  # within a brute-force span
 
     def reach(end: int, cost: float) -> None:
         if cost < best[end]:
             best[end] = cost
 
     for i in range(n):
-        here = best[i] + 1
-        # Brute force goes on without a new span's bit.
-        reach(i + 1, best[i] + _class_bits(value[i]))
+        # A brute-force span has no bit of its own.  It keeps its cases to its end, or else
+        # one of both cases could be had at the price of many of one.
+        c = value[i]
+        for case in (_LOWER, _UPPER, _BOTH):
+            if case == _BOTH or c == (c.lower() if case == _LOWER else c.upper()):
+                brute[case][i + 1] = min(best[i], brute[case][i]) + _class_bits(c, case == _BOTH)
+        here = min(best[i], *(b[i] for b in brute)) + 1
         for j in range(i + 3, min(n, i + longest) + 1):
             cost = words.get(lower[i:j])
             if cost is None:
@@ -126,9 +146,10 @@ def guess_bits(value: str, words: dict[str, float], longest: int = 24) -> float:
             times = 1
             while value.startswith(value[i:i + unit], i + times * unit):
                 times += 1
-                base = sum(_class_bits(c) for c in value[i:i + unit])
+                part = value[i:i + unit]
+                base = sum(_class_bits(c, _is_mixed(part)) for c in part)
                 reach(i + times * unit, here + base + math.log2(times) + 1)
-    return best[n]
+    return min(best[n], *(b[n] for b in brute))
 
 
 def scan(text: str, words: dict[str, float], bits: float) -> list[tuple[str, int, int]]:
@@ -139,9 +160,10 @@ def scan(text: str, words: dict[str, float], bits: float) -> list[tuple[str, int
               if m.end() - m.start() >= 16]
     found += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
     for m in _CONTEXT.finditer(text):
-        value = m[1].rstrip(".!?:#%&$*")
+        # A quoted value is whole; behind one without quotes a sentence may end.
+        value, start = (m[2], m.start(2)) if m[1] else (m[3].rstrip(".!?:#%&$*"), m.start(3))
         if value and guess_bits(value, words) >= bits:
-            found.append(("guess", m.start(1), m.start(1) + len(value)))
+            found.append(("guess", start, start + len(value)))
     return sorted(set(found), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

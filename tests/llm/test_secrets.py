@@ -1,6 +1,8 @@
 import hashlib
+import math
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -74,6 +76,36 @@ def test_context_values():
     assert found == ["xK9#mQ2$vL7pWz", "aZ3kQ9xW7pL2mN8vT5"]
 
 
+@pytest.mark.parametrize("text, value", [
+    ('password = "k9$,Lq2!vPz7#Wd"', "k9$,Lq2!vPz7#Wd"),
+    ("passphrase: 'velvet anchor (tundra) mosaic'", "velvet anchor (tundra) mosaic"),
+    ('{"pwd": "aZ3{k]Q9;x\'W7", "n": "b"}', "aZ3{k]Q9;x'W7"),
+    ('pwd = "aZ3k\\"Q9x;W7p"', 'aZ3k\\"Q9x;W7p'),
+    ('pwd = `aZ3k Q9x;W7p!`', "aZ3k Q9x;W7p!"),
+    ('Authorization: "Bearer aZ3k,Q9xW7pL2"', "aZ3k,Q9xW7pL2"),
+    ('pwd = "xK9#mQ2$vL7pWz and no end\n"', "xK9#mQ2$vL7pWz"),
+    ("access_key=tRqWxLzVbN", "tRqWxLzVbN"),
+])
+def test_values_are_whole(text, value):
+    spans = [text[a:b] for kind, a, b in secrets.scan(text, WORDS, 45) if kind == "guess"]
+    assert spans == [value]
+
+
+def test_short_quoted_values_are_no_secrets():
+    for text in ('password = ""', "token: 'letmein'", 'pwd = "x" + "kQ9xW7pL2mN8vT5"'):
+        assert not [s for s in secrets.scan(text, WORDS, 45) if s[0] == "guess"]
+
+
+def test_letters_of_both_cases_cost_more():
+    def bits(value):
+        return secrets.guess_bits(value, {})
+
+    assert bits("tpqmxlgwvj") == pytest.approx(10 * math.log2(26))
+    assert bits("TPQMXLGWVJ") == pytest.approx(10 * math.log2(26))
+    assert bits("tPqMxLgWvJ") == pytest.approx(10 * math.log2(52))
+    assert bits("7tR!") == pytest.approx(math.log2(10) + 2 * math.log2(52) + math.log2(33))
+
+
 def test_query(spark, odd, folder):
     data = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text or "" for r in table(spark, data, "documents").collect()}
