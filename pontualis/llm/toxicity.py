@@ -52,7 +52,6 @@ PRIORS = {"insult": 0.9, "insult+target": 0.95, "not-insult": 0.4, "said-insult"
 _PRIOR_ROWS = 2.0
 _SCOPE = 3
 _AIM = 5  # words after a person addressed that are about them
-_MOST = 3  # repeats of a pattern that count
 
 _CLAUSE_END = re.compile(r"[.!?;:\n]")
 _TOKEN = re.compile(r"[^\W_]+")
@@ -184,7 +183,7 @@ class Model:
     def chance(self, found: Counter) -> float:
         clean = 1 - self.base
         for pattern, n in found.items():
-            clean *= (1 - self.weights[pattern]) ** min(n, _MOST)
+            clean *= (1 - self.weights[pattern]) ** n
         return 1 - clean
 
 
@@ -234,11 +233,9 @@ def _learn_lexicon(sample: DataFrame, known: Model, toxic: int, rate: float, mos
                 seen.update(features)
                 if label:
                     hits.update(features)
-        # Features that no toxic text here has still count where another task has them.
-        keep = [f for f in seen if hits[f] or seen[f] > 1]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keep, pa.string()), pa.array([seen[f] for f in keep], pa.int64()),
-             pa.array([hits[f] for f in keep], pa.int64())], ["feature", "n", "hits"])
+            [pa.array(seen, pa.string()), pa.array(seen.values(), pa.int64()),
+             pa.array([hits[f] for f in seen], pa.int64())], ["feature", "n", "hits"])
 
     least = max(3, int(share * toxic))
     counted = materialize(sample.mapInArrow(count, "feature string, n long, hits long")
@@ -247,8 +244,9 @@ def _learn_lexicon(sample: DataFrame, known: Model, toxic: int, rate: float, mos
     # So rare by chance that, of all features, hardly one is taken wrongly.
     rare = 0.05 / max(1, counted.count())
     got = (counted.filter((F.col("hits") >= least) & (F.col("hits") * 4 > 3 * F.col("n")))
-           .orderBy(F.desc("hits"), "feature").limit(most).collect())
-    hits = {r.feature: r.hits for r in got if _by_chance(r.hits, r.n, rate) < rare}
+           .orderBy(F.desc("hits"), "feature").collect())
+    tested = [r for r in got if _by_chance(r.hits, r.n, rate) < rare]
+    hits = {r.feature: r.hits for r in tested[:most]}
 
     def specific(feature: str) -> int:
         """Hits of the commonest feature that this one is a beginning of."""

@@ -59,6 +59,37 @@ def test_learns_words_and_stems(spark):
     assert got[1] > 0.8 and got[2] > 0.8 and got[3] < 0.1 and got[4] == got[3]
 
 
+def test_counts_of_all_tasks_add_up(spark):
+    # Of the texts with "commonly", 22 are toxic and 15 are not, each of those in another task.
+    rows = [(1, f"plain{i} commonly") for i in range(22)] + [(1, f"other{i} zorp") for i in range(40)]
+    rows += [(0, f"clean{i} commonly") for i in range(15)]
+    rows += [(0, f"fill{i} word{i}") for i in range(623)]
+    known = toxicity.Model(toxicity.INSULTS, (), dict(toxicity.PRIORS), 0.0)
+    df = spark.createDataFrame(rows, "label int, text string")
+    found = [toxicity._learn_lexicon(df.repartition(n, "text"), known, 62, 62 / 700, 2_000, 0.02)
+             for n in (1, 50)]
+    assert found[0] == found[1]
+    words, stems = found[0]
+    assert "zorp" in words and "commonly" not in words and not any("commonly".startswith(s) for s in stems)
+
+
+def test_the_limit_comes_after_the_chance_test(spark):
+    # "often" has the most hits, but in a sample that is mostly toxic chance explains them.
+    rows = [(1, "often")] * 30 + [(0, "often")] * 9 + [(1, "rarely")] * 27 + [(0, "x y")] * 6
+    rows += [(1, "a b")] * 3
+    known = toxicity.Model(toxicity.INSULTS, (), dict(toxicity.PRIORS), 0.0)
+    df = spark.createDataFrame(rows, "label int, text string")
+    words, stems = toxicity._learn_lexicon(df, known, 60, 60 / 75, 1, 0.02)
+    assert words | stems
+
+
+def test_every_match_counts():
+    _, model = patterns("")
+    chances = [model.chance(model.finder()("never kill. " * n)) for n in (1, 3, 4, 40)]
+    assert chances == sorted(set(chances))
+    assert chances[-1] == pytest.approx(1 - 0.98 * 0.95 ** 40)
+
+
 def test_held_out(spark):
     folder = "/root/testdata/sf0.1"
     toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
