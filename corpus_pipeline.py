@@ -17,9 +17,12 @@ from pontualis.sources.scratch import materialize
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without text or letters go.
 
-    The column ``lang`` is only learned from; it is left as it is.
+    The column ``lang`` is only learned from; it is left as it is.  If it names no language at
+    all, nothing can be told from it, and all documents with letters stay.
     """
     model = language.train(docs)
+    if not model.languages:
+        return docs.filter(language.has_letter(F.col("text")))
     answer = fresh(docs.columns, "_answer")
     found = language.identify(docs, model, answer)
     return found.filter(F.col(f"{answer}.lang") != "und").select(*docs.columns)

@@ -255,6 +255,24 @@ def train(rows: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
     return model
 
 
+def _lettered(texts: pa.Array) -> np.ndarray:
+    """Whether each text has a letter."""
+    ascii_letter = pc.fill_null(pc.match_substring_regex(texts, "[A-Za-z]"), False)
+    out = ascii_letter.to_numpy(zero_copy_only=False).copy()
+    for k in np.flatnonzero(~out):
+        out[k] = any(map(str.isalpha, texts[k].as_py() or ""))
+    return out
+
+
+def has_letter(text: Column) -> Column:
+    """What any text needs to have a language, for when none was learned."""
+    @F.arrow_udf("boolean")
+    def lettered(texts: pa.Array) -> pa.Array:
+        return pa.array(_lettered(texts), pa.bool_())
+
+    return lettered(text)
+
+
 def predictor(spark, model: Model):
     """A column function: text -> struct(lang, score)."""
     shared = spark.sparkContext.broadcast(model)
@@ -271,10 +289,7 @@ def predictor(spark, model: Model):
             best = scores.argmax(axis=1)
             scores = np.exp(scores - scores.max(axis=1, keepdims=True))
             posterior = scores.max(axis=1) / scores.sum(axis=1)
-            ascii_letter = pc.fill_null(pc.match_substring_regex(array, "[A-Za-z]"), False)
-            letter = ascii_letter.to_numpy(zero_copy_only=False).copy()
-            for k in np.flatnonzero(~letter):
-                letter[k] = any(map(str.isalpha, array[k].as_py() or ""))
+            letter = _lettered(array)
             languages = [now.languages[b] if x else None
                          for b, x in zip(best.tolist(), letter.tolist(), strict=True)]
             yield _answers(languages, np.where(letter, posterior, 0.0))

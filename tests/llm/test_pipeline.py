@@ -40,6 +40,15 @@ def test_only_texts_without_language_go(steps):
     assert kept == {i for i, t in texts(steps[0]) if any(map(str.isalpha, t or ""))}
 
 
+def test_all_texts_with_letters_stay_where_no_language_is_named(spark):
+    rows = [(1, "plain text"), (2, "12 %%"), (3, None), (4, ""), (5, "éé"), (6, "x")]
+    docs = spark.createDataFrame([(i, t, None, "s", 0) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.identified(spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    assert sorted(i for i, _ in texts(kept)) == [1, 5, 6]
+
+
 def test_one_of_each_group_stays(steps):
     assert {i for i, _ in texts(steps[2])} == {c for _, _, c in near(texts(steps[1]))}
 
