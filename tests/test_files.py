@@ -131,3 +131,21 @@ def test_scan_is_splittable(spark, tmp_path):
         assert df.count() == 20000 == df.distinct().count()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_month_is_written_by_several_tasks(spark, small, monkeypatch):
+    from workload import queries
+
+    flights, published = queries.w.raw_flights, []
+    monkeypatch.setattr(queries.w, "raw_flights", lambda *a: flights(*a).repartition(3))
+    write_all = queries.write_published
+
+    def write(df, path, layout):
+        write_all(df, path, layout)
+        published.append((df.rdd.getNumPartitions(), path))
+
+    monkeypatch.setattr(queries, "write_published", write)
+    rows = queries.QUERIES["rows_per_file"](spark, small).collect()
+    assert len(published) == len(rows) == 12 and all(n > 1 for n, _ in published)
+    assert sum(r.linhas for r in rows) == flights(spark, small).count()
+    assert all(r.identificado for r in rows)
