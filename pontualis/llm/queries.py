@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pontualis.llm import (
+    audit,
+    chats,
     decontaminate,
     exact,
     jaccard,
     language,
     lines,
     mixing,
+    phrases,
     secrets,
     sharding,
     toxicity,
@@ -213,3 +216,158 @@ SELECT d.doc_id, coalesce(len(any_value(d.parts)), 0) AS n_lines,
 FROM split d LEFT JOIN joined j ON d.doc_id = j.doc_id
 GROUP BY d.doc_id
 """
+
+
+@query
+def op11_chat_format(spark, folder):
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"))
+    # Every row opens a turn of its own.
+    log = turns.unionByName(probe).select("conv_id", F.col("turn").alias("message"),
+                                          F.lit(0).alias("seq"), F.lit("open").alias("kind"),
+                                          "role", "text")
+    return chats.digests(chats.read_back(chats.format_chats(log)))
+
+
+# In the formatted text a turn has its two marks around role and text, and a backslash more for
+# every backslash and control string.
+ORACLE["op11_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, * FROM (VALUES (0, 'user', '\### Assistant: </turn> ok'),
+                            (1, 'assistant', '\### Assistant: </turn> ok'))
+), sized AS (
+  SELECT *, length('<turn ' || '>' || chr(10) || chr(10) || '</turn>' || chr(10))
+            + length(role) + length(text)
+            + len(regexp_extract_all(role || chr(0) || text,
+                '\\|<turn |</turn>|>\n|### (System|User|Assistant):|<\|im_start\|>|<\|im_end\|>'))
+              AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+         AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                       FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+@query
+def op12_collocations(spark, folder):
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+ORACLE["op12_collocations"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+           AS text
+  FROM documents
+), pieces AS (
+  SELECT doc, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(words)) AS BIGINT) AS total FROM worded GROUP BY lang
+), starts AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded
+), counts AS (
+  SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM starts, range(1, 6) AS t(k) WHERE i + k - 1 <= len(words)
+  GROUP BY ALL HAVING count(*) >= 100
+), several AS (
+  SELECT lang, k, phrase, f, string_split(phrase, ' ') AS words FROM counts WHERE k > 1
+), inside AS (
+  SELECT DISTINCT s.lang, array_to_string(words[i:i + size - 1], ' ') AS phrase, f
+  FROM several s, range(2, 5) AS t(size), range(1, 5) AS u(i)
+  WHERE size < k AND i + size - 1 <= k
+), kept AS (
+  SELECT * FROM several s
+  WHERE NOT EXISTS (SELECT 1 FROM inside i
+                    WHERE i.lang = s.lang AND i.phrase = s.phrase AND 100 * i.f >= 100 * s.f)
+), cuts AS (
+  SELECT lang, phrase, f, cut, array_to_string(words[1:cut], ' ') AS head,
+         array_to_string(words[cut + 1:], ' ') AS tail
+  FROM kept, range(1, 5) AS t(cut) WHERE cut < k
+), scored AS (
+  SELECT c.lang, c.phrase, c.f AS a, l.f AS l, r.f AS r, t.total AS n, c.cut,
+         CAST((1000::HUGEINT * c.f * t.total) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = c.head
+  JOIN counts r ON r.lang = c.lang AND r.phrase = c.tail
+  JOIN totals t ON t.lang = c.lang
+), least AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM least
+QUALIFY rank <= 2000
+"""
+
+
+@query
+def op13_filter_audit(spark, folder):
+    return audit.interactions(audit.combinations(table(spark, folder, "documents"),
+                                                 table(spark, folder, "labels")))
+
+
+ORACLE["op13_filter_audit"] = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+), worded AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM docs
+), failing AS (
+  SELECT doc_id, part,
+         [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+          100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text),
+          regexp_matches(text, '[#$%&*|]'),
+          coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails
+  FROM worded
+), judged AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS toxic
+  FROM (SELECT f.*, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND l.quality = 1) AS good,
+               EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND l.toxic = 1) AS bad
+        FROM failing f)
+  GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, step, filter_order[step] AS letter,
+         [instr('ABCDE', filter_order[i]) FOR i IN range(1, step)] AS earlier
+  FROM orders, range(1, 6) AS t(step)
+), met AS (
+  SELECT part, filter_order, step, letter, n, good, toxic,
+         fails[instr('ABCDE', letter)] AS here,
+         len([i FOR i IN earlier IF fails[i]]) > 0 AS gone,
+         len([f FOR f IN fails IF f]) AS failed
+  FROM judged, steps
+), summed AS (
+  SELECT part, filter_order, step, letter,
+         coalesce(sum(n) FILTER (NOT gone AND NOT here), 0) AS kept,
+         coalesce(sum(n) FILTER (NOT gone AND here), 0) AS removed,
+         coalesce(sum(n) FILTER (gone AND here), 0) AS redundant,
+         coalesce(sum(n) FILTER (here AND failed = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (NOT gone AND here), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (NOT gone AND here), 0) AS toxic_lost
+  FROM met GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+       CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM summed
+"""
