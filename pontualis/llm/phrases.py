@@ -45,7 +45,7 @@ BORDER = np.isin(_BYTE, np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 INSIDE = ~(BORDER | (_BYTE == 0x20) | (_BYTE == 0x09))
 _EXACT = "decimal(38,0)"
 _RELATION = "doc long, at array<int>, phrase array<int>"
-_FLUSH = 1 << 22  # words of a batch that are counted at once
+_AT_ONCE = 1 << 20  # words, or positions of a relation, that are handled at once in a task
 
 
 class HashClash(RuntimeError):
@@ -92,7 +92,7 @@ def _vocabulary(docs: DataFrame) -> DataFrame:
                 waiting.append((key, doc + low, found.start + base, found.length, LOWER[part].tobytes()))
                 base += len(part)
                 words += len(key)
-                if words >= _FLUSH:
+                if words >= _AT_ONCE // 2:
                     yield flush()
                     waiting, words, base = [], 0, 0
             if words:
@@ -132,6 +132,17 @@ def _adjacent(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return row[near], at[near], (phrase[near].astype(np.int64) << 32) | phrase[near + 1]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a relation's batch with about ``_AT_ONCE`` positions each, or of one row."""
+    edges = batch.column("at").offsets.to_numpy()
+    low = 0
+    while low < len(batch):
+        high = int(np.searchsorted(edges, edges[low] + _AT_ONCE, "right")) - 1
+        high = min(len(batch), max(high, low + 1))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def _rows(row: np.ndarray, n: int, at: np.ndarray, phrase: np.ndarray, doc: pa.Array) -> pa.RecordBatch:
     """A batch of a relation from its flat occurrences, sorted by row."""
     edges = pa.array(np.append(0, np.cumsum(np.bincount(row, minlength=n))), pa.int32())
@@ -178,15 +189,17 @@ def _word_occurrences(batch: pa.RecordBatch) -> Iterator[tuple]:
 
 
 def _pair_occurrences(batch: pa.RecordBatch) -> Iterator[tuple]:
-    yield batch.column("doc"), *_adjacent(batch)
+    for part in _slices(batch):
+        yield part.column("doc"), *_adjacent(part)
 
 
 def _pairs(relation: DataFrame) -> DataFrame:
-    """``key, n``: how often each two phrases are adjacent; counted in each batch first."""
+    """``key, n``: how often each two phrases are adjacent; counted in each part of a task first."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, n = np.unique(_adjacent(batch)[2], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+            for part in _slices(batch):
+                key, n = np.unique(_adjacent(part)[2], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
 
     counted = relation.mapInArrow(count, "key long, n long")
     return counted.groupBy("key").agg(F.sum("n").alias("n"))
