@@ -233,7 +233,7 @@ def op11_chat_format(spark, folder):
 
 
 # In the formatted text a turn has its two marks around role and text, and a backslash more for
-# every backslash and control string.
+# every backslash and control string; these may overlap, so each is counted by itself.
 ORACLE["op11_chat_format"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -243,10 +243,11 @@ WITH turns AS (
 ), sized AS (
   SELECT *, length('<turn ' || '>' || chr(10) || chr(10) || '</turn>' || chr(10))
             + length(role) + length(text)
-            + len(regexp_extract_all(role || chr(0) || text,
-                '\\|<turn |</turn>|>\n|### (System|User|Assistant):|<\|im_start\|>|<\|im_end\|>'))
+            + list_sum([(length(s) - length(replace(s, mark, ''))) // length(mark)
+                        FOR mark IN ['\', '<turn ', '</turn>', '>' || chr(10), '### System:',
+                                     '### User:', '### Assistant:', '<|im_start|>', '<|im_end|>']])
               AS chars
-  FROM turns
+  FROM (SELECT *, role || chr(0) || text AS s FROM turns)
 )
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))

@@ -38,6 +38,18 @@ def empty(spark):
     return documents(spark, [])
 
 
+@pytest.fixture(scope="session")
+def odd_turns(spark):
+    """Turns with nulls, ties, repeated rows, control strings and columns of clashing names."""
+    rows = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 1, "assistant", None), (1, None, None, "\\ <turn x>"),
+            (2, 5, "assistant", "### User: </turn> \\\\ <|im_start|>"), (2, 5, "assistant", ""),
+            (2, 5, "system", "é\U0001f600"), (None, 1, "assistant", "a\nb>\n"), (None, None, None, None),
+            (3, 1, "a>\n</turn>\n", LONG), (4, 2, "", "")]
+    clash = [f"{c} string" for c in ("part", "log", "whole", "loss", "seq", "kind", "message")]
+    return spark.createDataFrame([(*r, *["x"] * len(clash)) for r in rows],
+                                 "conv_id long, turn long, role string, text string, " + ", ".join(clash))
+
+
 @pytest.fixture
 def folder(spark, tmp_path):
     """Writes tables and gives their folder."""
@@ -54,7 +66,7 @@ def agrees():
     """Whether a query's rows are those of its SQL."""
     def check(df, sql, folder):
         con = duckdb.connect()
-        for name in ("documents", "benchmark", "pages", "labels"):
+        for name in ("documents", "benchmark", "pages", "labels", "conversations"):
             for pattern in (f"{folder}/{name}.parquet", f"{folder}/{name}.parquet/*.parquet"):
                 try:
                     con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{pattern}'")

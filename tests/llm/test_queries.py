@@ -14,12 +14,14 @@ def test_matches_sql(name, spark, agrees):
 
 
 @pytest.mark.parametrize("name", sorted(set(ORACLE) - {"op9_line_dedup"}))
-def test_matches_sql_on_odd_rows(name, spark, odd, folder, agrees):
-    place = folder(documents=odd)
+def test_matches_sql_on_odd_rows(name, spark, odd, odd_turns, folder, agrees):
+    labels = spark.createDataFrame([(1, 1, 0), (4, None, 1), (5, 1, 1), (5, 0, None), (None, 1, 1)],
+                                   "doc_id long, quality int, toxic int")
+    place = folder(documents=odd, conversations=odd_turns, labels=labels)
     agrees(QUERIES[name](spark, place), ORACLE[name], place)
 
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {"pipeline", *QUERIES} <= set(entry_point.queries())
