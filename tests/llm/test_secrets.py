@@ -70,6 +70,70 @@ def test_the_least_cost_is_found():
     assert secrets.guess_bits("xabcy", words) == least("xabcy")
 
 
+def over_all_segmentations(value, words):
+    """The least cost, from every span of every kind at every place."""
+    n, lower = len(value), "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    plain, keys = lower.translate(secrets._LEET), lower.translate(secrets._SHIFTED)
+
+    def turns(i, j):
+        return sum(ord(keys[k + 1]) - ord(keys[k]) != ord(keys[k]) - ord(keys[k - 1])
+                   for k in range(i + 1, j - 1))
+
+    def spans(i, j):
+        part = value[i:j]
+        for text, extra in ((lower, 0), (plain, 2)):
+            if text[i:j] in words:
+                odd = not part.istitle() and not part.isupper()
+                yield 1 + words[text[i:j]] + extra + (0 if part == lower[i:j] else 1 + 0.5 * (j - i) * odd)
+        date = secrets._DATE.match(value, i)
+        if date and date.end() == j:
+            yield 1 + math.log2(130) + (math.log2(365) + 2 if j - i > 4 else 0)
+        if j - i >= 3 and all(keys[k + 1] in secrets._NEAR.get(keys[k], ()) for k in range(i, j - 1)):
+            yield 1 + math.log2(47) + math.log2(j - i) + 1.5 * turns(i, j)
+        for unit in range(1, (j - i) // 2 + 1):
+            if (j - i) % unit == 0 and part == part[:unit] * ((j - i) // unit):
+                base = sum(secrets._class_bits(c, secrets._is_mixed(part)) for c in part[:unit])
+                yield 1 + base + math.log2((j - i) // unit) + 1
+
+    def brute_force(part):
+        one_case = all(c == c.lower() for c in part) or all(c == c.upper() for c in part)
+        return sum(secrets._class_bits(c, not one_case) for c in part)
+
+    # Brute-force spans are as long as they can be: none follows another.
+    best, brute = [0.0] + [math.inf] * n, [math.inf] * (n + 1)
+    for j in range(1, n + 1):
+        brute[j] = min(best[i] + brute_force(value[i:j]) for i in range(j))
+        best[j] = min((min(best[i], brute[i]) + c for i in range(j) for c in spans(i, j)), default=math.inf)
+    return min(best[n], brute[n])
+
+
+SMALL = {"abc": 3.0, "cde": 2.0, "abcde": 9.0, "pass": 4.0, "aaa": 5.0, "were": 3.5, "internationalisation": 14.0}
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.one_of(
+    st.text("abcABC12", max_size=14), st.text("aA1", max_size=24), st.text("qwerfdsa", max_size=24),
+    st.text("asAS", max_size=20), st.text("p@$s0ab", max_size=12), st.text("é\U0001f600İßa", max_size=8),
+    st.lists(st.sampled_from(["1999", "2019-03-04", "abc", "cde", "Pass", "pa5s", "wer", "dfg", "xyxy", "aaaa", "Q", "7",
+                              "internationalisation", "!", "were"]), max_size=5).map("".join)))
+def test_the_least_of_all_segmentations(value):
+    wanted = over_all_segmentations(value, SMALL)
+    assert secrets.guess_bits(value, SMALL) == pytest.approx(wanted)
+    for bound in (10.0, 45.0):
+        got = secrets.guess_bits(value, SMALL, bound)
+        assert got == pytest.approx(wanted) if wanted < bound - 1e-9 else got >= bound - 1e-9
+
+
+@pytest.mark.parametrize("unit", ["a", "as", "qwerty", "zaq1", "password", "12", "Zz9$kQ1!xW"])
+def test_very_long_values_take_no_long_time(unit):
+    import time
+
+    value = unit * (100_000 // len(unit))
+    start = time.perf_counter()
+    secrets.scan(f"password={value}", WORDS, 45, secrets._beginnings(secrets.VOCABULARY))
+    assert time.perf_counter() - start < 5  # seconds here are fractions of one on an idle machine
+
+
 def test_context_values():
     text = 'db pwd := "xK9#mQ2$vL7pWz", password: letmein, Authorization: Bearer aZ3kQ9xW7pL2mN8vT5'
     found = [text[a:b] for kind, a, b in secrets.scan(text, WORDS, 45) if kind == "guess"]
