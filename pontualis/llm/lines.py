@@ -2,17 +2,18 @@
 
 A document is the sequence of its lines that hold words.  All suffixes of all sequences are
 sorted by prefix doubling: once they are ranked by their first h lines, the pairs of ranks
-at a place and h lines on rank them by 2h lines.  A rank is the place of a group's first suffix in
+at a place and h lines on rank them by 2h lines, and the pairs at a place and d < h lines on
+tell which are equal in h + d lines.  A rank is the place of a group's first suffix in
 the suffix array.  Suffixes whose first lines occur once are settled and drop out, so a
-round handles only what still repeats.  After each round the groups are the intervals
-whose longest common prefix is at least h lines; of every group the first place (by
+round handles only what still repeats.  The groups of a length are the intervals whose
+longest common prefix is at least that long; of every group the first place (by
 identifier, then line) is the original, and the other places begin later copies.
 
-A copied stretch of h lines counts if it holds at least ``min_words`` words, where h is 1, 2,
-4, … up to the first that is at least ``min_words``: that many lines always hold the words, so
-doubling stops there, and longer runs are the union of their stretches.  A run of another
-number of short lines is missed if none of its stretches of these lengths holds the words.  All
-lines of a later copy are deleted; wordless lines are no part of any run and stay.
+The longest stretch at a place that has come before is the maximal run there, and it goes if it
+holds at least ``min_words`` words.  A line holds one, so a run of more than ``min_words`` lines
+is the union of its stretches of ``min_words`` lines, and all lengths up to that many lines
+are all there is to judge.  All lines of a later copy are deleted; wordless lines are no part
+of any run and stay.
 
 A line that is a third of all lines is counted before the shuffle, and its ranks go back in a
 join whose large side AQE splits.
@@ -42,13 +43,29 @@ def _wordy(line: Column) -> Column:
     return F.regexp_like(line, F.lit(_WORDY))
 
 
-def line_table(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``id, check, pos, words, h1, h2``: a row for each line with words, of each input row."""
+def _lines_for(counts: Column, min_words: int) -> Column:
+    """How many of the lines with these word counts it takes for ``min_words``; NULL if all are
+    too few."""
+    zero = F.struct(F.lit(0).alias("words"), F.lit(0).alias("lines"))
+
+    def add(done: Column, more: Column) -> Column:
+        needed = (done["words"] < min_words).cast("int")
+        return F.struct((done["words"] + more).alias("words"), (done["lines"] + needed).alias("lines"))
+
+    return F.aggregate(counts, zero, add, lambda done: F.when(done["words"] >= min_words, done["lines"]))
+
+
+def line_table(df: DataFrame, id_column: str, text_column: str, min_words: int) -> DataFrame:
+    """``id, check, pos, enough, h1, h2``: a row for each line with words, of each input row.
+    ``enough`` lines from there hold ``min_words`` words."""
     text = F.col(text_column)
     rows = df.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("check"),
-                     F.posexplode(F.filter(split_lines(text), _wordy)).alias("pos", "line"))
+                     F.filter(split_lines(text), _wordy).alias("lines"))
+    rows = rows.withColumn("counts", F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))))
+    rows = rows.select("id", "check", "counts", F.posexplode("lines").alias("pos", "line"))
+    ahead = F.slice("counts", F.col("pos") + 1, F.lit(min_words))
     second = F.shiftleft(F.crc32("line"), 31).bitwiseXOR(F.length("line").cast("long"))
-    return rows.select(*_PLACE, F.regexp_count("line", F.lit(WORD)).alias("words"),
+    return rows.select(*_PLACE, _lines_for(ahead, min_words).alias("enough"),
                        F.xxhash64("line").alias("h1"), second.alias("h2"))
 
 
@@ -74,31 +91,45 @@ def _ranked(rows: DataFrame, names: list[str], base: Column, group: list[str]) -
     placed = materialize(placed.withColumn("new_rank", base + F.col("smaller")), "ranks")
     out = rows.join(placed.select(*names, "new_rank", "first"), names)
     later = F.col("first") < F.struct(*_PLACE)
-    return out.select(*_PLACE, "words", F.col("new_rank").alias("rank"), later.alias("later"))
+    return out.select(*_PLACE, "enough", F.col("new_rank").alias("rank"), later.alias("later"))
+
+
+def _paired(level: DataFrame, on: int) -> DataFrame:
+    """The suffixes of a level with the rank of the one ``on`` lines on, where that repeats too."""
+    further = level.select("id", "check", (F.col("pos") - on).alias("pos"), F.col("rank").alias("next"))
+    return (level.alias("l").join(further.alias("r"), _same("l", "r", _PLACE))
+            .select(*[f"l.{c}" for c in _PLACE], "l.enough", "l.rank", "r.next"))
 
 
 def copied(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
            min_words: int = 5) -> DataFrame:
     """``id, check, pos`` of all lines of later copies; ``pos`` counts lines with words from 0."""
-    lines = materialize(line_table(df, id_column, text_column), "lines")
+    lines = materialize(line_table(df, id_column, text_column, min_words), "lines")
     level = _ranked(lines, ["h1", "h2"], F.lit(0), [])
     # Fully repeated rows give equal places, which are one from here on.
     level = materialize(level.distinct(), "suffixes")
-    found, length = [], 1
-    while True:
-        begins = level.filter(F.col("later") & (F.col("words") >= min_words))
-        found.append(begins.select("id", "check", F.explode(F.sequence(
-            F.col("pos"), F.col("pos") + (length - 1))).alias("pos")))
-        if length >= min_words:
+
+    def begun(rows: DataFrame, size: int) -> DataFrame:
+        """All lines of the later copies of ``size`` lines with words enough."""
+        begins = rows.filter(F.col("later") & (F.col("enough") <= size))
+        return begins.select("id", "check", F.explode(F.sequence(
+            F.col("pos"), F.col("pos") + (size - 1))).alias("pos"))
+
+    found, length = [begun(level, 1)], 1
+    while length < min_words:
+        for size in range(length + 1, min(2 * length - 1, min_words) + 1):
+            pairs = materialize(_paired(level, size - length), "pairs")
+            first = materialize(pairs.groupBy("rank", "next").agg(
+                F.min(F.struct(*_PLACE)).alias("first"), F.count(F.lit(1)).alias("size"))
+                .filter("size > 1").drop("size"), "firsts")
+            later = F.col("first") < F.struct(*_PLACE)
+            found.append(begun(pairs.join(first, ["rank", "next"]).withColumn("later", later), size))
+        if 2 * length > min_words:
             break
-        on = level.select("id", "check", (F.col("pos") - length).alias("pos"),
-                          F.col("rank").alias("next"), F.col("words").alias("more"))
-        pairs = (level.alias("l").join(on.alias("r"), _same("l", "r", _PLACE))
-                 .select(*[f"l.{c}" for c in _PLACE],
-                         (F.col("l.words") + F.col("r.more")).alias("words"), "l.rank", "r.next"))
-        pairs = materialize(pairs, "pairs")
+        pairs = materialize(_paired(level, length), "pairs")
         level = materialize(_ranked(pairs, ["rank", "next"], F.col("rank"), ["rank"]), "suffixes")
         length *= 2
+        found.append(begun(level, length))
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)

@@ -179,7 +179,7 @@ def op9_line_dedup(spark, folder):
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
-# A stretch of eight lines holds eight words at least, so longer ones add nothing.
+# Five lines hold five words at least, so longer runs are unions of stretches of five.
 ORACLE["op9_line_dedup"] = r"""
 WITH split AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
@@ -195,7 +195,7 @@ WITH split AS (
          array_agg(line) OVER ahead AS run,
          sum(words) OVER ahead AS words,
          count(*) OVER ahead AS size
-  FROM wordy, (VALUES (1), (2), (4), (8)) AS t(n)
+  FROM wordy, (VALUES (1), (2), (3), (4), (5)) AS t(n)
   WINDOW ahead AS (PARTITION BY doc_id, n ORDER BY pos
                    ROWS BETWEEN CURRENT ROW AND n - 1 FOLLOWING)
 ), later AS (

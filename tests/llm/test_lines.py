@@ -6,12 +6,11 @@ from pontualis.llm import lines
 
 
 def brute(docs, min_words=5):
-    """Texts without the lines of stretches of 1, 2, 4, … lines that occurred before."""
+    """Texts without the maximal runs, of any number of lines, that occurred before."""
     order = sorted((d for d in docs if d[1] is not None), key=lambda d: d[0])
     numbered = {i: [(k, x) for k, x in enumerate(t.split("\n")) if x.split()] for i, t in order}
     gone = {i: set() for i, _ in order}
-    length = 1
-    while True:
+    for length in range(1, max((len(x) for x in numbered.values()), default=0) + 1):
         seen = set()
         for i, _ in order:
             own = numbered[i]
@@ -20,9 +19,6 @@ def brute(docs, min_words=5):
                 if run in seen and sum(len(x.split()) for x in run) >= min_words:
                     gone[i] |= {n for n, _ in own[k:k + length]}
                 seen.add(run)
-        if length >= min_words:
-            break
-        length *= 2
     return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]) for i, t in order}
 
 
@@ -33,11 +29,31 @@ def test_against_brute_force(spark, seed):
     docs = [(i, "\n".join(dice.choice(pool) if dice.random() < 0.6 else f"own line {dice.random()}"
                           for _ in range(dice.randrange(12)))) for i in range(40)]
     docs[7] = (7, docs[3][1])
+    docs[8] = (8, "\n".join(["k", "m", "n", "o", "p", *docs[5][1].split("\n")]))
+    docs[9] = (9, "\n".join(["q", "k", "m", "n", "o", "p", "end of this"]))
     df = spark.createDataFrame([*docs, (99, None)], "doc_id long, text string").repartition(3)
     got = {r.id: r.text for r in lines.dedup_lines(df).collect()}
     assert got == {**brute(docs), 99: None}
 
 
+@pytest.mark.parametrize("min_words", [1, 2, 3, 4, 6, 7, 9])
+def test_other_bounds(spark, min_words):
+    dice = random.Random(min_words)
+    docs = [(i, "\n".join(dice.choice(["a", "b", "c d", "e f g", "h"]) for _ in range(dice.randrange(9))))
+            for i in range(25)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.id: r.text for r in lines.dedup_lines(df, min_words=min_words).collect()}
+    assert got == brute(docs, min_words)
+
+
+def test_runs_of_few_short_lines(spark):
+    docs = [(1, "a b\nc d\ne f\nown one"), (2, "first own\na b\nc d\ne f"), (3, "k\nl\nm\nn\no"),
+            (4, "x\nk\nl\nm\nn\no\ny"), (5, "k\nl\nm\nn")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.id: r.text for r in lines.dedup_lines(df).collect()}
+    assert got[2] == "first own" and got[4] == "x\ny" and got[5] == "k\nl\nm\nn"
+
+
 def test_long_runs_and_repeats(spark):
     page = "\n".join(f"l{i}" for i in range(300))
     docs = [(1, page), (2, f"new first\n{page}\nnew last"), (3, "r r r r r\n" * 200)]
