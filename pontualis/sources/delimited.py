@@ -1,15 +1,19 @@
 """Published text files: a banner line, then the header, then rows; everything as text.
 
+Files of one source may differ in their columns, the order of these, and whether there is a
+banner.  One pass over the first lines gives every file's own header; files with the same
+header are read with one schema, by position, and the groups are united by name.
+
 Stock Spark has no option to skip leading lines.  ``header=true`` makes it drop the first
-line of every file, which here is the banner (and the BOM on it); the header line that
-follows is then an ordinary row, recognised because every field equals its column name.
-Files stay splittable: no multi-line mode, no whole-file reads, no inference.
+line of every file, which is the banner (and the BOM on it) or, without one, the header;
+a header line that follows a banner is then an ordinary row, recognised because every field
+equals its column name.  Files stay splittable: no multi-line mode, no whole-file reads, no
+inference.
 """
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
@@ -19,7 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from pontualis import model
-from pontualis.operators.rows import project_map, quoted, require_columns
+from pontualis.operators.rows import MissingColumns, union_all
+from pontualis.sources.headers import HeaderGroup, header_groups, header_index, of_group
+
+
+class HeaderMismatch(MissingColumns):
+    """Some files of a source lack columns that others have."""
 
 
 @dataclass(frozen=True)
@@ -46,46 +55,39 @@ AIRLINES = Layout(model.AIRLINE_HEADERS)
 AIRPORTS = Layout(model.AIRPORT_HEADERS, quote=None, charset="ISO-8859-1")
 
 
-def header_names(spark: SparkSession, path: str, layout: Layout) -> list[str]:
-    """Header of one file under ``path``; reads the first lines only."""
-    line = F.decode(F.col("value").cast("binary"), layout.charset)
-    lines = spark.read.text(path).select(line.alias("line")).take(layout.banner_lines + 1)
-    if len(lines) <= layout.banner_lines:
-        return []
-    header = lines[layout.banner_lines].line.rstrip("\r").lstrip("\ufeff")
-    if layout.quote is None:
-        return header.split(layout.sep)
-    return next(csv.reader([header], delimiter=layout.sep, quotechar=layout.quote))
-
-
-def _is_header(names: list[str]) -> Column:
-    return reduce(and_, [quoted(n).eqNullSafe(F.lit(n)) for n in names])
-
-
-def _other_header(names: list[str], wanted: Iterable[str]) -> Column:
-    """Whether a row holds all wanted column names, in whatever order."""
-    # Ordinary rows fail the first, cheap test.
-    starts = quoted(names[0]).isin(*names)
-    row = F.array(*[quoted(n) for n in names])
-    return starts & reduce(and_, [F.array_contains(row, n) for n in wanted])
-
-
-def read_delimited(spark: SparkSession, path: str, layout: Layout, *,
-                   provenance: str | None = None, malformed: str | None = None,
-                   headers_seen: Observation | None = None) -> DataFrame:
-    """All rows of the files matching ``path``, renamed per ``layout``, as text.
-
-    Raises ``MissingColumns`` before any row is read if the header lacks a column, and
-    fails at the header line of a file whose columns come in another order, rather than
-    read its values into the wrong columns.
-    ``malformed`` names a column to receive the whole line of a row with more or fewer fields
-    than the header (NULL for all other rows), so that no field is lost.
-    ``provenance`` names a column to receive the file name.  ``headers_seen`` counts the
-    header lines met (as ``headers``) while an action runs; a load can compare that with
-    the number of files, which shows a file whose header differs from the others.
-    """
-    names = header_names(spark, path, layout)
-    require_columns(names, layout.columns)
+def headers_of(spark: SparkSession, path: str, layout: Layout) -> list[HeaderGroup]:
+    """The different headers of the files under ``path``; reads their first lines only."""
+    return header_groups(header_index(
+        spark, path, names=list(layout.columns), sep=layout.sep, quote=layout.quote,
+        charset=layout.charset, banner_lines=layout.banner_lines))
+
+
+def _require(groups: Sequence[HeaderGroup], path: str, layout: Layout, missing: str) -> None:
+    """Raises unless every file can be read."""
+    total = sum(g.files for g in groups)
+    headless = sum(g.files for g in groups if g.skipped < 0)
+    if headless:
+        raise MissingColumns(f"{path}: {headless} of {total} files have no header")
+    for group in groups:
+        twice = [n for n in layout.columns if group.header.count(n) > 1]
+        if twice:
+            raise ValueError(f"{path}: {group.files} of {total} files have columns twice: {twice}")
+    if not any(g.header for g in groups):
+        raise MissingColumns(f"{path}: no file has a header")
+    if missing == "null":
+        return
+    lacking = {n: sum(g.files for g in groups if n not in g.header) for n in layout.columns}
+    lacking = {n: files for n, files in lacking.items() if files}
+    if any(files == total for files in lacking.values()):
+        raise MissingColumns(f"columns not found in the source: {list(lacking)}")
+    if lacking:
+        raise HeaderMismatch(f"{path}: {max(lacking.values())} of {total} files lack columns that "
+                             f"others have: {list(lacking)}")
+
+
+def _read_group(spark: SparkSession, path: str, layout: Layout, group: HeaderGroup, files: Column | None,
+                provenance: str | None, malformed: str | None) -> DataFrame:
+    """The group's lines with the layout's columns, and ``_is_header``."""
     options = {
         "sep": layout.sep,
         "header": "true",
@@ -95,26 +97,50 @@ def read_delimited(spark: SparkSession, path: str, layout: Layout, *,
         "quote": layout.quote or "",
         "escape": layout.quote or "",
     }
-    schema = StructType([StructField(n, StringType()) for n in names])
+    fields = [f"_c{i}" for i in range(len(group.header))]
+    schema = StructType([StructField(f, StringType()) for f in fields])
     if malformed:
-        schema = schema.add(malformed, StringType())
-        options["columnNameOfCorruptRecord"] = malformed
-    rows = spark.read.schema(schema).options(**options).csv(path)
-    columns = [quoted(n) for n in schema.names]
-    if provenance:
-        columns.append(F.col("_metadata.file_name").alias(provenance))
-    rows = rows.select(*columns)
-    if layout.banner_lines:
-        if headers_seen is not None:
-            rows = rows.observe(headers_seen, F.count_if(_is_header(names)).alias("headers"))
-        message = F.lit(f"{path}: a file's header has the columns in another order")
-        rows = rows.filter(
-            F.when(_is_header(names), False)
-            .when(_other_header(names, layout.columns), F.raise_error(message).isNull())
-            .otherwise(True))
-    renames = dict(layout.columns)
+        schema = schema.add("_line", StringType())
+        options["columnNameOfCorruptRecord"] = "_line"
+    lines = spark.read.schema(schema).options(**options).csv(path)
+    if files is not None:
+        lines = lines.filter(files)
+    columns = {new: F.col(fields[group.header.index(old)]) if old in group.header
+               else F.lit(None).cast("string") for old, new in layout.columns.items()}
     if malformed:
-        renames[malformed] = malformed
+        columns[malformed] = F.col("_line")
     if provenance:
-        renames[provenance] = provenance
-    return project_map(rows, renames)
+        columns[provenance] = F.col("_metadata.file_name")
+    is_header = F.lit(False)
+    if group.skipped:
+        is_header = reduce(and_, [F.col(f).eqNullSafe(F.lit(n))
+                                  for f, n in zip(fields, group.header, strict=True)])
+    return lines.select(*[c.alias(n) for n, c in columns.items()], is_header.alias("_is_header"))
+
+
+def read_delimited(spark: SparkSession, path: str, layout: Layout, *,
+                   provenance: str | None = None, malformed: str | None = None,
+                   missing: str = "raise", headers_seen: Observation | None = None,
+                   groups: Sequence[HeaderGroup] | None = None) -> DataFrame:
+    """All rows of the files matching ``path``, renamed per ``layout``, as text.
+
+    Each file is read by its own header, wherever its columns stand and with or without a
+    banner.  Before any row is read, ``MissingColumns`` is raised for a file without header, or
+    a column that no file has, and ``HeaderMismatch`` for one that some files lack; with
+    ``missing="null"`` such columns are NULL, and a file of nothing but a banner has no rows.
+    ``malformed`` names a column to receive the whole line of a row with more or fewer fields
+    than its header (NULL for all other rows), so that no field is lost.
+    ``provenance`` names a column to receive the file name.  ``headers_seen`` counts the
+    header lines after banners (as ``headers``) while an action runs.  ``groups`` are those of
+    :func:`headers_of`, if already known.
+    """
+    if missing not in ("raise", "null"):
+        raise ValueError(f"missing: {missing}")
+    groups = headers_of(spark, path, layout) if groups is None else groups
+    _require(groups, path, layout, missing)
+    rows = union_all([
+        _read_group(spark, path, layout, g, of_group(g, groups), provenance, malformed)
+        for g in groups if g.header])
+    if headers_seen is not None:
+        rows = rows.observe(headers_seen, F.count_if("_is_header").alias("headers"))
+    return rows.filter("NOT _is_header").drop("_is_header")

@@ -40,7 +40,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and the file system it is in, as Spark sees them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, where = _located(spark, path)
+    return store.exists(where)
+
+
 def discard(spark: SparkSession) -> None:
     """Remove what this application has put there; its results must no longer be in use."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    store, where = _located(spark, _own_folder(spark))
+    store.delete(where, True)

@@ -6,9 +6,17 @@ from pyspark.sql import functions as F
 
 from pontualis import model
 from pontualis.operators.rows import MissingColumns
-from pontualis.plans.bronze import Source, bronze_table
+from pontualis.plans.bronze import MALFORMED, Source, bronze_table
 from pontualis.plans.silver import silver_airports
-from pontualis.sources.delimited import AIRLINES, AIRPORTS, FLIGHTS, Layout, read_delimited
+from pontualis.sources.delimited import (
+    AIRLINES,
+    AIRPORTS,
+    FLIGHTS,
+    HeaderMismatch,
+    Layout,
+    headers_of,
+    read_delimited,
+)
 
 BOM = "\ufeff"
 HEADER = ";".join(f'"{h}"' for h in model.FLIGHT_HEADERS)
@@ -50,8 +58,52 @@ def test_reordered_columns_are_never_read_into_the_wrong_ones(spark, tmp_path):
     layout = Layout({"a": "first", "b": "second"})
     write(tmp_path / "1.csv", ["banner", '"a";"b"', '"1";"2"'])
     write(tmp_path / "2.csv", ["banner", '"b";"a"', '"4";"3"'])
-    with pytest.raises(Exception, match="columns in another order"):
-        read_delimited(spark, f"{tmp_path}/*.csv", layout).collect()
+    write(tmp_path / "3 with blanks.csv", ["banner", '"x y";"b";"a"', '"0";"6";"5"'])
+    write(tmp_path / "4.csv", [BOM + '"b";"a"', '"8";"7"', '"b";"a"'])
+    rows = read_delimited(spark, f"{tmp_path}/*.csv", layout).collect()
+    # Without a banner a second line like the header is a row.
+    assert sorted(map(tuple, rows)) == [("1", "2"), ("3", "4"), ("5", "6"), ("7", "8"), ("a", "b")]
+    plain = layout.without_banner()
+    assert sorted(map(tuple, read_delimited(spark, f"{tmp_path}/*.csv", plain).collect())) == sorted(
+        map(tuple, rows))
+
+
+def test_a_file_that_lacks_a_column(spark, tmp_path):
+    layout = Layout({"a": "first", "b": "second", "c": "third"})
+    write(tmp_path / "1.csv", ["banner", "a;b;c", "1;2;3"])
+    write(tmp_path / "2.csv", ["banner", "c;a", "6;4"])
+    with pytest.raises(HeaderMismatch, match=r"1 of 2 files lack .*\['b'\]"):
+        read_delimited(spark, f"{tmp_path}/*.csv", layout)
+    rows = read_delimited(spark, f"{tmp_path}/*.csv", layout, missing="null").collect()
+    assert sorted(map(tuple, rows)) == [("1", "2", "3"), ("4", None, "6")]
+    write(tmp_path / "3.csv", ["banner"])
+    write(tmp_path / "4.csv", [])
+    rows = read_delimited(spark, f"{tmp_path}/*.csv", layout, missing="null", malformed="line").collect()
+    assert len(rows) == 2 and all(r.line is None for r in rows)
+    write(tmp_path / "5.csv", ["banner", "no;header", "1;2"])
+    with pytest.raises(MissingColumns, match="1 of 5 files have no header"):
+        read_delimited(spark, f"{tmp_path}/*.csv", layout, missing="null")
+
+
+def test_a_column_that_comes_twice_is_refused(spark, tmp_path):
+    write(tmp_path / "1.csv", ["banner", "a;b;a", "1;2;3"])
+    with pytest.raises(ValueError, match="columns twice"):
+        read_delimited(spark, str(tmp_path), Layout({"a": "a"}))
+
+
+def test_headers_are_found_without_reading_the_files(spark, tmp_path):
+    for i in range(5):
+        write(tmp_path / f"{i}.csv", ["banner", "a;b" if i else "b;a", *["1;2"] * 50_000])
+    groups = headers_of(spark, f"{tmp_path}/*.csv", Layout({"a": "a", "b": "b"}))
+    assert [(g.header, g.skipped, g.files, len(g.named)) for g in groups] == [
+        (("a", "b"), 1, 4, 0), (("b", "a"), 1, 1, 1)]
+    df = read_delimited(spark, f"{tmp_path}/*.csv", Layout({"a": "a", "b": "b"}), groups=groups)
+    assert {r.a: r["count"] for r in df.groupBy("a").count().collect()} == {"1": 200_000, "2": 50_000}
+
+
+def test_a_duplicated_unnamed_column_does_no_harm(spark, tmp_path):
+    write(tmp_path / "1.csv", ["banner", "x;a;x", "1;2;3"])
+    assert read_delimited(spark, str(tmp_path), Layout({"a": "a"})).collect() == [("2",)]
 
 
 def test_lines_with_other_numbers_of_fields_are_kept_whole(spark, tmp_path):
@@ -97,9 +149,9 @@ def test_latin1_airports_without_quoting(spark, tmp_path):
     write(tmp_path / "a.csv",
           ["Atualizado em: x", ";".join(model.AIRPORT_HEADERS), ";".join(fields)], "iso-8859-1")
     bronze = bronze_table(spark, Source(str(tmp_path), AIRPORTS, provenance=False))
-    assert bronze.columns == [*model.AIRPORT_HEADERS.values(), model.INGESTED_AT]
-    assert list(bronze.drop(model.INGESTED_AT).first()) == fields
-    silver = silver_airports(bronze)
+    assert bronze.columns == [*model.AIRPORT_HEADERS.values(), MALFORMED, model.INGESTED_AT]
+    assert list(bronze.drop(MALFORMED, model.INGESTED_AT).first()) == fields
+    silver = silver_airports(bronze.drop(MALFORMED))
     assert len(silver.columns) == 13
     row = silver.first()
     assert row.altitude_m == 193.0 and row.latitude_dms == "09°52'06\"S" and row.uf_nome == "Acre"
