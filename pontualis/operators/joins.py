@@ -67,3 +67,23 @@ def describe_code(df: DataFrame, code: str, codes: DataFrame, domain: str, out:
         F.col("codigo").alias(code), F.col("descricao").alias(out)
     )
     return df.join(one_row_per_key(texts, code), code, "left")
+
+
+def by_longest_prefix(df: DataFrame, key: str, prefixes: DataFrame, out: str, *,
+                      prefix: str = "prefixo", value: str = "valor") -> DataFrame:
+    """Add ``out``: the ``value`` of the longest of ``prefixes`` that ``key`` begins with.
+
+    NULL for a NULL key or one without a listed prefix; the empty prefix matches all.  Only the
+    distinct keys meet the prefixes, each with one candidate for every length that is listed
+    (lengths are few, and are looked up first); the longest match is then joined as any lookup.
+    """
+    listed = one_row_per_key(prefixes.select(F.col(prefix).alias("_found"), F.col(value).alias("_value"))
+                             .withColumn("_found", F.concat(F.lit("^"), "_found")), "_found")
+    lengths = sorted(r[0] for r in listed.select(F.length("_found") - 1).distinct().collect())
+    codes = df.filter(F.col(key).isNotNull()).select(key, unjoined_grouping(key)).distinct()
+    # The mark in front makes the empty prefix a key like the others.
+    starts = F.array(*[F.concat(F.lit("^"), F.substring(key, 1, n)) for n in lengths])
+    candidates = codes.withColumn("_found", F.explode(F.array_distinct(starts.cast("array<string>"))))
+    matched = candidates.join(listed, "_found").groupBy(key, unjoined_grouping(key)).agg(
+        F.max_by("_value", F.length("_found")).alias(out))
+    return df.join(matched.select(key, out), key, "left")

@@ -81,6 +81,24 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
 
 
+def first_rows_of_table(table: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """:func:`first_rows` of a published table clustered by the first column of ``order``.
+
+    That column alone is read to find the last value that can be among the first ``n``; it then
+    becomes a filter, by which the scan of all columns skips row groups.
+    """
+    lead = F.col(order[0])
+    last, found = (table.select(lead.alias("lead")).orderBy(F.col("lead").asc_nulls_first()).limit(n)
+                   .agg(F.max("lead"), F.count(F.lit(1))).first())
+    if found < n:
+        needed = table
+    elif last is None:
+        needed = table.filter(lead.isNull())
+    else:
+        needed = table.filter(lead.isNull() | (lead <= F.lit(last)))
+    return first_rows(needed, order, n)
+
+
 def sample_rows(df: DataFrame, n: int = 10) -> DataFrame:
     """Any ``n`` rows, for a look at a table."""
     return df.limit(n)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,8 @@ from pontualis.operators.rows import union_all
 # Pair counts grow with the square of a group, past BIGINT for a hot key at 10^10 rows.
 PAIR_COUNT = "decimal(38,0)"
 
+ADDED, REMOVED, CHANGED, UNCHANGED = "ADICIONADA", "REMOVIDA", "ALTERADA", "INALTERADA"
+
 _SCHEDULED = "partida_prevista"
 _DERIVED = {
     "linhas_com_partida_prevista_data": "partida_prevista_data",
@@ -42,32 +46,82 @@ def count_conservation(parts: Mapping[str, DataFrame], whole: Mapping[str, DataF
 
 def keyed_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], compare: str, *,
                names: tuple[str, str] = ("anterior", "atual"),
-               changed: str = "ALTERADA", position: str | None = None) -> DataFrame:
+               changed: str = CHANGED, position: str | None = None,
+               carry: Sequence[str] = ()) -> DataFrame:
     """FULL OUTER comparison of two relations that are unique on ``keys``.
 
     ``compare`` is matched null-safe.  With ``position`` (a column of ``right``) rows come
-    in that order, those found only on the left last.
+    in that order, those found only on the left last.  ``carry`` names columns of ``right``
+    to bring along; see :func:`diff_rows` for more than one compared column.
     """
     before, after = names
-    kept = [*keys, compare] + ([position] if position else [])
+    kept = list(dict.fromkeys([*keys, compare, *carry, *([position] if position else [])]))
     old = left.select(*keys, F.col(compare).alias(before), F.lit(True).alias("__old"))
     new = right.select(*kept).withColumnRenamed(compare, after).withColumn("__new", F.lit(True))
     status = (
-        F.when(F.col("__old").isNull(), "ADICIONADA")
-        .when(F.col("__new").isNull(), "REMOVIDA")
+        F.when(F.col("__old").isNull(), ADDED)
+        .when(F.col("__new").isNull(), REMOVED)
         .when(~F.col(before).eqNullSafe(F.col(after)), changed)
-        .otherwise("INALTERADA")
+        .otherwise(UNCHANGED)
     )
     diff = old.join(new, list(keys), "full").withColumn("status", status)
     if position:
         diff = diff.orderBy(F.col(position).asc_nulls_last(), *keys)
-    return diff.select(*keys, before, after, "status")
+    return diff.select(*keys, before, after, "status", *carry)
+
+
+def diff_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], compare: Sequence[str], *,
+              carry: Sequence[str] = (), changed: str = CHANGED,
+              position: str | None = None) -> DataFrame:
+    """FULL OUTER comparison of several columns of two relations that are unique on ``keys``.
+
+    Keys and values are matched null-safe.  ``alteracoes`` lists, in the order of ``compare``, the
+    columns that differ, as ``coluna, antes, depois`` (texts); of a row found on one side only,
+    those that it has a value for.  ``carry`` names columns to bring along from the right, or
+    from the left where only that has the row.  With ``position`` (a column of ``right``) rows
+    come in that order, those found only on the left last.
+    """
+    def side(df: DataFrame, name: str, *more: str) -> DataFrame:
+        values = dict.fromkeys([*compare, *carry, *more])
+        return df.select(F.struct(*keys).alias(f"{name}_key"), F.struct(*values).alias(name),
+                         *[F.col(k).alias(f"{name}_{k}") for k in keys])
+
+    old, new = side(left, "old"), side(right, "new", *([position] if position else []))
+    match = [F.col(f"old_{k}").eqNullSafe(F.col(f"new_{k}")) for k in keys]
+    joined = old.join(new, reduce(and_, match), "full")
+    differing = [F.when(~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")), F.struct(
+        F.lit(c).alias("coluna"), F.col(f"old.{c}").cast("string").alias("antes"),
+        F.col(f"new.{c}").cast("string").alias("depois"))) for c in compare]
+    changes = F.array_compact(F.array(*differing))
+    status = (F.when(F.col("old_key").isNull(), ADDED).when(F.col("new_key").isNull(), REMOVED)
+              .when(F.size(changes) > 0, changed).otherwise(UNCHANGED))
+    if position:
+        joined = joined.orderBy(F.col(f"new.{position}").asc_nulls_last(), F.col("old_key"))
+
+    def either(column: str) -> Column:
+        there = F.col("new_key").isNotNull()
+        return F.when(there, F.col(f"new.{column}")).otherwise(F.col(f"old.{column}"))
+
+    return joined.select(*[F.coalesce(f"new_{k}", f"old_{k}").alias(k) for k in keys],
+                         *[either(c).alias(c) for c in carry], changes.alias("alteracoes"),
+                         status.alias("status"))
+
+
+def changes_text(changes: str | Column = "alteracoes") -> Column:
+    """The changes of :func:`diff_rows` as one text, for reports."""
+    def shown(value: Column) -> Column:
+        return F.coalesce(value, F.lit("(vazio)"))
+
+    return F.array_join(F.transform(changes, lambda c: F.concat(
+        c["coluna"], F.lit(": "), shown(c["antes"]), F.lit(" -> "), shown(c["depois"]))), "; ")
 
 
 def schema_as_rows(df: DataFrame) -> DataFrame:
-    """Columns of ``df`` as a relation, for :func:`keyed_diff`."""
-    rows = [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(df.schema.fields, 1)]
-    return df.sparkSession.createDataFrame(rows, "coluna string, tipo string, posicao int")
+    """Columns of ``df`` as a relation, for :func:`keyed_diff` and :func:`diff_rows`."""
+    rows = [(f.name, f.dataType.simpleString(), i, f.metadata.get("comment"))
+            for i, f in enumerate(df.schema.fields, 1)]
+    return df.sparkSession.createDataFrame(
+        rows, "coluna string, tipo string, posicao int, comentario string")
 
 
 def multiset_difference(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pontualis import model
 from pontualis.functions import clock, text
-from pontualis.operators.joins import describe_code, one_row_per_key
+from pontualis.operators.joins import by_longest_prefix, describe_code, one_row_per_key
 from pontualis.operators.rows import stamp
 from pontualis.plans.silver import delay_metrics, split_instants
 
@@ -133,10 +133,13 @@ def build_fact(silver: DataFrame, carriers: DataFrame, codes: DataFrame, **rules
 
 
 def build_dim(flights: DataFrame, airports: DataFrame,
-              prefixes: Sequence[str] = model.BRAZIL_PREFIXES) -> DataFrame:
+              prefixes: Sequence[str] = model.BRAZIL_PREFIXES,
+              countries: DataFrame | None = None) -> DataFrame:
     """Every airport code the flights use, registered or not, with its attributes.
 
-    Both roles come out of one scan; the distinct collapses them map-side.
+    Both roles come out of one scan; the distinct collapses them map-side.  ``countries``
+    (``prefixo, valor``) names the country of each code's longest listed prefix; without it, a
+    code is at home if it has one of ``prefixes``, and abroad if not.
     """
     roles = F.array("icao_origem", "icao_destino")
     seen = flights.select(F.explode(roles).alias("icao_aeroporto"))
@@ -152,9 +155,13 @@ def build_dim(flights: DataFrame, airports: DataFrame,
         "icao_aeroporto",
     )
     code = F.col("icao_aeroporto")
-    dim = seen.join(registered, "icao_aeroporto", "left").withColumns({
+    dim = seen.join(registered, "icao_aeroporto", "left")
+    if countries is None:
+        dim = dim.withColumn("pais_aeroporto", country(code, prefixes))
+    else:
+        dim = by_longest_prefix(dim, "icao_aeroporto", countries, "pais_aeroporto")
+    dim = dim.withColumns({
         "nome_aeroporto": text.name_or_code(F.col("nome_aeroporto"), model.UNKNOWN_AIRPORT, code),
-        "pais_aeroporto": country(code, prefixes),
         "no_cadastro_anac": F.col("registered").isNotNull(),
     })
     return stamp(dim, model.PROCESSED_AT).select(*model.DIM_COLUMNS)
@@ -190,22 +197,49 @@ def build_obt(fact: DataFrame, dim: DataFrame) -> DataFrame:
     return stamp(wide, model.PROCESSED_AT).select(*model.OBT_COLUMNS)
 
 
+def _share(flag: str) -> Column:
+    return F.avg(F.col(flag).cast("int"))
+
+
+#: Measures by name.  Cancelled flights have no delay and no punctuality, so NULLs keep them out
+#: of both.
+MEASURES = {
+    "voos": lambda: F.count(F.lit(1)),
+    "voos_realizados": lambda: F.count_if("voo_realizado"),
+    "voos_cancelados": lambda: F.count_if("voo_cancelado"),
+    "taxa_cancelamento": lambda: _share("voo_cancelado"),
+    "atraso_partida_medio": lambda: F.avg("atraso_partida_min"),
+    "atraso_chegada_medio": lambda: F.avg("atraso_chegada_min"),
+    "partidas_avaliadas": lambda: F.count("partida_pontual"),
+    "pontualidade_partida": lambda: _share("partida_pontual"),
+    "pontualidade_chegada": lambda: _share("chegada_pontual"),
+}
+
+#: The axes that the measures are reported by.
+AXES = ("hora_partida_prevista", "partida_prevista_data", "mes_referencia", "rota", "escopo_voo",
+        "nome_companhia")
+OVERALL = "total"
+
+
 def kpis(flights: DataFrame, *axes: str) -> DataFrame:
-    """Cancellation, delay and punctuality measures, overall or per axis.
+    """Cancellation, delay and punctuality measures, overall or per axis."""
+    return flights.groupBy(*axes).agg(*[make().alias(name) for name, make in MEASURES.items()])
+
 
-    Cancelled flights have no delay and no punctuality, so NULLs keep them out of both.
+def kpis_by_axis(flights: DataFrame, axes: Sequence[str] = AXES) -> DataFrame:
+    """The measures overall and by each of ``axes``: ``eixo``, ``valor`` (as text) and measures.
+
+    One scan and one shuffle, of partial sums: grouping sets replicate a row for each axis only
+    inside the task that reads it, and are combined there first.
     """
-    def share(flag: str) -> Column:
-        return F.avg(F.col(flag).cast("int"))
-
-    return flights.groupBy(*axes).agg(
-        F.count(F.lit(1)).alias("voos"),
-        F.count_if("voo_realizado").alias("voos_realizados"),
-        F.count_if("voo_cancelado").alias("voos_cancelados"),
-        share("voo_cancelado").alias("taxa_cancelamento"),
-        F.avg("atraso_partida_min").alias("atraso_partida_medio"),
-        F.avg("atraso_chegada_min").alias("atraso_chegada_medio"),
-        F.count("partida_pontual").alias("partidas_avaliadas"),
-        share("partida_pontual").alias("pontualidade_partida"),
-        share("chegada_pontual").alias("pontualidade_chegada"),
-    )
+    sets = [[], *[[axis] for axis in axes]]
+    # Bit i from the left is set where axis i is not grouped by.
+    every = (1 << len(axes)) - 1
+    grouped = flights.groupingSets([[F.col(a) for a in s] for s in sets], *axes).agg(
+        F.grouping_id().alias("conjunto"), *[make().alias(name) for name, make in MEASURES.items()])
+    name, value = F.lit(OVERALL), F.lit(None).cast("string")
+    for i, axis in enumerate(axes):
+        here = F.col("conjunto") == every - (1 << (len(axes) - 1 - i))
+        name = F.when(here, axis).otherwise(name)
+        value = F.when(here, F.col(axis).cast("string")).otherwise(value)
+    return grouped.select(name.alias("eixo"), value.alias("valor"), *MEASURES)

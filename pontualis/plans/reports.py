@@ -42,7 +42,9 @@ def layer_reports(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
             tables["silver.empresas"], "origem_cadastro", "icao"),
         "schema_diff": reconcile.keyed_diff(
             reconcile.schema_as_rows(raw), reconcile.schema_as_rows(typed), ["coluna"], "tipo",
-            names=("tipo_bronze", "tipo_silver"), changed="TIPO_ALTERADO", position="posicao"),
+            names=("tipo_bronze", "tipo_silver"), changed="TIPO_ALTERADO", position="posicao",
+            carry=["comentario"]),
+        "first_flights": profile.first_rows_of_table(typed, ["partida_prevista", *PAIR_KEYS]),
         "transform_profile": reconcile.transform_profile(raw, typed),
         "reconcile_pairs": reconcile.reconcile_pairs(raw, typed, keys),
         "side_by_side": reconcile.side_by_side(raw, typed, keys),

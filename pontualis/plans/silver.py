@@ -19,6 +19,11 @@ from pontualis.model import (
 from pontualis.operators.rows import stamp, unify
 
 
+#: Flights are published in ranges of the scheduled departure; the other columns divide an
+#: instant, or its absence, that many flights share.
+CLUSTERED_BY = ("partida_prevista", "icao_empresa", "numero_voo", "icao_origem", "icao_destino")
+
+
 def typed_instants(bronze: DataFrame) -> DataFrame:
     """Text instants become TIMESTAMP_NTZ; absence markers become NULL."""
     reason = text.without_marker(F.col("codigo_justificativa"), NO_REASON)

@@ -14,6 +14,27 @@ def adapted(df):
     return executed(df).split("== Initial Plan ==")[0]
 
 
+def rows_read(df):
+    """Rows that the scans of a plan gave when it ran just now."""
+    query = df._jdf.queryExecution()
+    query.toRdd().count()
+    plan, total, todo = query.executedPlan(), 0, []
+    todo.append(plan)
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "FileSourceScanExec":
+            total += node.metrics().apply("numOutputRows").value()
+        else:
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
 @contextlib.contextmanager
 def settings(spark, **values):
     """Session settings for a while; ``__`` stands for a dot."""

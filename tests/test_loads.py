@@ -1,15 +1,18 @@
 """Publishing and the whole refresh."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from pontualis import model
-from pontualis.operators import contract
+from pontualis.operators import contract, profile
 from pontualis.operators.reconcile import multiset_difference
 from pontualis.plans.refresh import HeaderMismatch, Inputs, refresh
 from pontualis.plans.reports import layer_reports
 from pontualis.sources import loads
 from pontualis.sources.scratch import fresh_path, materialize, shared_folder
+from tests.plans import executed, rows_read, settings
 
 
 def table(spark, *values):
@@ -80,21 +83,84 @@ def test_shared_folder(spark, monkeypatch):
         assert shared_folder(spark).startswith(spark.conf.get("spark.sql.warehouse.dir"))
 
 
-def test_a_rival_writer_is_noticed(spark, tmp_path, monkeypatch):
+def test_rival_writers_of_one_load(spark, tmp_path):
+    """One commits while the other writes: readers see the first whole, and a retry takes it."""
     path = str(tmp_path / "t")
     loads.publish(table(spark, 1), path, "a")
+    with pytest.raises(loads.RivalLoad):
+        loads.publish(table(spark, *range(100)).repartition(4), path, "b",
+                      verify=lambda: loads.publish(table(spark, 5, 6).repartition(2), path, "b"))
+    assert sorted(loads.read_load(spark, path, "b").collect()) == [(5,), (6,)]
+    assert [(r.load_id, r.linhas) for r in loads.loads(spark, path).collect()] == [("a", 1), ("b", 2)]
+    again = loads.published(spark, path, "b")
+    assert sorted(again.collect()) == [(5,), (6,)] and loads.counts_of(spark, path, "b") == {"linhas": 2}
 
-    def rival():  # commits between this writer's start and its own commit
-        with monkeypatch.context() as alone:
-            alone.setattr(loads, "is_published", lambda *args: False)
-            loads.publish(table(spark, 5), str(tmp_path / "other"), "b")
-        import shutil
 
-        for part in (tmp_path / "other" / "loads").glob("*.parquet"):
-            shutil.copy(part, tmp_path / "t" / "loads" / part.name)
+def test_rivals_that_do_not_see_each_other(spark, tmp_path, monkeypatch):
+    """Both commit the same load at the same place; every reader takes the same attempt."""
+    path = str(tmp_path / "t")
+    loads.publish(table(spark, 1), path, "a")
+    before = loads._commits(spark, path)
+    commits, lost = loads._commits, 0
+    for name, values in (("f" * 32, (7, 8)), ("0" * 32, (9,)), ("c" * 32, (3, 3, 3))):
+        with monkeypatch.context() as blind:
+            blind.setattr(loads, "_commits", lambda *a: before)
+            blind.setattr(loads.uuid, "uuid4", lambda name=name: type("U", (), {"hex": name}))
+            blind.setattr(loads, "_committed_as", lambda s, p, i: next(
+                c for c in commits(s, p) if c.load_id == i))
+            try:
+                loads.publish(table(spark, *values), path, "b")
+            except loads.RivalLoad:
+                lost += 1
+    assert lost == 1  # the last; the first was the winner while it alone had committed
+    assert loads.read_load(spark, path, "b").collect() == [(9,)]
+    assert loads.current(spark, path).collect() == [(9,)]
+    assert loads.published(spark, path, "b").collect() == [(9,)]
+
+
+def test_loads_of_two_names_at_the_same_time(spark, tmp_path):
+    path = str(tmp_path / "t")
+    loads.publish(table(spark, 1), path, "a", verify=lambda: loads.publish(table(spark, 2, 3), path, "b"))
+    assert loads.read_load(spark, path, "a").count() == 1 and loads.read_load(spark, path, "b").count() == 2
+    assert loads.current(spark, path).count() == 1
 
-    with pytest.raises(loads.RivalLoad):
-        loads.publish(table(spark, 2), path, "b", verify=rival)
+
+def test_counts_are_taken_while_writing(spark, tmp_path):
+    """No second scan: the event of the write is the only one that reads the input."""
+    path = str(tmp_path / "t")
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000, numPartitions=4).mapInArrow(seen, "id long")
+    loads.publish(df, path, "a", counts={
+        "even": F.count_if(F.col("id") % 2 == 0), "none": F.count_if(F.col("id") < 0)})
+    assert loads.counts_of(spark, path, "a") == {"linhas": 1000, "even": 500, "none": 0}
+    assert reads.value == 1000
+    loads.publish(df.filter("id < 0"), path, "empty")
+    assert loads.counts_of(spark, path, "empty") == {"linhas": 0}
+    shuffled = spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count()
+    loads.publish(shuffled, path, "grouped", counts={"sum": F.sum("count")}, cluster_by=["k"])
+    assert loads.counts_of(spark, path, "grouped") == {"linhas": 7, "sum": 1000}
+
+
+def test_clustered_files_are_skipped(spark, tmp_path):
+    df = spark.range(100_000).select((F.col("id") * 7919 % 100_000).alias("x"), F.col("id").cast("string").alias("y"))
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        clustered = loads.publish(df.repartition(8), str(tmp_path / "t"), "a", cluster_by=["x"])
+    recent = clustered.filter("x >= 99000")
+    assert "PushedFilters: [IsNotNull(x), GreaterThanOrEqual(x,99000)]" in executed(recent)
+    assert rows_read(recent) < 20_000 and recent.count() == 1000
+    first = profile.first_rows_of_table(clustered, ["x", "y"], 3)
+    assert rows_read(first) < 20_000 and [r.x for r in first.collect()] == [0, 1, 2]
+    few = profile.first_rows_of_table(clustered.filter("x < 2"), ["x"], 5)
+    assert [r.x for r in few.collect()] == [0, 1]
+    nulls = clustered.withColumn("x", F.when(F.col("x") > 10, F.col("x")))
+    assert [r.x for r in profile.first_rows_of_table(nulls, ["x"], 5).collect()] == [None] * 5
+    assert [r.x for r in profile.first_rows_of_table(nulls, ["x"], 12).collect()] == [None] * 11 + [11]
 
 
 def test_the_history_does_not_follow_clocks(spark, tmp_path, monkeypatch):
@@ -271,15 +337,34 @@ def test_refresh_from_files_to_gold(spark, tmp_path):
     assert rows[0].linhas == rows[1].linhas == 6 and rows[0].ingerido_em < rows[1].ingerido_em
 
 
-def test_a_file_with_reordered_columns_stops_the_load(spark, tmp_path):
+def test_files_with_columns_in_other_orders_load(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    other = list(model.FLIGHT_HEADERS)
-    other[0], other[1] = other[1], other[0]
-    inputs = write_inputs(tmp_path / "in", second_header=other)
-    with pytest.raises(Exception, match="columns in another order"):
-        refresh(spark, inputs, str(tmp_path / "out"), "2026-08-01")
-    with pytest.raises(loads.LoadNotFound):
-        loads.current(spark, str(tmp_path / "out/bronze_vra"))
+    inputs = write_inputs(tmp_path / "in")
+    order = list(reversed(range(12)))
+    lines = ["Atualizado em: x", *[";".join(f'"{row[i]}"' for i in order)
+                                   for row in (list(model.FLIGHT_HEADERS), *FLIGHTS[1:2])]]
+    (tmp_path / "in/vra/VRA_2026-02.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    tables = refresh(spark, inputs, str(tmp_path / "out"), "2026-08-01")
+    first = refresh(spark, write_inputs(tmp_path / "in"), str(tmp_path / "plain"), "2026-08-01")
+    columns = [c for c in tables["gold.obt_voos"].columns if not c.endswith("_em")]
+    assert multiset_difference(tables["gold.obt_voos"], first["gold.obt_voos"], columns).count() == 0
+    assert tables["bronze.vra"].count() == 6
+
+
+def test_a_file_that_lacks_a_column_loads_if_it_may(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    inputs = write_inputs(tmp_path / "in", second_header=["Empresa", *list(model.FLIGHT_HEADERS)[1:]])
+    tables = refresh(spark, replace(inputs, missing="null"), str(tmp_path / "out"), "2026-08-01")
+    assert tables["silver.vra"].filter("icao_empresa IS NULL").count() == 1
+    assert tables["silver.vra"].count() == 6
+
+
+def test_the_indicators_are_published(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    tables = refresh(spark, write_inputs(tmp_path / "in"), str(tmp_path / "out"), "2026-08-01")
+    rows = {(r.eixo, r.valor): r.voos for r in tables["gold.indicadores"].collect()}
+    assert rows["total", None] == 4 == sum(n for (axis, _), n in rows.items() if axis == "rota")
+    assert rows["mes_referencia", None] == 1 and rows["escopo_voo", "Internacional"] == 2
 
 
 def test_a_file_with_another_header_stops_the_load(spark, tmp_path):

@@ -87,6 +87,28 @@ def flights(spark: SparkSession, folder: str) -> DataFrame:
     return silver_flights(raw_flights(spark, folder)).drop("_transformado_em")
 
 
+def changed_flights(raw: DataFrame) -> DataFrame:
+    """:func:`raw_flights` as a later load has them: of the first sixty flights a third is gone and a
+    third changed, and the first twenty are there once more under other ids."""
+    early, place = F.col("event_id") < 60, F.col("event_id") % 3
+    changed = early & (place == 1)
+    later = raw.filter(~(early & (place == 0))).withColumns({
+        "situacao_voo": F.when(changed, CANCELLED).otherwise(F.col("situacao_voo")),
+        "codigo_justificativa": F.when(changed & (F.col("event_id") % 2 == 0), F.lit(None))
+        .otherwise(F.col("codigo_justificativa")),
+        "partida_real": F.when(changed, NO_INSTANT).otherwise(F.col("partida_real")),
+    })
+    again = raw.filter("event_id < 20").withColumn("event_id", F.col("event_id") + 1_000_000_000)
+    return later.unionByName(again)
+
+
+def country_prefixes(spark: SparkSession) -> DataFrame:
+    """Nested prefixes of the airport codes; N3 to N9 and N0 have none."""
+    listed = [("N1", "Brasil"), ("N12", "Exterior"), ("N2", "Exterior"), ("N27", "Brasil"),
+              ("N270", "Exterior"), ("X", "Exterior")]
+    return spark.createDataFrame(listed, "prefixo string, valor string")
+
+
 def airports(spark: SparkSession, folder: str) -> DataFrame:
     """Airport registry: nations, their region as the state."""
     key = F.col("n_nationkey").cast("string")

@@ -336,9 +336,40 @@ SELECT event_id, icao_empresa,
   origem_cadastro AS cadastro_companhia
 FROM raw LEFT JOIN escolhidas ON icao = icao_empresa""", _RAW, _CARRIERS)
 
+
+
+def _changes(*columns: str) -> str:
+    """What differs between rows a and b, as one text."""
+    return "concat_ws('; ', " + ", ".join(
+        f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}: ' || "
+        f"coalesce(CAST(a.{c} AS VARCHAR), '(vazio)') || ' -> ' || "
+        f"coalesce(CAST(b.{c} AS VARCHAR), '(vazio)') END" for c in columns) + ")"
+
+
 ORACLE: dict[str, str] = {
     "scan_delimited": _with(
-        f"SELECT CAST(event_id AS VARCHAR) AS event_id, {_RAW_TEXT} FROM raw", _RAW),
+        f"SELECT CAST(event_id AS VARCHAR) AS event_id, {_RAW_TEXT}, "
+        "CAST(NULL AS VARCHAR) AS _linha_malformada FROM raw", _RAW),
+    "mixed_headers": _with(
+        "SELECT CAST(event_id AS VARCHAR) AS event_id, * EXCLUDE (event_id, _arquivo_origem) "
+        "REPLACE (CASE WHEN event_id % 4 <> 3 THEN codigo_tipo_linha END AS codigo_tipo_linha), "
+        "CAST(NULL AS VARCHAR) AS _linha_malformada FROM raw", _RAW),
+    "load_changes": _with("""
+SELECT coalesce(a.event_id, b.event_id) AS event_id, coalesce(b.numero_voo, a.numero_voo) AS numero_voo,
+  """ + _changes("partida_real", "situacao_voo", "codigo_justificativa") + """ AS alteracoes,
+  CASE WHEN a.event_id IS NULL THEN 'ADICIONADA' WHEN b.event_id IS NULL THEN 'REMOVIDA'
+       ELSE 'ALTERADA' END AS status
+FROM raw a FULL OUTER JOIN depois b ON a.event_id = b.event_id
+WHERE alteracoes <> ''""", _RAW, """
+depois AS (
+  SELECT * REPLACE (
+    CASE WHEN mudou THEN 'CANCELADO' ELSE situacao_voo END AS situacao_voo,
+    CASE WHEN NOT mudou OR event_id % 2 = 1 THEN codigo_justificativa END AS codigo_justificativa,
+    CASE WHEN mudou THEN 'null' ELSE partida_real END AS partida_real)
+  FROM (SELECT *, event_id < 60 AND event_id % 3 = 1 AS mudou FROM raw)
+  WHERE event_id >= 60 OR event_id % 3 <> 0
+  UNION ALL
+  SELECT * REPLACE (event_id + 1000000000 AS event_id), FALSE FROM raw WHERE event_id < 20)"""),
     "scan_unquoted": """
 SELECT c_name AS icao, CAST(c_custkey AS VARCHAR) AS ciad,
   'Aeródromo São ' || CAST(c_custkey AS VARCHAR) AS nome,
@@ -466,6 +497,20 @@ SELECT coalesce(p.numero_voo, r.numero_voo) AS numero_voo,
        WHEN p.voos <> r.voos THEN 'ALTERADA' ELSE 'INALTERADA' END AS status
 FROM programados p FULL OUTER JOIN realizados r
   ON p.numero_voo = r.numero_voo AND p.icao_destino = r.icao_destino"""),
+    "service_changes": _flights("""
+, a AS (SELECT numero_voo, icao_destino, count(*) AS voos, min(partida_prevista_hora) AS primeira_hora,
+               max(situacao_voo) AS situacao, max(icao_empresa) AS icao_empresa FROM silver
+        WHERE partida_prevista IS NOT NULL GROUP BY 1, 2),
+b AS (SELECT numero_voo, icao_destino, count(*) AS voos, min(partida_real_hora) AS primeira_hora,
+             max(situacao_voo) AS situacao, max(icao_empresa) AS icao_empresa FROM silver
+      WHERE partida_real IS NOT NULL GROUP BY 1, 2)
+SELECT coalesce(b.numero_voo, a.numero_voo) AS numero_voo,
+  coalesce(b.icao_destino, a.icao_destino) AS icao_destino,
+  CASE WHEN b.voos IS NULL THEN a.icao_empresa ELSE b.icao_empresa END AS icao_empresa,
+  """ + _changes("voos", "primeira_hora", "situacao") + """ AS alteracoes,
+  CASE WHEN a.voos IS NULL THEN 'ADICIONADA' WHEN b.voos IS NULL THEN 'REMOVIDA'
+       WHEN alteracoes <> '' THEN 'ALTERADA' ELSE 'INALTERADA' END AS status
+FROM a FULL OUTER JOIN b ON a.numero_voo = b.numero_voo AND a.icao_destino = b.icao_destino"""),
     "completeness": """
 SELECT lang, count(*) AS linhas,
   count(*) - count(quality) AS sem_valor,
@@ -493,6 +538,17 @@ SELECT event_id, CAST(hour(partida_prevista) AS INTEGER) AS hora_partida_previst
     "gold_country": _flights(f"""
 SELECT event_id, {_COUNTRY.format('icao_origem')} AS pais_origem,
   {_COUNTRY.format('icao_destino')} AS pais_destino FROM silver"""),
+    "country_prefixes": _flights("""
+, prefixos(prefixo, valor) AS (
+  VALUES ('N1', 'Brasil'), ('N12', 'Exterior'), ('N2', 'Exterior'), ('N27', 'Brasil'),
+         ('N270', 'Exterior'), ('X', 'Exterior')),
+paises AS (
+  SELECT codigo, arg_max(valor, length(prefixo)) AS pais
+  FROM (SELECT icao_origem AS codigo FROM silver UNION SELECT icao_destino FROM silver)
+  JOIN prefixos ON starts_with(codigo, prefixo) GROUP BY codigo)
+SELECT event_id, icao_origem, o.pais AS pais_origem, icao_destino, d.pais AS pais_destino
+FROM silver LEFT JOIN paises o ON o.codigo = icao_origem
+LEFT JOIN paises d ON d.codigo = icao_destino"""),
     "code_lookup": _with("""
 SELECT event_id, codigo_di, di.descricao AS descricao_di, codigo_tipo_linha,
   tl.descricao AS descricao_tipo_linha
@@ -530,3 +586,26 @@ LEFT JOIN codigos tl ON tl.dominio = 'codigo_tipo_linha' AND tl.codigo = codigo_
         + _count_if("partida_pontual IS NULL", "partida_pontual_null")
         + " FROM fato GROUP BY situacao_voo"),
 }
+
+ORACLE["written_counts"] = ORACLE["rule_metrics"]
+ORACLE["clustered_edges"] = ORACLE["edges"]
+ORACLE["clustered_top_k"] = _flights("""
+SELECT event_id, numero_voo, partida_prevista, situacao_voo FROM silver
+ORDER BY partida_prevista NULLS FIRST, event_id LIMIT 50""")
+
+_AXES = ("hora_partida_prevista", "partida_prevista_data", "mes_referencia", "rota", "escopo_voo",
+         "nome_companhia")
+ORACLE["gold_kpis_by_axis"] = _gold("\nUNION ALL\n".join([
+    f"SELECT 'total' AS eixo, CAST(NULL AS VARCHAR) AS valor, {_KPIS} FROM fato",
+    *[f"SELECT '{a}', CAST({a} AS VARCHAR), {_KPIS} FROM fato GROUP BY {a}" for a in _AXES]]))
+
+_ORDERED = ("layer_counts", "registry_summary", "filter_in", "completeness", "attr_listing", "edges",
+            "top_k")
+ORACLE["report_order"] = "\nUNION ALL\n".join([
+    *[f"SELECT '{name}' AS relatorio, count(*) AS linhas, 0 AS inversoes FROM ({ORACLE[name]})"
+      for name in _ORDERED],
+    # Twelve files; the flights' columns after typing.
+    "SELECT 'rows_per_file', count(DISTINCT event_id % 12), 0 FROM events",
+    "SELECT 'schema_diff', 25, 0",
+    "SELECT 'flights', count(*), 0 FROM events",
+])

@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pontualis import model
-from pontualis.operators import contract, joins, profile, reconcile, rows
+from pontualis.operators import contract, joins, order, profile, reconcile, rows
 from pontualis.plans import gold, silver
-from pontualis.plans.bronze import Source, bronze_table, bronze_tables
+from pontualis.plans.bronze import MALFORMED, Source, bronze_table, bronze_tables
 from pontualis.plans.refresh import Inputs, refresh
 from pontualis.plans.reports import layer_reports
-from pontualis.sources import loads
+from pontualis.sources import compare, loads
 from pontualis.sources.delimited import AIRLINES, AIRPORTS, FLIGHTS, Layout
 from pontualis.sources.scratch import fresh_path, materialize
 from workload import flights as w
@@ -49,7 +49,8 @@ def scan_delimited(spark, folder):
 def scan_unquoted(spark, folder):
     path = fresh_path(spark, "airport_files")
     write_published(w.airport_register(spark, folder), path, AIRPORTS)
-    return silver.silver_airports(bronze_table(spark, Source(path, AIRPORTS, provenance=False)))
+    bronze = bronze_table(spark, Source(path, AIRPORTS, provenance=False))
+    return silver.silver_airports(bronze.drop(MALFORMED))
 
 
 @query
@@ -60,7 +61,24 @@ def bronze_registries(spark, folder):
         path = fresh_path(spark, name)
         write_published(df, path, AIRLINES)
         sources[name] = Source(path, AIRLINES, label=f"{name}.csv")
-    return rows.union_all(bronze_tables(spark, sources).values())
+    return rows.union_all(bronze_tables(spark, sources).values()).drop(MALFORMED)
+
+
+@query
+def mixed_headers(spark, folder):
+    """Files with their columns in three orders, one kind without banner and one that lacks a column."""
+    columns = {"Id": "event_id", **FLIGHTS.columns}
+    names = list(columns)
+    layouts = [
+        Layout(columns),
+        Layout({n: columns[n] for n in reversed(names)}),
+        Layout({n: columns[n] for n in [*names[5:], *names[:5]]}).without_banner(),
+        Layout({n: columns[n] for n in names if columns[n] != "codigo_tipo_linha"}),
+    ]
+    path, raw = fresh_path(spark, "mixed_files"), w.raw_flights(spark, folder)
+    for i, layout in enumerate(layouts):
+        write_published(raw.filter(F.col("event_id") % len(layouts) == i), f"{path}/{i}", layout)
+    return bronze_table(spark, Source(f"{path}/*", layouts[0], provenance=False, missing="null"))
 
 
 @query
@@ -134,6 +152,25 @@ def load_compare(spark, folder):
                                    .alias("posterior_a_primeira"))
 
 
+def _clustered(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver flights as the refresh publishes them."""
+    return loads.publish(w.flights(spark, folder), fresh_path(spark, "silver_vra"), "carga_1",
+                         cluster_by=silver.CLUSTERED_BY)
+
+
+@query
+def load_changes(spark, folder):
+    """Flights that a second load has added, removed or changed, read from the buckets that differ."""
+    path, raw = fresh_path(spark, "vra_em_baldes"), w.raw_flights(spark, folder)
+    loads_ = {"carga_1": raw, "carga_2": w.changed_flights(raw)}
+    for load_id, df in loads_.items():
+        compare.publish_in_buckets(rows.stamp(df, model.INGESTED_AT), path, load_id, ["event_id"],
+                                   buckets=64)
+    changed = compare.changed_rows(spark, path, "carga_1", "carga_2", carry=["numero_voo"],
+                                   compare=["partida_real", "situacao_voo", "codigo_justificativa"])
+    return changed.withColumn("alteracoes", reconcile.changes_text())
+
+
 # -- projections and filters ---------------------------------------------------------
 
 
@@ -169,6 +206,13 @@ def top_k(spark, folder):
     return first.select(*columns)
 
 
+@query
+def clustered_top_k(spark, folder):
+    """The first flights of a table whose files are ranges of the scheduled departure."""
+    first = profile.first_rows_of_table(_clustered(spark, folder), ["partida_prevista", "event_id"], 50)
+    return first.select("event_id", "numero_voo", "partida_prevista", "situacao_voo")
+
+
 @query
 def sample_rows(spark, folder):
     """How many rows a preview shows, and how many of them the table has."""
@@ -223,6 +267,15 @@ def rule_metrics(spark, folder):
     return contract.rule_metrics(_marked(spark, folder), contract.flight_rules())
 
 
+@query
+def written_counts(spark, folder):
+    """The rules' counts as taken while the audited table was written."""
+    path, rules = fresh_path(spark, "vra_auditado"), contract.flight_rules()
+    loads.publish(contract.audited(_marked(spark, folder), rules), path, "carga_1",
+                  counts=contract.rule_counts(rules))
+    return contract.metrics_from(spark, loads.counts_of(spark, path, "carga_1"), rules)
+
+
 @query
 def audited_rows(spark, folder):
     audited, _ = contract.audit(_marked(spark, folder), contract.flight_rules())
@@ -324,6 +377,53 @@ def keyed_diff(spark, folder):
     )
 
 
+@query
+def service_changes(spark, folder):
+    """Services (number, destination) scheduled and departed, by three measures at once."""
+    flights = w.flights(spark, folder)
+
+    def services(instant: str) -> DataFrame:
+        known = flights.filter(F.col(instant).isNotNull())
+        return known.groupBy("numero_voo", "icao_destino").agg(
+            F.count(F.lit(1)).alias("voos"), F.min(f"{instant}_hora").alias("primeira_hora"),
+            F.max("situacao_voo").alias("situacao"), F.max("icao_empresa").alias("icao_empresa"))
+
+    diff = reconcile.diff_rows(
+        services("partida_prevista"), services("partida_real"), ["numero_voo", "icao_destino"],
+        ["voos", "primeira_hora", "situacao"], carry=["icao_empresa"], position="voos")
+    return diff.withColumn("alteracoes", reconcile.changes_text())
+
+
+def _ordered_reports(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, list]]:
+    """Each ordered report with the order it promises."""
+    schemas = [reconcile.schema_as_rows(df)
+               for df in (w.raw_flights(spark, folder), w.flights(spark, folder))]
+    return {
+        "rows_per_file": (profile.rows_per_file(
+            rows.stamp(w.raw_flights(spark, folder), model.INGESTED_AT)), [model.SOURCE_FILE]),
+        "layer_counts": (QUERIES["layer_counts"](spark, folder), ["tabela"]),
+        "registry_summary": (QUERIES["registry_summary"](spark, folder), ["origem_cadastro"]),
+        "filter_in": (QUERIES["filter_in"](spark, folder), ["razao_social", "icao", "servico"]),
+        "completeness": (QUERIES["completeness"](spark, folder), ["lang"]),
+        "attr_listing": (QUERIES["attr_listing"](spark, folder), ["entidade", "atributo"]),
+        "edges": (QUERIES["edges"](spark, folder), ["destino", "origem"]),
+        "top_k": (QUERIES["top_k"](spark, folder), ["partida_prevista", "event_id"]),
+        "schema_diff": (reconcile.keyed_diff(*schemas, ["coluna"], "tipo", position="posicao",
+                                             carry=["posicao"]),
+                        [order.SortKey("posicao", nulls_first=False), "coluna"]),
+        "flights": (profile.first_rows(w.flights(spark, folder), ["partida_prevista", "event_id"],
+                                       1 << 30), ["partida_prevista", "event_id"]),
+    }
+
+
+@query
+def report_order(spark, folder):
+    """Rows of each ordered report, and how many stand before one that they should follow."""
+    return rows.union_all(
+        order.order_inversions(df, keys).select(F.lit(name).alias("relatorio"), "linhas", "inversoes")
+        for name, (df, keys) in _ordered_reports(spark, folder).items())
+
+
 @query
 def completeness(spark, folder):
     """Share of documents with a quality label, per language."""
@@ -332,6 +432,15 @@ def completeness(spark, folder):
     return profile.completeness(documents.join(labels, "doc_id", "left"), ["lang"], "quality")
 
 
+@query
+def clustered_edges(spark, folder):
+    """:func:`edges` over the published table, of which it reads recent row groups."""
+    return profile.edges(
+        _clustered(spark, folder), "icao_empresa", "icao_origem", "partida_prevista",
+        like="N1%", today=date(2024, 1, 30), unnamed="(sem empresa)",
+    )
+
+
 @query
 def attr_listing(spark, folder):
     return profile.attr_listing(w.carriers(spark, folder), "icao", ["razao_social", "uf"],
@@ -398,6 +507,15 @@ def gold_country(spark, folder):
     )
 
 
+@query
+def country_prefixes(spark, folder):
+    """Countries by the longest of nested prefixes; some codes have none."""
+    flights, prefixes = w.flights(spark, folder), w.country_prefixes(spark)
+    for role in ("origem", "destino"):
+        flights = joins.by_longest_prefix(flights, f"icao_{role}", prefixes, f"pais_{role}")
+    return flights.select("event_id", "icao_origem", "pais_origem", "icao_destino", "pais_destino")
+
+
 @query
 def code_lookup(spark, folder):
     flights = w.flights(spark, folder)
@@ -512,6 +630,12 @@ def gold_by_carrier(spark, folder):
     return gold.kpis(named, "nome_companhia")
 
 
+@query
+def gold_kpis_by_axis(spark, folder):
+    """All axes and the overall figures from one pass over the legs."""
+    return gold.kpis_by_axis(gold.with_carrier(_legs(spark, folder), w.carriers(spark, folder)))
+
+
 @query
 def recovered_but_late(spark, folder):
     return profile.recovered_but_late(_legs(spark, folder))
