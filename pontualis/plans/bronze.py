@@ -22,6 +22,7 @@ class Source:
     """Files of one layout.  ``label`` fixes the provenance text; else it is the file name.
     ``malformed`` names the column that keeps lines with too many or too few fields; without
     it, surplus fields are lost.  With ``missing="null"`` a file may lack columns.
+    ``folders`` of a file's path, at most, are part of its name.
     """
 
     path: str
@@ -30,6 +31,7 @@ class Source:
     provenance: bool = True
     malformed: str | None = MALFORMED
     missing: str = "raise"
+    folders: int = 0
 
 
 def bronze_table(spark: SparkSession, source: Source, headers_seen: Observation | None = None,
@@ -38,7 +40,7 @@ def bronze_table(spark: SparkSession, source: Source, headers_seen: Observation
     rows = read_delimited(
         spark, source.path, source.layout,
         provenance=SOURCE_FILE if named_by_file else None, malformed=source.malformed,
-        missing=source.missing, headers_seen=headers_seen, groups=groups,
+        folders=source.folders, missing=source.missing, headers_seen=headers_seen, groups=groups,
     )
     if source.label is not None:
         rows = rows.withColumn(SOURCE_FILE, F.lit(source.label))

@@ -86,7 +86,7 @@ def _require(groups: Sequence[HeaderGroup], path: str, layout: Layout, missing:
 
 
 def _read_group(spark: SparkSession, path: str, layout: Layout, group: HeaderGroup, files: Column | None,
-                provenance: str | None, malformed: str | None) -> DataFrame:
+                provenance: str | None, folders: int, malformed: str | None) -> DataFrame:
     """The group's lines with the layout's columns, and ``_is_header``."""
     options = {
         "sep": layout.sep,
@@ -110,7 +110,8 @@ def _read_group(spark: SparkSession, path: str, layout: Layout, group: HeaderGro
     if malformed:
         columns[malformed] = F.col("_line")
     if provenance:
-        columns[provenance] = F.col("_metadata.file_name")
+        columns[provenance] = F.substring_index("_metadata.file_path", "/", -1 - folders) if folders \
+            else F.col("_metadata.file_name")
     is_header = F.lit(False)
     if group.skipped:
         is_header = reduce(and_, [F.col(f).eqNullSafe(F.lit(n))
@@ -119,7 +120,7 @@ def _read_group(spark: SparkSession, path: str, layout: Layout, group: HeaderGro
 
 
 def read_delimited(spark: SparkSession, path: str, layout: Layout, *,
-                   provenance: str | None = None, malformed: str | None = None,
+                   provenance: str | None = None, folders: int = 0, malformed: str | None = None,
                    missing: str = "raise", headers_seen: Observation | None = None,
                    groups: Sequence[HeaderGroup] | None = None) -> DataFrame:
     """All rows of the files matching ``path``, renamed per ``layout``, as text.
@@ -130,7 +131,8 @@ def read_delimited(spark: SparkSession, path: str, layout: Layout, *,
     ``missing="null"`` such columns are NULL, and a file of nothing but a banner has no rows.
     ``malformed`` names a column to receive the whole line of a row with more or fewer fields
     than its header (NULL for all other rows), so that no field is lost.
-    ``provenance`` names a column to receive the file name.  ``headers_seen`` counts the
+    ``provenance`` names a column to receive the file name, after as many ``folders`` of its
+    path as wanted.  ``headers_seen`` counts the
     header lines after banners (as ``headers``) while an action runs.  ``groups`` are those of
     :func:`headers_of`, if already known.
     """
@@ -139,7 +141,7 @@ def read_delimited(spark: SparkSession, path: str, layout: Layout, *,
     groups = headers_of(spark, path, layout) if groups is None else groups
     _require(groups, path, layout, missing)
     rows = union_all([
-        _read_group(spark, path, layout, g, of_group(g, groups), provenance, malformed)
+        _read_group(spark, path, layout, g, of_group(g, groups), provenance, folders, malformed)
         for g in groups if g.header])
     if headers_seen is not None:
         rows = rows.observe(headers_seen, F.count_if("_is_header").alias("headers"))

@@ -1,5 +1,7 @@
 """Reading the published files: banner, header, charset, quotes, provenance."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -188,16 +190,24 @@ def test_scan_is_splittable(spark, tmp_path):
 def test_a_month_is_written_by_several_tasks(spark, small, monkeypatch):
     from workload import queries
 
-    flights, published = queries.w.raw_flights, []
+    flights, paths = queries.w.raw_flights, []
     monkeypatch.setattr(queries.w, "raw_flights", lambda *a: flights(*a).repartition(3))
-    write_all = queries.write_published
-
-    def write(df, path, layout):
-        write_all(df, path, layout)
-        published.append((df.rdd.getNumPartitions(), path))
-
-    monkeypatch.setattr(queries, "write_published", write)
+    new_path = queries.fresh_path
+    monkeypatch.setattr(queries, "fresh_path", lambda *a: paths.append(new_path(*a)) or paths[-1])
     rows = queries.QUERIES["rows_per_file"](spark, small).collect()
-    assert len(published) == len(rows) == 12 and all(n > 1 for n, _ in published)
+    assert len(rows) == 12 and all(r.identificado for r in rows)
     assert sum(r.linhas for r in rows) == flights(spark, small).count()
-    assert all(r.identificado for r in rows)
+    for month in range(12):
+        files = list(Path(paths[0].removeprefix("file:"), f"pasta={month}").glob("*.csv"))
+        assert len(files) == 3
+        for file in files:
+            lines = file.read_text(encoding="utf-8").splitlines()
+            assert lines[0].startswith(BOM + "Atualizado em") and lines[1].startswith('"ICAO Empresa')
+            assert all(line[0] in '";' for line in lines[1:])
+
+
+def test_names_with_folders(spark, tmp_path):
+    (tmp_path / "2025").mkdir()
+    write(tmp_path / "2025/a.csv", ["banner", "a;b", "1;2"])
+    df = read_delimited(spark, str(tmp_path / "2025"), Layout({"a": "a"}), provenance="file", folders=1)
+    assert df.collect() == [("1", "2025/a.csv")]

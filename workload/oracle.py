@@ -390,8 +390,9 @@ SELECT dominio, codigo, descricao, voos FROM codigos LEFT JOIN (
   UNION ALL
   SELECT 'codigo_tipo_linha', codigo_tipo_linha, count(*) FROM raw GROUP BY 2
 ) USING (dominio, codigo)""", _RAW, _CODES),
-    "rows_per_file":
-        "SELECT count(*) AS linhas, TRUE AS identificado FROM events GROUP BY event_id % 12",
+    "rows_per_file": """
+SELECT 'month_' || (event_id % 12) || '.csv' AS arquivo, count(*) AS linhas, TRUE AS identificado
+FROM events GROUP BY event_id % 12""",
     "malformed_rows": _with("""
 SELECT CAST(event_id AS VARCHAR) AS event_id, numero_voo, situacao_voo,
   CASE WHEN event_id % 50 = 0 THEN '"SOBRA"' END AS sobra FROM raw""", _RAW),

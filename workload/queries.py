@@ -93,22 +93,17 @@ def seed_codes(spark, folder):
 
 @query
 def rows_per_file(spark, folder):
-    """Rows of each month's files by the name the reader found, which is not the same
-    in two runs."""
-    path, months = fresh_path(spark, "monthly_files"), fresh_path(spark, "months")
-    raw = w.raw_flights(spark, folder).withColumn("mes", F.col("event_id") % 12)
-    raw.write.partitionBy("mes").parquet(months)
-    # Each reads the files of its own month alone, and writes as many as it has splits.
-    for month in range(12):
-        part = spark.read.schema(raw.schema).parquet(months).filter(F.col("mes") == month)
-        write_published(part, f"{path}/{month}", FLIGHTS)
-    counts = profile.rows_per_file(bronze_table(spark, Source(f"{path}/*", FLIGHTS)))
-    named = F.col(model.SOURCE_FILE).endswith(".csv") & F.col("ingerido_em").isNotNull()
-    # The files of one write have the same name but for their number.
-    written = F.regexp_replace(model.SOURCE_FILE, r"^part-\d+-", "")
-    return (counts.groupBy(written.alias("mes"))
-            .agg(F.sum("linhas").alias("linhas"), F.bool_and(named).alias("identificado"))
-            .select("linhas", "identificado"))
+    """Rows of each month's files, by the names the reader found.
+
+    All months are written at once; a file's own name is not the same in two runs, its folder's is.
+    """
+    path = fresh_path(spark, "monthly_files")
+    write_published(w.raw_flights(spark, folder), path, FLIGHTS, folder=F.col("event_id") % 12)
+    counts = profile.rows_per_file(bronze_table(spark, Source(path, FLIGHTS, folders=1)))
+    name = F.regexp_extract(model.SOURCE_FILE, r"^pasta=(\d+)/part-.*[.]csv$", 1)
+    return (counts.groupBy(F.concat(F.lit("month_"), name, F.lit(".csv")).alias("arquivo"))
+            .agg(F.sum("linhas").alias("linhas"),
+                 F.bool_and(F.col("ingerido_em").isNotNull()).alias("identificado")))
 
 
 @query
