@@ -5,9 +5,11 @@ probability is the sum over all its segmentations into pieces, by the forward al
 text's is the product over its words.  Training runs the forward-backward algorithm: pieces
 are credited with their expected counts over all segmentations, summed over the cluster.
 
-Words are runs of ASCII letters and non-ASCII bytes of the lower-cased text; a word longer
-than ``LONGEST`` bytes is taken in parts of that length.  Every byte is a piece by itself,
-so any text can be segmented.
+Words are runs of ASCII letters and non-ASCII bytes of the lower-cased text, of any length.
+Every byte is a piece by itself, so any text can be segmented.  Words of up to ``LONGEST``
+bytes are handled many at a time, position by position; a longer one by itself, with only the
+last positions at hand and their probabilities rescaled as they shrink, so that no segmentation
+is left out and no product underflows.
 
 Training takes at most about ``train_rows`` rows, chosen by a hash of the identifier.
 
@@ -31,11 +33,12 @@ from pontualis.llm.words import LETTER, find_words, flat, pieces
 from pontualis.sources.scratch import materialize
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-LONGEST = 32
-_LONGEST_PIECE = 12
+LONGEST = 64
 _START = 1  # the byte that stands for a word's start
 _R = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = 2 << 20
+_BYTES = 1 << 20  # bytes of words of one length that are handled at once
+_AT_ONCE = 1 << 14  # positions of a long word whose pieces are looked up at once
 
 
 def vocabulary(path: str) -> list[bytes]:
@@ -50,9 +53,7 @@ def vocabulary(path: str) -> list[bytes]:
         piece = model.id_to_piece(i).lower()
         letters = piece.removeprefix("▁")
         if letters.isalpha():
-            raw = (b"\x01" if letters != piece else b"") + letters.encode()
-            if len(raw) <= _LONGEST_PIECE:
-                found.add(raw)
+            found.add((b"\x01" if letters != piece else b"") + letters.encode())
     return sorted(found)
 
 
@@ -107,6 +108,29 @@ class Pieces:
                 yield i, j, self.find(prefix[j] - prefix[i] * np.uint64(power))
 
 
+    def long_spans(self, word: np.ndarray) -> Iterator[tuple[int, list[int], np.ndarray]]:
+        """(to, froms, pieces) for each end of a span of one long word, in order."""
+        for low in range(0, len(word), _AT_ONCE):
+            begin = max(0, low - self.longest)
+            part = word[begin:low + _AT_ONCE].astype(np.uint64) + np.uint64(1)
+            ends = np.arange(low - begin, len(part))
+            h, power = np.zeros(len(ends), np.uint64), 1
+            found = np.full((len(ends), self.longest), self.size, np.int32)
+            for length in range(1, self.longest + 1):
+                first = ends - length + 1
+                there = first >= 0
+                h[there] += part[first[there]] * np.uint64(power)
+                power = power * int(_R) % (1 << 64)
+                found[there, length - 1] = self.find(h[there])
+            rows, lengths = np.nonzero(found < self.size)
+            edges = np.searchsorted(rows, np.arange(len(ends) + 1))
+            ids = found[rows, lengths]
+            starts = (ends[rows] - lengths + begin).tolist()
+            for k in range(len(ends)):
+                a, b = edges[k], edges[k + 1]
+                yield low + k + 1, starts[a:b], ids[a:b]
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -116,6 +140,8 @@ class Model:
     def word_scores(self, letters: np.ndarray) -> np.ndarray:
         """Log probabilities, (word, language), of words of equal length."""
         n, length = letters.shape
+        if length > LONGEST:
+            return np.stack([forward_sums(self.pieces, self.probability, word)[0] for word in letters])
         forward = np.zeros((length + 1, n, len(self.languages)))
         forward[0] = 1
         for i, j, piece in self.pieces.spans(letters):
@@ -126,19 +152,80 @@ class Model:
                 forward[j][hit] += forward[i][hit] * self.probability[piece[hit]]
         return np.log(np.maximum(forward[length], 1e-300))
 
+    def with_no_language(self) -> Model:
+        """The model with one more column, in which all pieces are equally likely."""
+        even = np.full((len(self.probability), 1), 1 / self.pieces.size)
+        even[-1] = 0
+        return Model([*self.languages, ""], self.pieces, np.hstack([self.probability, even]))
+
     def text_scores(self, texts: pa.Array) -> np.ndarray:
         """Log probabilities, (text, language)."""
+        return self.text_scores_and_sizes(texts)[0]
+
+    def text_scores_and_sizes(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same, and how many bytes the words of each text have, start marks included."""
         data, offsets = flat(pc.utf8_lower(texts))
         out = np.zeros((len(texts), len(self.languages)))
+        sizes = np.zeros(len(texts))
         for low, high in pieces(offsets, _CHUNK):
             part = data[offsets[low]:offsets[high]]
             doc, code, words = unique_words(part, offsets[low:high + 1] - offsets[low])
             scores = np.zeros((sum(len(x) for _, x in words), len(self.languages)))
+            length = np.zeros(len(scores))
             for where, letters in words:
                 scores[where] = self.word_scores(letters)
+                length[where] = letters.shape[1]
             for k in range(len(self.languages)):
                 out[low:high, k] = np.bincount(doc, scores[code, k], high - low)
-        return out
+            sizes[low:high] = np.bincount(doc, length[code], high - low)
+        return out, sizes
+
+
+def forward_sums(found: Pieces, probability: np.ndarray, word: np.ndarray,
+                 keep: bool = False) -> tuple[np.ndarray, list, list]:
+    """Log probabilities of one long word, for each column of ``probability``; with ``keep`` also the
+    rescaled sums up to each position, and the logarithms of their scales."""
+    size = found.longest + 1
+    ring = np.zeros((size, probability.shape[1]))
+    ring[0] = 1
+    scale = np.zeros(probability.shape[1])
+    sums, scales = [ring[0].copy()], [scale.copy()]
+    now = ring[0]
+    for j, starts, pieces_here in found.long_spans(word):
+        now = (ring[[i % size for i in starts]] * probability[pieces_here]).sum(axis=0)
+        ring[j % size] = now
+        if now.min() < 1e-100:
+            factor = np.maximum(now, 1e-300)
+            ring /= factor
+            scale += np.log(factor)
+            now = ring[j % size]
+        if keep:
+            sums.append(now.copy())
+            scales.append(scale.copy())
+    return np.log(np.maximum(now, 1e-300)) + scale, sums, scales
+
+
+def long_counts(model: Model, language: int, weight: float, word: np.ndarray, out: np.ndarray) -> None:
+    """Adds to ``out`` the expected uses of the pieces in ``weight`` copies of one long word."""
+    one = model.probability[:, language:language + 1]
+    total, sums, scales = forward_sums(model.pieces, one, word, keep=True)
+    n, ends = len(word), list(model.pieces.long_spans(word))
+    # What is after each position, in units that change as it shrinks; positions that may still
+    # be added to are no further than the longest piece.
+    after, unit = {n: 1.0}, 0.0
+    for j, starts, here in reversed(ends):
+        behind = after.pop(j)
+        if behind < 1e-100 and behind > 0:
+            after = {i: x / behind for i, x in after.items()}
+            unit += float(np.log(behind))
+            behind = 1.0
+        for i, piece in zip(starts, here.tolist(), strict=True):
+            chance = float(one[piece, 0])
+            after[i] = after.get(i, 0.0) + behind * chance
+            use = float(sums[i][0]) * chance * behind
+            if use > 0:
+                log = np.log(use) + float(scales[i][0]) + unit - float(total[0])
+                out[piece, language] += weight * float(np.exp(log))
 
 
 def unique_words(data: np.ndarray, offsets: np.ndarray):
@@ -146,12 +233,6 @@ def unique_words(data: np.ndarray, offsets: np.ndarray):
     length, the start mark before each."""
     found = find_words(data, offsets, LETTER)
     doc, start, length, h = found.doc, found.start, found.length, found.hash
-    if len(length) and length.max() > LONGEST:
-        parts = -(-length // LONGEST)
-        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        doc, h = np.repeat(doc, parts), np.repeat(h, parts) + nth.astype(np.uint64)
-        length = np.minimum(LONGEST, np.repeat(length, parts) - nth * LONGEST)
-        start = np.repeat(start, parts) + nth * LONGEST
     _, first, code = np.unique(h, return_index=True, return_inverse=True)
     words, size = [], length[first]
     for n in np.unique(size):
@@ -167,6 +248,11 @@ def expected_counts(model: Model, language: np.ndarray, weight: np.ndarray,
                     letters: np.ndarray) -> np.ndarray:
     """Expected uses (piece, language) of the pieces in ``weight`` copies of each word."""
     n, length = letters.shape
+    if length > LONGEST:
+        out = np.zeros((model.pieces.size + 1, len(model.languages)))
+        for word, of, copies in zip(letters, language.tolist(), weight.tolist(), strict=True):
+            long_counts(model, of, copies, word, out)
+        return out
     spans = [(i, j, p, model.probability[p, language]) for i, j, p in model.pieces.spans(letters)]
     forward, backward = np.zeros((length + 1, n)), np.zeros((length + 1, n))
     forward[0] = backward[length] = 1
@@ -237,7 +323,7 @@ def train(rows: DataFrame, *, id_column: str = "doc_id", text_column: str = "tex
                 weight = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
                 for n in np.unique(size):
                     where = np.flatnonzero(size == n)
-                    for some in np.array_split(where, -(-len(where) // 20_000)):
+                    for some in np.array_split(where, -(-len(where) * int(n) // _BYTES)):
                         letters = data[offsets[some][:, None] + np.arange(n)]
                         total += expected_counts(now, language[some], weight[some], letters)
             piece, language = np.nonzero(total[:-1])
@@ -302,6 +388,30 @@ def _answers(languages: list[str | None], scores: np.ndarray) -> pa.Array:
     return pa.StructArray.from_arrays([lang, pa.array(scores, pa.float64())], ["lang", "score"])
 
 
+def gain(spark, model: Model):
+    """A column function: by how much, in nats a byte, a text's best language explains it better than
+    a model in which all pieces are equally likely; NULL for a text without letters.
+
+    Text in a language that was learned is far above zero.  One that was not is made of pieces that
+    no language has, each less likely than an even chance, so it is as far below.
+    """
+    shared = spark.sparkContext.broadcast(model.with_no_language())
+
+    @F.arrow_udf("double")
+    def gains(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        now = shared.value
+        for array in texts:
+            array = array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array
+            if not len(array):
+                yield pa.array([], pa.float64())
+                continue
+            scores, sizes = now.text_scores_and_sizes(array)
+            best = scores[:, :-1].max(axis=1) - scores[:, -1]
+            yield pa.array(best / np.maximum(sizes, 1), mask=~_lettered(array))
+
+    return gains
+
+
 def held_out(id_column: str) -> Column:
     return F.crc32(F.col(id_column).cast("string")) % 5 == 0
 

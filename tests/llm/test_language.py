@@ -54,6 +54,45 @@ def test_expected_counts(toy):
     assert not counts[:, 0].any()
 
 
+@pytest.mark.parametrize("at_once", [1 << 14, 4])
+def test_a_long_word_is_one_lattice(toy, monkeypatch, at_once):
+    """Word by word and position by position as for many short words together."""
+    vocab, model = toy
+    rng = np.random.default_rng(2)
+    words = [b"\x01abcab", b"\x01ab", *[b"\x01" + bytes(rng.choice(list(b"abcx"), 14)) for _ in range(4)]]
+    for word in words:
+        letters = np.frombuffer(word, np.uint8)[None, :]
+        wanted = model.word_scores(letters)
+        counts = [language.expected_counts(model, np.array([k]), np.array([2.5]), letters) for k in (0, 1)]
+        with monkeypatch.context() as patch:
+            patch.setattr(language, "LONGEST", 1)
+            patch.setattr(language, "_AT_ONCE", at_once)
+            assert model.word_scores(letters) == pytest.approx(wanted)
+            for k in (0, 1):
+                got = language.expected_counts(model, np.array([k]), np.array([2.5]), letters)
+                assert got == pytest.approx(counts[k])
+
+
+def test_very_long_words_neither_underflow_nor_are_cut(toy):
+    _, model = toy
+    model = language.Model(model.languages, model.pieces, model.probability / 20)
+    word = np.frombuffer(b"\x01" + b"abcab" * 4000, np.uint8)[None, :]
+    score = model.word_scores(word)
+    assert np.isfinite(score).all() and (score < -1000).all()
+    # Twice the word is about twice the sum's logarithm: nothing is lost at any border.
+    half = model.word_scores(word[:, :10_001])
+    assert score == pytest.approx(2 * half, rel=0.01)
+    counts = language.expected_counts(model, np.array([0]), np.array([1.0]), word[:, :5001])
+    sizes = np.array([len(p) for p in toy[0]] + [0])
+    assert (counts[:, 0] * sizes).sum() == pytest.approx(5001)
+
+
+def test_the_vocabulary_keeps_long_pieces():
+    vocab = language.vocabulary(language.VOCABULARY)
+    assert {b"\x01international", b"\x01particularly"} <= set(vocab)
+    assert max(map(len, vocab)) > 12
+
+
 def test_long_words_and_no_words(toy):
     _, model = toy
     got = model.text_scores(pa.array(["abc " * 3, None, "", "a" * 100 + " ab", "ABC abc abc"]))
