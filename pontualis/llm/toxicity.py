@@ -217,9 +217,11 @@ def _by_chance(hits: int, n: int, rate: float) -> float:
     return sum(map(math.exp, logs))
 
 
-def _learn_lexicon(sample: DataFrame, known: Model, toxic: int, rate: float, most: int, share: float):
+def _learn_lexicon(sample: DataFrame, known: Model, toxic: int, rate: float, share: float):
     """Words and stems that mark toxic texts among those without a known pattern; ``rate`` is
-    the share of toxic texts."""
+    the share of toxic texts.  All that pass the tests are taken; as each is in ``share`` of the
+    toxic texts of the sample at least, they are no more than the features of ``1 / share``
+    texts."""
     shared = sample.sparkSession.sparkContext.broadcast(known)
 
     def count(batches):
@@ -245,22 +247,21 @@ def _learn_lexicon(sample: DataFrame, known: Model, toxic: int, rate: float, mos
     rare = 0.05 / max(1, counted.count())
     got = (counted.filter((F.col("hits") >= least) & (F.col("hits") * 4 > 3 * F.col("n")))
            .orderBy(F.desc("hits"), "feature").collect())
-    tested = [r for r in got if _by_chance(r.hits, r.n, rate) < rare]
-    hits = {r.feature: r.hits for r in tested[:most]}
-
-    def specific(feature: str) -> int:
-        """Hits of the commonest feature that this one is a beginning of."""
-        stem = feature.rstrip("*")
-        return max((n for f, n in hits.items() if f != feature and f.startswith(stem)), default=0)
-
+    hits = {r.feature: r.hits for r in got if _by_chance(r.hits, r.n, rate) < rare}
+    # Of each stem the hits of the commonest other feature that begins with it.
+    specific: Counter = Counter()
+    for f, n in hits.items():
+        for k in range(3, min(6, len(f.rstrip("*"))) + 1):
+            if f != f"{f[:k]}*":
+                specific[f[:k]] = max(specific[f[:k]], n)
     words = {f for f in hits if not f.endswith("*")}
-    stems = {f[:-1] for f in hits if f.endswith("*") and hits[f] >= 1.3 * specific(f)}
+    stems = {f[:-1] for f in hits if f.endswith("*") and hits[f] >= 1.3 * specific[f[:-1]]}
     return words, stems
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id",
-          text_column: str = "text", label_column: str = "toxic", train_rows: int = 20_000,
-          lexicon: int = 2_000) -> Model:
+          text_column: str = "text", label_column: str = "toxic",
+          train_rows: int = 20_000) -> Model:
     """Learns lexicon and weights; ``docs`` and ``labels`` are the rows to learn from."""
     given = labels.filter(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
     share = min(1.0, train_rows / max(1, given.count()))
@@ -283,7 +284,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id",
     toxic, rows = sample.filter("label = 1").count(), sample.count()
     model = Model(INSULTS, (), dict(PRIORS), 0.0)
     for least in (0.02, 0.01):
-        words, stems = _learn_lexicon(sample, model, toxic, toxic / max(1, rows), lexicon, least)
+        words, stems = _learn_lexicon(sample, model, toxic, toxic / max(1, rows), least)
         model = Model(model.words | words, tuple(sorted({*model.stems, *stems})), model.weights, 0.0)
     return _weighed(sample, model)
 
