@@ -9,14 +9,22 @@ repeated groups without unions.  Pages of the same folded stream are merged in p
 every page takes part; each task makes wrappers of its own pages, and those of a host are
 aligned in two levels, which spreads a host that has most of the pages.
 
-The wrappers are a result of their own; the text is taken by plainer rules.  It is that of
-the page's ``article`` or else ``main`` element; of a page with neither, that of the body
-without the texts that at least three, and at least half, of the host's pages or of those
-among them without such an element hold.  Menus, headers, footers, sidebars, notices,
-adverts, forms and comments inside are left out by their tags, roles and names.
+Every text slot of a wrapper knows how many words all pages of the host have there.  These are
+the votes that decide, host by host, which element holds the main text where pages have an
+``article`` and a ``main`` (a teaser's few words lose), and which elements with the name of a
+menu, notice, advert, comment or the like are one: an element that holds half of the main
+text's words or more is none, whatever its name.  Names count on containers, not on
+paragraphs, headings and list items.
+
+A page's text is then that of its main element without menus, headers, footers, sidebars,
+notices, adverts, forms and comments, which tags, roles and the votes on names tell; of a page
+without main element, that of the body without the texts that at least three, and at least
+half, of the host's pages or of those among them without such an element hold.
 
 Defined cases: null or empty html has an empty text; a null url is a host of its own; unclosed
-and stray tags are tolerated; whatever is left open ends with the page.
+and stray tags are tolerated; whatever is left open ends with the page; repeated rows are pages
+as any other, extra columns are ignored, an empty table gives no rows.  A very long page is
+read in one go, in time proportional to it.
 """
 
 from __future__ import annotations
@@ -36,7 +44,7 @@ from pontualis.sources.scratch import materialize
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+    r"|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Their content is not text.
@@ -53,11 +61,17 @@ _CHROME_NAME = re.compile(
     r"|consent|gdpr|popup|modal|overlay|comments?|disqus|replies|share|sharing|social|related"
     r"|recommended|widget|subscribe|subscription|newsletter|signup|login|search|toolbar|pager"
     r"|pagination|copyright|legal|disclaimer)")
+#: Names that say that something is not there, or only beside.
+_DENIED = frozenset("no non not without has have with hide hidden is".split())
+#: Elements whose names tell of style, not of a part of the page.
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre figure figcaption td th tr".split())
 _MAIN = ("article", "main")
 _LONGEST_GROUP = 12
 _LONGEST_TEMPLATE = 200
 
-Item = tuple  # (key, payload, optional); payload: text, group's items, or None
+#: (key, payload, optional); the payload is a group's items, or, of a text, (text or None for a slot,
+#: words of all pages there), or None.
+Item = tuple
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -86,18 +100,25 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             yield "close", name, ""
 
 
+def hinted(label: str) -> bool:
+    """Whether a class or id has the name of a part that is no main text."""
+    for word in label.split():
+        parts = re.split(r"[-_]+", word)
+        if _DENIED.isdisjoint(parts) and any(
+                _CHROME_NAME.fullmatch(x) for x in (word, " ".join(parts), parts[0], parts[-1])):
+            return True
+    return False
+
+
 def names(rest: str) -> tuple[str, bool]:
-    """The class and id of a tag, and whether its attributes mark it as no main text."""
+    """The class and id of a tag, and whether its attributes say that it is no main text."""
     if "=" not in rest:
         return "", "hidden" in rest.split()
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)}
     label = " ".join(filter(None, (found.get("class"), found.get("id")))).lower()
     away = found.get("role", "").lower() in _CHROME_ROLES or found.get("aria-hidden") == "true"
-    away = away or "hidden" in found or "display:none" in found.get("style", "").replace(" ", "")
-    away = away or any(_CHROME_NAME.fullmatch(part) for word in label.split()
-                       for part in (word, word.replace("-", " ").replace("_", " "),
-                                    *re.split(r"[-_]", word)))
-    return label, away
+    return label, (away or "hidden" in found
+                   or "display:none" in found.get("style", "").replace(" ", ""))
 
 
 # -- wrappers ------------------------------------------------------------------------
@@ -109,7 +130,8 @@ def stream(page: str) -> list[Item]:
         if kind == "text":
             text = " ".join(html.unescape(rest).split())
             if text:
-                out.append(("#", text if len(text) <= _LONGEST_TEMPLATE else None, False))
+                out.append(("#", (text if len(text) <= _LONGEST_TEMPLATE else None, text.count(" ") + 1),
+                            False))
         elif kind == "close":
             out.append((f"</{name}>", None, False))
         else:
@@ -121,7 +143,7 @@ def stream(page: str) -> list[Item]:
 def merged(a: Item, b: Item) -> Item:
     """Two items of equal key as one."""
     if a[0] == "#":
-        payload = a[1] if a[1] == b[1] else None
+        payload = a[1][0] if a[1][0] == b[1][0] else None, a[1][1] + b[1][1]
     elif isinstance(a[0], tuple):
         payload = aligned(a[1], b[1])
         return _group(payload, a[2] or b[2])
@@ -289,7 +311,7 @@ def as_text(items: list[Item]) -> str:
         if isinstance(key, tuple):
             word = f"( {as_text(payload)} )" + ("*" if optional else "+")
         else:
-            word = payload if key == "#" and payload else key
+            word = payload[0] if key == "#" and payload[0] else key
             word = f"( {word} )?" if optional else word
         out.append(word)
     return " ".join(out)
@@ -297,8 +319,9 @@ def as_text(items: list[Item]) -> str:
 
 def _loaded(raw: str) -> list[Item]:
     def item(x):
-        payload = [item(y) for y in x[1]] if isinstance(x[1], list) else x[1]
-        return _group(payload, x[2]) if isinstance(payload, list) else (x[0], payload, x[2])
+        if x[0] is None:
+            return _group([item(y) for y in x[1]], x[2])
+        return x[0], tuple(x[1]) if x[0] == "#" else x[1], x[2]
 
     return [item(x) for x in json.loads(raw)]
 
@@ -310,23 +333,49 @@ def _dumped(items: list[Item]) -> str:
     return json.dumps([plain(x) for x in items], ensure_ascii=False)
 
 
-def container(items: list[Item]) -> str | None:
-    """The main text's element, if the wrapper has one."""
-    found = set()
+def votes(items: list[Item]) -> tuple[str | None, list[str]]:
+    """What the words in a wrapper's slots say: the main text's element, and the names of elements
+    that hold half of its words or more, so that they are no mere part beside it."""
+    words: dict = {}
+    opened: list[tuple[str, str]] = []
 
-    def walk(some):
+    def walk(some: list[Item]) -> None:
         for key, payload, _ in some:
             if isinstance(payload, list):
                 walk(payload)
-            elif key.startswith("<") and not key.startswith("</"):
-                found.add(key[1:].split()[0].rstrip(">"))
+            elif key == "#":
+                if any(tag in _CHROME or tag in _RAW for tag, _ in opened):
+                    continue
+                inside = {tag for tag, _ in opened}.intersection(_MAIN)
+                for where in {*inside, ""}:
+                    words[where] = words.get(where, 0) + payload[1]
+                    for label in {label for _, label in opened if label}:
+                        words[where, label] = words.get((where, label), 0) + payload[1]
+            elif key.startswith("</"):
+                tag = key[2:-1]
+                if any(x == tag for x, _ in opened):
+                    while opened.pop()[0] != tag:
+                        pass
+            else:
+                tag, _, label = key[1:-1].partition(" ")
+                words.setdefault(tag, 0)
+                if tag not in _VOID:
+                    opened.append((tag, label if tag not in _PROSE and hinted(label) else ""))
 
     walk(items)
-    return next((name for name in _MAIN if name in found), None)
+    article, main = words.get("article"), words.get("main")
+    best = "article" if article is not None and (main is None or 2 * article >= main) else \
+        "main" if main is not None else None
+    root = best or ""
+    whole = words.get(root, 0)
+    kept = sorted(x[1] for x in words if isinstance(x, tuple) and x[0] == root
+                  and 2 * words[x] >= whole > 0)
+    return best, kept
 
 
 def infer(pages: DataFrame) -> DataFrame:
-    """``host, pages, wrapper, main`` from rows of ``host`` and ``html``."""
+    """``host, pages, wrapper, main, kept`` from rows of ``host`` and ``html``; the last two are
+    the :func:`votes`."""
     schema = "host string, part int, pages long, wrapper string"
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,14 +410,15 @@ def infer(pages: DataFrame) -> DataFrame:
     def finish(group: pd.DataFrame) -> pd.DataFrame:
         one = together(group)
         items = _loaded(one["wrapper"].iloc[0])
-        one["main"] = [container(items)]
+        main, kept = votes(items)
+        one["main"], one["kept"] = [main], [kept]
         return one.drop(columns="part")
 
     parts = pages.select("host", "html").mapInArrow(local, schema)
     mixed = parts.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(64)).cast("int"))
     return (mixed.groupBy("host", "part").applyInPandas(together, schema)
             .groupBy("host").applyInPandas(
-                finish, "host string, pages long, wrapper string, main string"))
+                finish, "host string, pages long, wrapper string, main string, kept array<string>"))
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -405,16 +455,19 @@ def templates(pages: DataFrame) -> DataFrame:
 # -- extraction ----------------------------------------------------------------------
 
 
-def main_text(page: str, main: str | None, template: frozenset = frozenset()) -> str:
+def main_text(page: str, main: str | None, template: frozenset = frozenset(),
+              kept: frozenset = frozenset()) -> str:
     """The text of ``page``: its blocks without template texts, unless it has no others."""
-    found = blocks(page, main)
+    found = blocks(page, main, kept)
     return " ".join([x for x in found if x not in template] or found)
 
 
-def _page_text(page: str, template: list[str] | None) -> str:
-    main = main_of(page)
+def _page_text(page: str, template: list[str] | None, main: str | None, kept: list[str] | None) -> str:
+    # Where a page has both elements, its host's votes say which; where one, there is no choice.
+    main = main_of(page, tuple(sorted(_MAIN, key=lambda x: x != main)))
     # Template texts are looked for in whole bodies; what an article says is its own.
-    return main_text(page, main, frozenset(template or () if main is None else ()))
+    return main_text(page, main, frozenset(template or () if main is None else ()),
+                     frozenset(kept or ()))
 
 
 def main_of(page: str, elements: tuple[str, ...] = _MAIN) -> str | None:
@@ -429,8 +482,9 @@ def main_of(page: str, elements: tuple[str, ...] = _MAIN) -> str | None:
     return next((x for x in maybe if x in seen), None)
 
 
-def blocks(page: str, main: str | None) -> list[str]:
-    """The blocks of ``page`` inside ``main`` (or everywhere, if it has none)."""
+def blocks(page: str, main: str | None, kept: frozenset = frozenset()) -> list[str]:
+    """The blocks of ``page`` inside ``main`` (or everywhere, if it has none).  Names in ``kept`` are
+    those of main text."""
     out, pending = [], []
     stack: list[tuple[str, bool]] = []
     away = inside = 0
@@ -451,7 +505,9 @@ def blocks(page: str, main: str | None) -> list[str]:
         if name not in _INLINE:
             flush()
         if kind == "open":
-            chrome = name in _CHROME or names(rest)[1]
+            label, chrome = names(rest)
+            chrome = chrome or name in _CHROME or (
+                name not in _PROSE and label not in kept and hinted(label))
             chrome = chrome and name not in ("html", "body", main)
             if name not in _VOID and not rest.endswith("/"):
                 stack.append((name, chrome))
@@ -480,12 +536,12 @@ def extract(pages: DataFrame, *, id_column: str = "page_id", url_column: str = "
     found = materialize(infer(rows), "wrappers")
 
     @F.arrow_udf("string")
-    def text(column: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for page, template in column:
-            yield pa.array([
-                _page_text(p or "", t) for p, t in
-                zip(page.to_pylist(), template.to_pylist(), strict=True)], pa.string())
+    def text(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for arrays in columns:
+            rows = zip(*(x.to_pylist() for x in arrays), strict=True)
+            yield pa.array([_page_text(p or "", t, m, k) for p, t, m, k in rows], pa.string())
 
     common = materialize(templates(rows), "templates")
-    joined = rows.join(common, "host", "left")
-    return joined.select("id", "url", text("html", "template").alias("text")), found
+    joined = (rows.join(common, "host", "left")
+              .join(found.select("host", F.col("main").alias("vote"), "kept"), "host", "left"))
+    return joined.select("id", "url", text("html", "template", "vote", "kept").alias("text")), found
