@@ -49,6 +49,31 @@ def test_all_texts_with_letters_stay_where_no_language_is_named(spark):
     assert sorted(i for i, _ in texts(kept)) == [1, 5, 6]
 
 
+def test_texts_in_languages_that_were_not_learned_go(spark):
+    docs = table(spark, SMALL, "documents")
+    foreign = [(20_001, "Это русский текст о погоде и природе, который никто не учил."),
+               (20_002, "日本語の文章を分割する"), (20_003, "αυτό είναι ένα ελληνικό κείμενο"),
+               (20_004, "the and that of the thing")]
+    more = spark.createDataFrame([(i, t, None, "s", 0) for i, t in foreign], docs.schema)
+    kept = {i for i, _ in texts(corpus_pipeline.identified(spark, docs.union(more), SMALL))}
+    assert {i for i, _ in texts(docs)} <= kept and kept & {i for i, _ in foreign} == {20_004}
+
+
+def test_odd_tables_go_through_all_stages(spark):
+    """Nulls, repeated rows, a very long text and a column of a clashing name; and no rows at all."""
+    long = " ".join(f"the word{i % 900} of thing{i}" for i in range(8000))
+    rows = [(1, None), (2, ""), (3, "the same text of some words"), (3, "the same text of some words"),
+            (4, long), (None, "of the and to the"), (5, "the same text of some words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "x") for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, _gain string")
+    for table_ in (docs, docs.limit(0)):
+        out = table_
+        for name, stage in corpus_pipeline.STAGES:
+            out = materialize(stage(spark, out, SMALL), name.replace(" ", "_"))
+        ids = {r.doc_id for r in out.collect()}
+        assert ids == ({3, 4, None} if table_ is docs else set())
+
+
 def test_one_of_each_group_stays(steps):
     assert {i for i, _ in texts(steps[2])} == {c for _, _, c in near(texts(steps[1]))}
 
