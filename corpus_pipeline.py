@@ -1,7 +1,9 @@
 """The stages from raw documents to shards.
 
 Every stage takes what its predecessor kept, and all but the last return the columns of
-``documents``.  Rows are expected to have unique identifiers.
+``documents``, whatever further columns it has.  Identifiers are expected to be unique: rows that
+repeat one are one document to the join, and share its fate.  Ties go to the smallest
+identifier; an empty table goes through all stages and gives no rows.
 """
 
 from __future__ import annotations
@@ -14,18 +16,27 @@ from pontualis.llm.tables import fresh, table
 from pontualis.sources.scratch import materialize
 
 
+#: Nats a byte by which the best language must explain a text better than none; a little below 0, so
+#: that a text of rare words stays.  Text of a language that was learned is above 0.5, other text
+#: below -0.5.
+LEAST_GAIN = -0.2
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: those without text or letters go.
+    """Documents in a language that was learned: those go that have no letters, or that the language
+    explaining them best explains worse than a model without language.
 
     The column ``lang`` is only learned from; it is left as it is.  If it names no language at
-    all, nothing can be told from it, and all documents with letters stay.
+    all, nothing can be told from it, and all documents with letters stay.  Null texts go, empty
+    tables stay empty, repeated rows are decided alike, other columns are carried along, and a
+    very long text is read as a whole.
     """
     model = language.train(docs)
     if not model.languages:
         return docs.filter(language.has_letter(F.col("text")))
-    answer = fresh(docs.columns, "_answer")
-    found = language.identify(docs, model, answer)
-    return found.filter(F.col(f"{answer}.lang") != "und").select(*docs.columns)
+    gain = fresh(docs.columns, "_gain")
+    found = docs.withColumn(gain, language.gain(spark, model)(F.col("text")))
+    return found.filter(F.col(gain) >= LEAST_GAIN).select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
