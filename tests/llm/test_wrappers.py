@@ -1,6 +1,12 @@
+import random
+import time
+
 import pytest
 
 from pontualis.llm import wrappers
+from pontualis.llm.queries import QUERIES
+
+WORDS = "the wind over hills brings rain to every old town while people wait for better light".split()
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">A</a></li><li><a>B</a></li></ul></nav>
@@ -106,3 +112,100 @@ def test_few_pages_without_article_among_many(spark):
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
     text, _ = wrappers.extract(df)
     assert {r.text for r in text.collect()} == {"Own", *(f"Article {i}" for i in range(9))}
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<main><div class='post no-sidebar'><p>Body of it</p></div></main>", "Body of it"),
+    ("<article><p>Teaser</p></article><main><p>The main text of this page.</p><p>More of it.</p></main>",
+     "The main text of this page. More of it."),
+    ("<article><p>One</p><p class='legal'>Two</p><h2 class='social'>Three</h2></article>", "One Two Three"),
+    ("<article><p>Long enough to be the text</p><div class='share-buttons'>Share</div>"
+     "<div id='ad-top'>Buy</div></article>", "Long enough to be the text"),
+    ("<article><div class='related'><p>All the text is in here, whatever it is called.</p></div></article>",
+     "All the text is in here, whatever it is called."),
+    ("<main><article><p>The article's own words here</p></article><p>a remark</p></main>",
+     "The article's own words here"),
+    ("<body><div class='has-sidebar'>Own words of a page</div><div class='sidebar'>Side</div></body>",
+     "Own words of a page"),
+])
+def test_slots_decide(spark, page, text):
+    """As the only page of a host, and as one of many."""
+    rows = [(0, "http://one/", page), *[(i, "http://many/", page.replace("of", f"of{i}")) for i in range(1, 5)]]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.id: r.text for r in wrappers.extract(df)[0].collect()}
+    assert got == {i: text.replace("of", f"of{i}") if i else text for i in range(5)}
+
+
+def test_generated_hosts(spark):
+    """Pages of five hosts from known templates, with the text that was put into each."""
+    dice = random.Random(5)
+
+    def sentence(n):
+        return " ".join(dice.choice(WORDS) for _ in range(n)) + "."
+
+    def menu():
+        return "<ul>" + "".join(f"<li><a href='/{i}'>{dice.choice(WORDS)}</a></li>" for i in range(dice.randrange(2, 6))) + "</ul>"
+
+    def body():
+        """HTML and its text, as blocks."""
+        blocks, out = [], []
+        for _ in range(dice.randrange(3, 9)):
+            kind, words = dice.randrange(4), sentence(dice.randrange(12, 40))
+            if kind == 0:
+                out.append(f"<h2>{words}</h2>")
+            elif kind == 1:
+                out.append(f"<p class='lead'>{words.replace('.', ' <b>now</b> &amp; then.')}</p>")
+                words = words.replace(".", " now & then.")
+            elif kind == 2:
+                more = sentence(5)
+                out.append(f"<ul><li>{words}</li>\n<li>{more}</li></ul>")
+                blocks.append(words)
+                words = more
+            else:
+                out.append(f"<p>{words}</p>")
+            blocks.append(words)
+        return "".join(out), " ".join(blocks)
+
+    shells = [
+        lambda b: f"<nav>{menu()}</nav><div class='ad'>{sentence(9)}</div><article>{b}</article><footer>{sentence(6)}</footer>",
+        lambda b: f"<header>{menu()}</header><article><p>{sentence(4)}</p></article><main><div class='post no-sidebar'>{b}"
+                  f"</div><div id='comments'>{sentence(8)}</div></main><aside>{sentence(5)}</aside>",
+        lambda b: f"<div role='navigation'>{menu()}</div><main><div class='content related'>{b}</div>"
+                  f"<div class='cookie-notice'>{sentence(7)}</div><form>{sentence(3)}</form></main>",
+        lambda b: f"<main><article>{b}<section class='comments-area'>{sentence(9)}</section></article></main><footer>x</footer>",
+        lambda b: f"<div>Always here</div><div class='site-header'>{menu()}</div><div>{b}</div><div>Contact us</div>",
+    ]
+    rows, wanted = [], {}
+    for host, shell in enumerate(shells):
+        for _ in range(12):
+            html, text = body()
+            wanted[len(rows)] = text
+            rows.append((len(rows), f"https://host{host}.example/{len(rows)}", f"<html><head><title>t</title></head><body>{shell(html)}</body></html>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    out, found = wrappers.extract(df)
+    assert {r.id: r.text for r in out.collect()} == wanted
+    by_host = {r.host: r for r in found.collect()}
+    assert [by_host[f"host{i}.example"].main for i in range(5)] == ["article", "main", "main", "article", None]
+    assert by_host["host2.example"].kept == ["content related"] and by_host["host0.example"].pages == 12
+
+
+def test_very_long_pages_take_no_long_time():
+    long = "<article>" + "".join(f"<p>paragraph {i} of some words &amp; more</p>\n" for i in range(24_000)) + "</article>"
+    for page, least in ((long, 500_000), ("<a " * 20_000, 50_000), ("<p " * 20_000 + ">", 40_000),
+                        ("<!-- " * 20_000, 0), ("</p" * 20_000, 50_000)):
+        start = time.perf_counter()
+        assert len(wrappers.main_text(page, wrappers.main_of(page))) >= least
+        wrappers.folded(wrappers.stream(page))
+        assert time.perf_counter() - start < 10  # about one on an idle machine
+
+
+def test_query_takes_every_page_and_more_columns(spark, folder):
+    rows = [(1, "http://h/", "<article>a b</article>"), (1, "http://h/", "<article>a b</article>"), (None, None, None),
+            (2, "", ""), (3, "no host", "<p>é &#x1F600;</p>")]
+    df = spark.createDataFrame([(*r, "x", "x") for r in rows],
+                               "page_id long, url string, html string, host string, template string")
+    place = folder(pages=df)
+    got = sorted(map(str, ((r.page_id, r.text, r.n_chars) for r in QUERIES["op4_html_extraction"](spark, place).collect())))
+    assert got == sorted(map(str, [(1, "a b", 3), (1, "a b", 3), (None, "", 0), (2, "", 0), (3, "é \U0001f600", 3)]))
+    empty = spark.createDataFrame([], df.schema)
+    assert wrappers.extract(empty)[0].count() == 0
