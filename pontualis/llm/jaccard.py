@@ -19,7 +19,7 @@ hold several components go on, recursively: more pivots are taken, from all comp
 turn, those first that are nearest to the pivots so far on average and so link most, and
 meet the members of other components, unless their distances to the first pivot differ by more than the threshold
 (triangle inequality).  A pivot that has met its region is done with; the number of pivots
-grows fourfold from round to round, so small regions end at once.  No region's pairs are
+grows sixteenfold from round to round, so small regions end at once.  No region's pairs are
 all emitted: members of one component are not compared again.
 
 **Bounds.**  A pair must fit by size, and what follows its common pivot must suffice for a
@@ -27,7 +27,9 @@ link (the first pivot that two linked documents share always passes).  Its sketc
 too: a set's sketch keeps the parity of the number of its shingles per hash value, in two to
 four bits for each shingle.  Sketches differ in no more bits than the sets differ in
 shingles, so the distance is at least ``2h / (n + m + h)`` for h such bits.  Only texts of
-pairs that pass are read, and their distances are exact.
+pairs that pass are read, and their distances are exact.  Texts are dealt to buckets by identifier
+once; after that only identifiers, sketches and the texts of such pairs move.  New links unite
+components of the round before, so older links are not followed again.
 
 The order only decides how large regions are, never what is found.  It counts shingles
 that recur within a batch, over all documents; the most frequent (at most ``frequent``,
@@ -42,6 +44,7 @@ nothing and have no component.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,11 +57,12 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from pontualis.llm.components import components
 from pontualis.llm.tables import fresh
 from pontualis.llm.words import NOT_SPACE, find_words, flat, mix, pieces, shingles
-from pontualis.sources.scratch import materialize
+from pontualis.sources.scratch import fresh_path, materialize
 
 _RECURS = 3  # times in a batch from which a shingle is counted
 _REGION = 4096  # documents of a frequent shingle's region that share a key at first
-_PIVOTS = 8
+_PIVOTS = 32  # documents that are pivots of a region in the first round
+_MORE_PIVOTS = 16  # times as many in each round
 
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -224,12 +228,22 @@ def _bounded(pairs: DataFrame, docs: DataFrame, share: int) -> DataFrame:
             .select("a", "b", (2 * h / (F.col("n") + F.col("m") + h)).alias("low")))
 
 
+def _in_buckets(rows: DataFrame) -> DataFrame:
+    """``rows`` as a table in buckets of ``id``, of which a join by it moves no text."""
+    spark = rows.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = fresh_path(spark, "texts_by_id")
+    name = "texts_" + hashlib.md5(path.encode()).hexdigest()
+    (rows.filter(F.col("id").isNotNull()).repartition(buckets, "id").write.option("path", path)
+     .bucketBy(buckets, "id").saveAsTable(name))
+    return spark.table(name)
+
+
 def _distances(pairs: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """``a, b, common, either``: sizes of the intersection and union of two documents' sets."""
-    needed = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(),
-                         "needed")
-    # Merged at any size, so that small inputs behave as large ones do.
-    texts = materialize(rows.join(needed.hint("merge"), "id", "left_semi"), "texts")
+    needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    # By hash, with the few identifiers on the build side: the texts are neither moved nor sorted.
+    texts = materialize(rows.join(needed.hint("shuffle_hash"), "id", "left_semi"), "texts")
     x = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
     y = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
     joined = pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").select("a", "b", "x", "y")
@@ -280,6 +294,7 @@ def join(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
     by all pairs that share ``share`` percent of their shingles.
     """
     rows = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    texts = _in_buckets(rows)
     scanned = _scan(rows, k)
     docs = scanned.filter(F.col("shingle").isNull()).select("id", "n", "d1", "d2", "sketch")
 
@@ -305,7 +320,7 @@ def join(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
     meet = _may_link(F.col("place"), F.col("pivot_place"), share) & (F.col("id") != F.col("pivot"))
     pairs = members.filter(meet).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     pairs = pairs.join(links.select("a", "b"), ["a", "b"], "left_anti")
-    first, new = _meet(pairs, sets, rows, k, share)
+    first, new = _meet(pairs, sets, texts, k, share)
     links = links.unionAll(new)
     labels = _components(links)
 
@@ -325,19 +340,18 @@ def join(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
         "low": F.when(itself, 0.0).otherwise(F.coalesce("low", F.lit(0.0))),
         "high": F.when(itself, 0.0).otherwise(F.coalesce("high", F.lit(1.0)))})
         .withColumn("away", F.col("low")), "open")
-    # All that any round can need, so that rounds do not shuffle the documents again.
+    # All sketches that any round can need, so that rounds do not shuffle the others again.
     ids = materialize(rest.select("id").distinct(), "open_ids")
-    open_texts = materialize(rows.join(ids.hint("merge"), "id", "left_semi"), "open_texts")
     open_sets = materialize(sets.join(ids, "id", "left_semi"), "open_sketches")
     pivots = _PIVOTS
     while not rest.isEmpty():
-        new, left = _round(rest, open_sets, open_texts, k, share, pivots)
+        new, left = _round(rest, open_sets, texts, k, share, pivots)
         if not new.isEmpty():
             links = links.unionAll(new)
-            labels = _components(links)
+            labels = _united(labels, new)
             left = _labelled(left.drop("component"), labels)
         rest = materialize(_several(left).select(*rest.columns), "open")
-        pivots *= 4
+        pivots *= _MORE_PIVOTS
     return docs.select("id", "n"), links, labels
 
 
@@ -345,6 +359,23 @@ def _components(links: DataFrame) -> DataFrame:
     return materialize(components(links.select("a", "b")), "components")
 
 
+def _united(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """``labels`` after ``new`` links: only the components that these join are looked at again."""
+    ends = new.select("a", "b").distinct()
+    a = labels.select(F.col("id").alias("a"), F.col("component").alias("of_a"))
+    b = labels.select(F.col("id").alias("b"), F.col("component").alias("of_b"))
+    known = materialize(ends.join(a, "a", "left").join(b, "b", "left").select(
+        F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).distinct(), "unions")
+    joined = components(known).select(F.col("id").alias("before"), F.col("component").alias("after"))
+    # A component is called by its smallest member, so a document without one is its own.
+    alone = known.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    alone = alone.join(labels.select("id"), "id", "left_anti").withColumn("component", F.col("id"))
+    every = labels.unionAll(alone)
+    moved = every.join(joined, F.col("component") == F.col("before"), "left")
+    return materialize(moved.select("id", F.coalesce("after", "component").alias("component")),
+                       "components")
+
+
 def _meet(pairs: DataFrame, docs: DataFrame, rows: DataFrame, k: int, share: int):
     """Bounds of the pairs' distances (``a, b, low, high``), and the links among them."""
     bounds = materialize(_bounded(pairs, docs, share), "bounds")
