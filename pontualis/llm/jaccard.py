@@ -27,8 +27,8 @@ link (the first pivot that two linked documents share always passes).  Its sketc
 too: a set's sketch keeps the parity of the number of its shingles per hash value, in two to
 four bits for each shingle.  Sketches differ in no more bits than the sets differ in
 shingles, so the distance is at least ``2h / (n + m + h)`` for h such bits.  Only texts of
-pairs that pass are read, and their distances are exact.  Texts are dealt to buckets by identifier
-once; after that only identifiers, sketches and the texts of such pairs move.  New links unite
+pairs that pass are read, and their distances are exact.  Texts and sketches are dealt to buckets
+by identifier once; after that only pairs, with what they compare, move.  New links unite
 components of the round before, so older links are not followed again.
 
 The order only decides how large regions are, never what is found.  It counts shingles
@@ -228,12 +228,12 @@ def _bounded(pairs: DataFrame, docs: DataFrame, share: int) -> DataFrame:
             .select("a", "b", (2 * h / (F.col("n") + F.col("m") + h)).alias("low")))
 
 
-def _in_buckets(rows: DataFrame) -> DataFrame:
-    """``rows`` as a table in buckets of ``id``, of which a join by it moves no text."""
+def _in_buckets(rows: DataFrame, what: str) -> DataFrame:
+    """``rows`` as a table in buckets of ``id``, of which a join by it moves nothing."""
     spark = rows.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = fresh_path(spark, "texts_by_id")
-    name = "texts_" + hashlib.md5(path.encode()).hexdigest()
+    path = fresh_path(spark, f"{what}_by_id")
+    name = f"{what}_{hashlib.md5(path.encode()).hexdigest()}"
     (rows.filter(F.col("id").isNotNull()).repartition(buckets, "id").write.option("path", path)
      .bucketBy(buckets, "id").saveAsTable(name))
     return spark.table(name)
@@ -294,12 +294,12 @@ def join(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
     by all pairs that share ``share`` percent of their shingles.
     """
     rows = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    texts = _in_buckets(rows)
+    texts = _in_buckets(rows, "texts")
     scanned = _scan(rows, k)
     docs = scanned.filter(F.col("shingle").isNull()).select("id", "n", "d1", "d2", "sketch")
 
     # Documents with equal sets, linked without a look at their texts.
-    sets = docs.filter("n > 0 AND id IS NOT NULL")
+    sets = _in_buckets(docs.filter("n > 0"), "sketches")
     least = materialize(sets.groupBy("n", "d1", "d2").agg(F.min("id").alias("b"))
                         .select(F.col("n").alias("m"), F.col("d1").alias("e1"),
                                 F.col("d2").alias("e2"), "b"), "set_least")
@@ -340,12 +340,9 @@ def join(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
         "low": F.when(itself, 0.0).otherwise(F.coalesce("low", F.lit(0.0))),
         "high": F.when(itself, 0.0).otherwise(F.coalesce("high", F.lit(1.0)))})
         .withColumn("away", F.col("low")), "open")
-    # All sketches that any round can need, so that rounds do not shuffle the others again.
-    ids = materialize(rest.select("id").distinct(), "open_ids")
-    open_sets = materialize(sets.join(ids, "id", "left_semi"), "open_sketches")
     pivots = _PIVOTS
     while not rest.isEmpty():
-        new, left = _round(rest, open_sets, texts, k, share, pivots)
+        new, left = _round(rest, sets, texts, k, share, pivots)
         if not new.isEmpty():
             links = links.unionAll(new)
             labels = _united(labels, new)
