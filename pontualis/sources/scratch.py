@@ -13,8 +13,8 @@ _serial = itertools.count()
 def shared_folder(spark: SparkSession) -> str:
     """A folder that the driver and all executors see, by what the session says of itself.
 
-    In this order: ``spark.checkpoint.dir``, the context's checkpoint folder, and the
-    warehouse.  Never a machine's own temporary folder.
+    In this order: ``spark.checkpoint.dir``, the context's checkpoint folder, and, where
+    neither is set, as in tests, the warehouse.  Never a machine's temporary folder.
     """
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
@@ -37,7 +37,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
 
 
 def _located(spark: SparkSession, path: str):
@@ -51,6 +53,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(where)
 
 
+def release(*tables: DataFrame) -> None:
+    """Remove what :func:`materialize` wrote for ``tables``; nothing may read them any more."""
+    for table in tables:
+        store, where = _located(table.sparkSession, table._scratch_path)
+        store.delete(where, True)
+
+
 def discard(spark: SparkSession) -> None:
     """Remove what this application has put there; its results must no longer be in use."""
     store, where = _located(spark, _own_folder(spark))
