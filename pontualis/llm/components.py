@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pontualis.sources.scratch import materialize
+from pontualis.sources.scratch import materialize, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,7 +35,10 @@ def components(links: DataFrame) -> DataFrame:
                                           F.least("a", "b").alias("b")).distinct()
     edges = materialize(edges, "edges")
     while True:
-        edges = materialize(_small_star(materialize(_large_star(edges), "edges")), "edges")
+        large = materialize(_large_star(edges), "edges")
+        release(edges)
+        edges = materialize(_small_star(large), "edges")
+        release(large)
         onward = edges.select(F.col("a").alias("b")).distinct()
         several = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         if edges.join(onward, "b", "left_semi").isEmpty() and several.isEmpty():

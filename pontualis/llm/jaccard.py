@@ -57,7 +57,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from pontualis.llm.components import components
 from pontualis.llm.tables import fresh
 from pontualis.llm.words import NOT_SPACE, find_words, flat, mix, pieces, shingles
-from pontualis.sources.scratch import fresh_path, materialize
+from pontualis.sources.scratch import fresh_path, materialize, release
 
 _RECURS = 3  # times in a batch from which a shingle is counted
 _REGION = 4096  # documents of a frequent shingle's region that share a key at first
@@ -236,7 +236,16 @@ def _in_buckets(rows: DataFrame, what: str) -> DataFrame:
     name = f"{what}_{hashlib.md5(path.encode()).hexdigest()}"
     (rows.filter(F.col("id").isNotNull()).repartition(buckets, "id").write.option("path", path)
      .bucketBy(buckets, "id").saveAsTable(name))
-    return spark.table(name)
+    table = spark.table(name)
+    table._scratch_path, table._scratch_name = path, name
+    return table
+
+
+def _drop(*tables: DataFrame) -> None:
+    """Frees tables of :func:`_in_buckets`."""
+    for table in tables:
+        table.sparkSession.sql(f"DROP TABLE {table._scratch_name}")
+    release(*tables)
 
 
 def _distances(pairs: DataFrame, rows: DataFrame, k: int) -> DataFrame:
@@ -273,7 +282,9 @@ def _distances(pairs: DataFrame, rows: DataFrame, k: int) -> DataFrame:
                 batch.column(0), batch.column(1), pa.array(common),
                 pa.array(size[0] + size[1] - common)], names=schema.names)
 
-    return joined.mapInArrow(measure, schema)
+    measured = materialize(joined.mapInArrow(measure, schema), "distances")
+    release(texts)
+    return measured
 
 
 def _several(rows: DataFrame) -> DataFrame:
@@ -340,15 +351,18 @@ def join(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
         "low": F.when(itself, 0.0).otherwise(F.coalesce("low", F.lit(0.0))),
         "high": F.when(itself, 0.0).otherwise(F.coalesce("high", F.lit(1.0)))})
         .withColumn("away", F.col("low")), "open")
+    release(members)
     pivots = _PIVOTS
     while not rest.isEmpty():
-        new, left = _round(rest, sets, texts, k, share, pivots)
+        new, left, used = _round(rest, sets, texts, k, share, pivots)
         if not new.isEmpty():
             links = links.unionAll(new)
             labels = _united(labels, new)
             left = _labelled(left.drop("component"), labels)
-        rest = materialize(_several(left).select(*rest.columns), "open")
+        before, rest = rest, materialize(_several(left).select(*rest.columns), "open")
+        release(before, *used)
         pivots *= _MORE_PIVOTS
+    _drop(texts, sets)
     return docs.select("id", "n"), links, labels
 
 
@@ -378,7 +392,7 @@ def _meet(pairs: DataFrame, docs: DataFrame, rows: DataFrame, k: int, share: int
     bounds = materialize(_bounded(pairs, docs, share), "bounds")
     # Rounding must not lose a pair at the very threshold.
     near = bounds.filter(F.col("low") <= (100 - share) / 100 + 1e-9).select("a", "b").distinct()
-    met = materialize(_distances(near, rows, k), "distances")
+    met = _distances(near, rows, k)
     within = (F.col("common") > 0) & (100 * F.col("common") >= share * F.col("either"))
     away = (1 - F.max(F.col("common") / F.col("either"))).alias("away")
     exact = met.groupBy("a", "b").agg(away)
@@ -396,8 +410,9 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _round(rest: DataFrame, docs: DataFrame, rows: DataFrame, k: int, share: int,
-           pivots: int) -> tuple[DataFrame, DataFrame]:
-    """One step of the recursion inside regions: links found, and the rows that go on.
+           pivots: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """One step of the recursion inside regions: links found, the rows that go on, and the tables
+    that are free once these are written.
 
     ``rest``: region (its first pivot), id, place, low and high (bounds of the distance to the
     first pivot), away (mean distance to the pivots of the last round), component, members.
@@ -425,7 +440,8 @@ def _round(rest: DataFrame, docs: DataFrame, rows: DataFrame, k: int, share: int
     # A chosen pivot has met all of its region.
     done = chosen.select("region", F.col("q_id").alias("id"))
     left = rest.join(done, ["region", "id"], "left_anti").join(means, ["region", "id"], "left")
-    return new, left.withColumn("away", F.coalesce("mean", "away")).drop("mean", "members")
+    left = left.withColumn("away", F.coalesce("mean", "away")).drop("mean", "members")
+    return new, left, [chosen, meetings]
 
 
 def near_duplicates(df: DataFrame, **parameters) -> DataFrame:
