@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pontualis.llm import decontaminate, jaccard, language, mixing, sharding
 from pontualis.llm.tables import fresh, table
-from pontualis.sources.scratch import materialize
+from pontualis.sources.scratch import materialize, release
 
 
 #: Nats a byte by which the best language must explain a text better than none; a little below 0, so
@@ -74,6 +74,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+    for number, (name, stage) in enumerate(STAGES):
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        if number:
+            release(before)
     return docs
