@@ -93,7 +93,6 @@ BRAZIL = "Brasil"
 ABROAD = "Exterior"
 UNKNOWN_CARRIER = "COMPANHIA NAO CADASTRADA"
 UNKNOWN_AIRPORT = "AEROPORTO FORA DO CADASTRO ANAC"
-UNKNOWN_CODE = "CODIGO NAO CATALOGADO"
 
 # Sunday first, as Spark's dayofweek counts.
 WEEKDAYS = (
@@ -110,6 +109,16 @@ FLIGHT_COLUMNS = tuple(FLIGHT_HEADERS.values())
 INSTANTS = ("partida_prevista", "partida_real", "chegada_prevista", "chegada_real")
 DELAYS = ("atraso_partida_min", "atraso_chegada_min", "minutos_recuperados")
 
+#: What a preview of the flights shows.
+PREVIEW_COLUMNS = (
+    "icao_empresa", "numero_voo", "icao_origem", "icao_destino",
+    "partida_prevista", "partida_prevista_data", "partida_prevista_hora",
+    "atraso_partida_min", "atraso_chegada_min", "minutos_recuperados", "situacao_voo",
+)
+
+#: Bronze tables, as the counts of a layer call them.
+BRONZE_TABLES = ("aerodromos", "empresas_nacionais", "empresas_estrangeiras", "codigos_operacao", "vra")
+
 PAIR_KEYS = (SOURCE_FILE, "icao_empresa", "numero_voo", "icao_origem", "icao_destino")
 
 OBT_COLUMNS = (
@@ -144,3 +153,7 @@ DIM_COLUMNS = (
     "icao_aeroporto", "nome_aeroporto", "municipio_aeroporto", "uf_aeroporto",
     "pais_aeroporto", "no_cadastro_anac", PROCESSED_AT,
 )
+
+# -- texts of this library's own -----------------------------------------------------
+
+UNKNOWN_CODE = "CODIGO NAO CATALOGADO"

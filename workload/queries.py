@@ -194,11 +194,8 @@ def filter_in(spark, folder):
 
 @query
 def top_k(spark, folder):
-    columns = ["event_id", "icao_empresa", "numero_voo", "icao_origem", "icao_destino",
-               "partida_prevista", "partida_prevista_data", "partida_prevista_hora",
-               "atraso_partida_min", "atraso_chegada_min", "minutos_recuperados", "situacao_voo"]
     first = profile.first_rows(w.flights(spark, folder), ["partida_prevista", "event_id"])
-    return first.select(*columns)
+    return first.select("event_id", *model.PREVIEW_COLUMNS)
 
 
 @query
@@ -311,13 +308,9 @@ def union_conservation(spark, folder):
 
 @query
 def layer_counts(spark, folder):
-    return profile.layer_counts({
-        "aerodromos": w.airports(spark, folder),
-        "empresas_nacionais": w.national_carriers(spark, folder),
-        "empresas_estrangeiras": w.foreign_carriers(spark, folder),
-        "codigos_operacao": w.codes(spark),
-        "vra": w.raw_flights(spark, folder),
-    })
+    tables = (w.airports(spark, folder), w.national_carriers(spark, folder),
+              w.foreign_carriers(spark, folder), w.codes(spark), w.raw_flights(spark, folder))
+    return profile.layer_counts(dict(zip(model.BRONZE_TABLES, tables, strict=True)))
 
 
 @query
