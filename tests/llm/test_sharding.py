@@ -1,8 +1,13 @@
+import hashlib
+import zlib
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from pontualis.llm import sharding
+from pontualis.llm.queries import QUERIES
+from pontualis.llm.tables import table
 
 
 def naive(sizes, capacity):
@@ -96,3 +101,52 @@ def test_by_capacity(odd, spark):
 def test_empty(empty):
     assert sharding.into_shards(empty, 8).count() == 0
     assert sharding.by_capacity(empty, 100).count() == 0
+
+
+def least_capacity(sizes, bins):
+    """The naive packing with the least capacity that needs no more than ``bins``."""
+    capacity = max(sizes[0], -(-sum(sizes) // bins))
+    while True:
+        out = naive(sizes, capacity)
+        if max(out) < bins:
+            return out
+        capacity += 1
+
+
+def test_query_against_a_naive_packing(spark):
+    """Every row's shard, from groups, parcels and their packing one by one; and its own columns."""
+    folder, parcels = "/root/testdata/sf0.001", 4096
+    docs = [(r.doc_id, r.text or "") for r in table(spark, folder, "documents").collect()]
+    texts = sorted({t for _, t in docs})
+    sha = {t: hashlib.sha256(t.encode()).hexdigest() for t in texts}
+    df = spark.createDataFrame([(s,) for s in sha.values()], "sha string")
+    parcel = {r.sha: r.p for r in df.selectExpr("sha", f"pmod(xxhash64(sha), {parcels}) AS p").collect()}
+    total, groups, dealt = 0, {}, {}
+    for _, t in docs:
+        size = len(t.encode()) + 1
+        groups[sha[t]] = groups.get(sha[t], 0) + size
+        total += size
+    items = []
+    for s, size in groups.items():
+        if size * parcels > total:
+            items.append((-size, s, -1))
+        else:
+            dealt[parcel[s]] = dealt.get(parcel[s], 0) + size
+    items = sorted([*items, *((-size, "", p) for p, size in dealt.items())])
+    sizes, rest, alone = [-x[0] for x in items], total, 0
+    while sizes[alone] * (8 - alone) > rest:
+        rest -= sizes[alone]
+        alone += 1
+    shards = [*range(alone), *(alone + b for b in least_capacity(sizes[alone:], 8 - alone))]
+    of = {(s if p < 0 else p): shard for (_, s, p), shard in zip(items, shards, strict=True)}
+    rows = QUERIES["op8_sharding"](spark, folder).collect()
+    text = dict(docs)
+    assert sorted(r.doc_id for r in rows) == sorted(i for i, _ in docs)
+    slots = {}
+    for r in rows:
+        t = text[r.doc_id]
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (
+            len(t.encode()) + 1, zlib.crc32(t.encode()), "bytes", None)
+        assert r.shard == of.get(sha[t], of.get(parcel[sha[t]]))
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert sorted(slots) == list(range(8)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
