@@ -1,4 +1,9 @@
+import re
+from collections import Counter
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from pontualis.llm import toxicity
 from pontualis.llm.queries import QUERIES
@@ -26,6 +31,45 @@ def test_patterns(text, found):
     assert patterns(text)[0] == found
 
 
+def by_clauses(text, insults, stems):
+    """Patterns of a text, clause by clause and word by word, from their definition."""
+    found = Counter()
+    for clause in re.split(r"[.!?;:\n]", (text or "").lower()):
+        words = re.findall(r"[^\W_]+", clause)
+
+        def kind(word):
+            if word in insults or any(word.startswith(s) for s in stems):
+                return "insult"
+            return next((name for name, some in (
+                ("threat", toxicity.THREATS), ("target", toxicity.TARGETS), ("negation", toxicity.NEGATIONS),
+                ("report", toxicity.REPORTS)) if word in some), "other")
+
+        kinds = [kind(w) for w in words]
+        for i, k in enumerate(kinds):
+            if k not in ("insult", "threat"):
+                continue
+            if "negation" in kinds[max(0, i - 3):i]:
+                pattern = f"not-{k}"
+            elif "report" in kinds[:i]:
+                pattern = f"said-{k}"
+            elif "target" in kinds[max(0, i - 5):i]:
+                pattern = f"{k}+target"
+            else:
+                pattern = k
+            found[pattern] += pattern in toxicity.PRIORS
+    return +found
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(
+    st.sampled_from(["idiot", "Stupid", "kill", "you", "they", "not", "never", "said", "called", "lowei", "loweix",
+                     "alowei", "plan", "and", "killer", "é", "idiot_kill", "x2", "trash"]),
+    st.sampled_from([" ", " ", " ", ", ", ". ", "!", ";\n", "-", "'", "_"])), max_size=25))
+def test_patterns_against_brute_force(parts):
+    text = "".join(word + gap for word, gap in parts)
+    assert patterns(text)[0] == by_clauses(text, toxicity.INSULTS, ("lowei",))
+
+
 def test_the_cascade_is_one_machine():
     machine = toxicity.grammar()
     assert machine.run(["report", "other", "negation", "insult"])[-1] == "said-not-insult" or \
@@ -66,21 +110,31 @@ def test_counts_of_all_tasks_add_up(spark):
     rows += [(0, f"fill{i} word{i}") for i in range(623)]
     known = toxicity.Model(toxicity.INSULTS, (), dict(toxicity.PRIORS), 0.0)
     df = spark.createDataFrame(rows, "label int, text string")
-    found = [toxicity._learn_lexicon(df.repartition(n, "text"), known, 62, 62 / 700, 2_000, 0.02)
+    found = [toxicity._learn_lexicon(df.repartition(n, "text"), known, 62, 62 / 700, 0.02)
              for n in (1, 50)]
     assert found[0] == found[1]
     words, stems = found[0]
     assert "zorp" in words and "commonly" not in words and not any("commonly".startswith(s) for s in stems)
 
 
-def test_the_limit_comes_after_the_chance_test(spark):
+def test_all_that_pass_the_tests_are_taken(spark):
+    # Three thousand words, each in three toxic texts and no other.
+    rows = [(1, " ".join(f"zo{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}q" for k in range(3000)))] * 30
+    rows += [(0, f"clean text {i}") for i in range(400)]
+    known = toxicity.Model(toxicity.INSULTS, (), dict(toxicity.PRIORS), 0.0)
+    df = spark.createDataFrame(rows, "label int, text string").repartition(4)
+    words, _ = toxicity._learn_lexicon(df, known, 30, 30 / 430, 0.02)
+    assert len(words) == 3000
+
+
+def test_what_chance_explains_is_not_taken(spark):
     # "often" has the most hits, but in a sample that is mostly toxic chance explains them.
     rows = [(1, "often")] * 30 + [(0, "often")] * 9 + [(1, "rarely")] * 27 + [(0, "x y")] * 6
     rows += [(1, "a b")] * 3
     known = toxicity.Model(toxicity.INSULTS, (), dict(toxicity.PRIORS), 0.0)
     df = spark.createDataFrame(rows, "label int, text string")
-    words, stems = toxicity._learn_lexicon(df, known, 60, 60 / 75, 1, 0.02)
-    assert words | stems
+    words, stems = toxicity._learn_lexicon(df, known, 60, 60 / 75, 0.02)
+    assert "rarely" in words and "often" not in words and not any("often".startswith(s) for s in stems)
 
 
 def test_every_match_counts():
