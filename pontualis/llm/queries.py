@@ -277,11 +277,21 @@ WITH docs AS (
   SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
 ), totals AS (
   SELECT lang, CAST(sum(len(words)) AS BIGINT) AS total FROM worded GROUP BY lang
-), starts AS (
-  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded
+), numbered AS (
+  SELECT lang, piece, unnest(words) AS w1, generate_subscripts(words, 1) AS i
+  FROM (SELECT row_number() OVER () AS piece, * FROM worded)
+), runs AS (
+  SELECT lang, w1, w1 || ' ' || lead(w1, 1) OVER own AS w2,
+         w1 || ' ' || lead(w1, 1) OVER own || ' ' || lead(w1, 2) OVER own AS w3,
+         w1 || ' ' || lead(w1, 1) OVER own || ' ' || lead(w1, 2) OVER own || ' '
+            || lead(w1, 3) OVER own AS w4,
+         w1 || ' ' || lead(w1, 1) OVER own || ' ' || lead(w1, 2) OVER own || ' '
+            || lead(w1, 3) OVER own || ' ' || lead(w1, 4) OVER own AS w5
+  FROM numbered WINDOW own AS (PARTITION BY piece ORDER BY i)
 ), counts AS (
-  SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS f
-  FROM starts, range(1, 6) AS t(k) WHERE i + k - 1 <= len(words)
+  SELECT lang, k, phrase, count(*) AS f
+  FROM (SELECT lang, unnest([1, 2, 3, 4, 5]) AS k, unnest([w1, w2, w3, w4, w5]) AS phrase FROM runs)
+  WHERE phrase IS NOT NULL
   GROUP BY ALL HAVING count(*) >= 100
 ), several AS (
   SELECT lang, k, phrase, f, string_split(phrase, ' ') AS words FROM counts WHERE k > 1
