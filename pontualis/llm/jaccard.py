@@ -61,6 +61,7 @@ from pontualis.sources.scratch import fresh_path, materialize, release
 
 _RECURS = 3  # times in a batch from which a shingle is counted
 _REGION = 4096  # documents of a frequent shingle's region that share a key at first
+_PAIRS = 512  # pairs of texts that a task compares at once
 _PIVOTS = 32  # documents that are pivots of a region in the first round
 _MORE_PIVOTS = 16  # times as many in each round
 
@@ -126,8 +127,13 @@ def _scan(rows: DataFrame, k: int) -> DataFrame:
                 seen.append(h)
             if not sizes:
                 continue
-            values, counts = np.unique(np.concatenate(seen), return_counts=True)
-            values, counts = values[counts >= _RECURS], counts[counts >= _RECURS]
+            # Sorted in place: of all shingles of a batch there is one copy.
+            every = np.concatenate(seen)
+            seen.clear()
+            every.sort()
+            again = np.flatnonzero(every[_RECURS - 1:] == every[:len(every) - _RECURS + 1])
+            values = np.unique(every[again])
+            counts = (np.searchsorted(every, values, "right") - np.searchsorted(every, values, "left"))
             n, more = len(batch), len(values)
             none = pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays([
@@ -260,27 +266,29 @@ def _distances(pairs: DataFrame, rows: DataFrame, k: int) -> DataFrame:
               .add("common", "long").add("either", "long"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = len(batch)
-            if not n:
-                continue
-            size, sets = [], []
-            for column in (2, 3):
-                own, every = np.zeros(n, np.int64), []
-                for low, high, owner, h in shingle_sets(batch.column(column), k):
-                    own[low:high] = np.bincount(owner, minlength=high - low)
-                    every.append(h ^ mix((owner + low).astype(np.uint64)))
-                size.append(own)
-                sets.append((np.repeat(np.arange(n), own), np.concatenate(every)))
-            owner, h = sets[1]
-            h = np.sort(h)
-            first, probe = sets[0]
-            at = np.minimum(np.searchsorted(h, probe), max(0, len(h) - 1))
-            hit = h[at] == probe if len(h) else np.zeros(len(probe), bool)
-            common = np.bincount(first[hit], minlength=n)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(common),
-                pa.array(size[0] + size[1] - common)], names=schema.names)
+        for whole in batches:
+            for low in range(0, len(whole), _PAIRS):
+                yield common_of(whole.slice(low, _PAIRS))
+
+    def common_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n = len(batch)
+        size, sets = [], []
+        for column in (2, 3):
+            own, every = np.zeros(n, np.int64), []
+            for low, high, owner, h in shingle_sets(batch.column(column), k):
+                own[low:high] = np.bincount(owner, minlength=high - low)
+                every.append(h ^ mix((owner + low).astype(np.uint64)))
+            size.append(own)
+            sets.append((np.repeat(np.arange(n), own), np.concatenate(every)))
+        owner, h = sets[1]
+        h = np.sort(h)
+        first, probe = sets[0]
+        at = np.minimum(np.searchsorted(h, probe), max(0, len(h) - 1))
+        hit = h[at] == probe if len(h) else np.zeros(len(probe), bool)
+        common = np.bincount(first[hit], minlength=n)
+        return pa.RecordBatch.from_arrays([
+            batch.column(0), batch.column(1), pa.array(common),
+            pa.array(size[0] + size[1] - common)], names=schema.names)
 
     measured = materialize(joined.mapInArrow(measure, schema), "distances")
     release(texts)
