@@ -206,6 +206,26 @@ def test_a_month_is_written_by_several_tasks(spark, small, monkeypatch):
             assert all(line[0] in '";' for line in lines[1:])
 
 
+@pytest.mark.parametrize("folders", [1, 3])
+def test_a_file_of_several_batches_has_one_head(spark, tmp_path, folders):
+    from workload.files import write_published
+
+    layout = Layout({"a": "id", "b": "text"})
+    df = spark.range(0, 25_000, 1, 1).withColumn("text", F.concat(F.lit("t"), "id"))
+    folder = None if folders == 1 else F.col("id") % folders
+    write_published(df, str(tmp_path / "out"), layout, folder=folder)
+    files = list((tmp_path / "out").rglob("*.csv"))
+    assert len(files) == folders
+    numbers = []
+    for file in files:
+        lines = file.read_text(encoding="utf-8").splitlines()
+        assert lines[0].startswith(BOM + "Atualizado em") and lines[1] == '"a";"b"'
+        numbers.append([int(line.split(";")[0].strip('"')) for line in lines[2:]])
+    assert all(n == sorted(n) for n in numbers)
+    assert sorted(sum(numbers, [])) == list(range(25_000))
+    assert read_delimited(spark, str(tmp_path / "out"), layout, provenance="file").count() == 25_000
+
+
 def test_names_with_folders(spark, tmp_path):
     (tmp_path / "2025").mkdir()
     write(tmp_path / "2025/a.csv", ["banner", "a;b", "1;2"])

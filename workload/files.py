@@ -42,8 +42,11 @@ def write_published(df: DataFrame, path: str, layout: Layout, tail: Column | Non
         for batch in batches:
             new = [f for f in batch.column(0).unique().to_pylist() if f not in seen]
             seen.update(new)
-            names = [n for n in new for _ in head]
-            yield _numbered(pa.array(names, pa.int64()), list(range(len(head))) * len(new), pa.array(head * len(new)))
+            if new:
+                names = [n for n in new for _ in head]
+                # Typed as the rows are, for all batches of a task must have one schema.
+                yield _numbered(pa.array(names, batch.column(0).type), list(range(len(head))) * len(new),
+                                pa.array(head * len(new), batch.column(1).type))
             yield _numbered(batch.column(0), range(number, number + len(batch)), batch.column(1))
             number += len(batch)
 
