@@ -32,7 +32,7 @@ by identifier once; after that only pairs, with what they compare, move.  New li
 components of the round before, so older links are not followed again.
 
 The order only decides how large regions are, never what is found.  It counts shingles
-that recur within a batch, over all documents; the most frequent (at most ``frequent``,
+that recur within a few million of a task's, over all documents; the most frequent (at most ``frequent``,
 as many powers of two of their count as fit) come last, and their regions are dealt over
 several keys for the first pivot.
 
@@ -55,11 +55,14 @@ from pyspark.sql import Window as W
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from pontualis.llm.components import components
-from pontualis.llm.tables import fresh
+from pontualis.llm.tables import fresh, small_batches
 from pontualis.llm.words import NOT_SPACE, find_words, flat, mix, pieces, shingles
 from pontualis.sources.scratch import fresh_path, materialize, release
 
-_RECURS = 3  # times in a batch from which a shingle is counted
+_BYTES = 1 << 18  # bytes of texts whose shingles are found at once
+_COUNTED = 1 << 22  # shingles among which those that recur are looked for
+_RECURS = 3  # times among these from which a shingle is counted
+_KNOWN = 10_000  # sets that a task knows again
 _REGION = 4096  # documents of a frequent shingle's region that share a key at first
 _PAIRS = 512  # pairs of texts that a task compares at once
 _PIVOTS = 32  # documents that are pivots of a region in the first round
@@ -70,7 +73,7 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray
     """(from, to, owners, hashes) of parts of a column: distinct shingles, sorted by owner
     and hash; owners count from the part's start."""
     data, offsets = flat(texts)
-    for low, high in pieces(offsets):
+    for low, high in pieces(offsets, _BYTES):
         found = find_words(data[offsets[low]:offsets[high]],
                            offsets[low:high + 1] - offsets[low], NOT_SPACE)
         owner, h = shingles(found, high - low, k)
@@ -113,8 +116,10 @@ def _scan(rows: DataFrame, k: int) -> DataFrame:
     schema = schema.add("sketch", ArrayType(LongType())).add("shingle", "long").add("df", "long")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, waiting, kind = [], 0, None
         for batch in batches:
-            sizes, firsts, seconds, marks, seen = [], [], [], [], []
+            sizes, firsts, seconds, marks = [], [], [], []
+            kind = batch.column(0).type
             for low, high, owner, h in shingle_sets(batch.column(1), k):
                 n = np.bincount(owner, minlength=high - low)
                 edge = np.concatenate([[0], np.cumsum(n)])
@@ -125,29 +130,37 @@ def _scan(rows: DataFrame, k: int) -> DataFrame:
                 sizes.append(n)
                 marks.append(sketches(n, owner, h))
                 seen.append(h)
+                waiting += len(h)
             if not sizes:
                 continue
-            # Sorted in place: of all shingles of a batch there is one copy.
-            every = np.concatenate(seen)
-            seen.clear()
-            every.sort()
-            again = np.flatnonzero(every[_RECURS - 1:] == every[:len(every) - _RECURS + 1])
-            values = np.unique(every[again])
-            counts = (np.searchsorted(every, values, "right") - np.searchsorted(every, values, "left"))
-            n, more = len(batch), len(values)
-            none = pa.nulls(n, pa.int64())
+            none = pa.nulls(len(batch), pa.int64())
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(np.concatenate(sizes)), _signed(np.concatenate(firsts)),
                 _signed(np.concatenate(seconds)), pa.concat_arrays(marks), none, none],
                 names=schema.names)
-            if more:
-                gap = pa.nulls(more, pa.int64())
-                yield pa.RecordBatch.from_arrays([
-                    pa.nulls(more, batch.column(0).type), gap, gap, gap,
-                    pa.nulls(more, pa.list_(pa.int64())), _signed(values), pa.array(counts)],
-                    names=schema.names)
+            if waiting >= _COUNTED:
+                yield from recurring(seen, kind)
+                waiting = 0
+        if waiting:
+            yield from recurring(seen, kind)
+
+    def recurring(seen: list[np.ndarray], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+        """Those of ``seen`` that recur, and how often; ``seen`` is empty then."""
+        # Sorted in place: of all shingles there is one copy.
+        every = np.concatenate(seen)
+        seen.clear()
+        every.sort()
+        again = np.flatnonzero(every[_RECURS - 1:] == every[:len(every) - _RECURS + 1])
+        values = np.unique(every[again])
+        counts = (np.searchsorted(every, values, "right") - np.searchsorted(every, values, "left"))
+        if more := len(values):
+            gap = pa.nulls(more, pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(more, kind), gap, gap, gap, pa.nulls(more, pa.list_(pa.int64())),
+                _signed(values), pa.array(counts)], names=schema.names)
 
-    return materialize(rows.mapInArrow(scan, schema), "shingle_scan")
+    with small_batches(rows.sparkSession):
+        return materialize(rows.mapInArrow(scan, schema), "shingle_scan")
 
 
 def _frequent(scanned: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,8 +193,10 @@ def _postings(rows: DataFrame, k: int, share: int, hashes, counts) -> DataFrame:
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, often = shared.value
+        done = set()
         for batch in batches:
-            done = set()
+            if len(done) >= _KNOWN:
+                done.clear()
             for low, high, owner, h in shingle_sets(batch.column(1), k):
                 n = np.bincount(owner, minlength=high - low)
                 edge = np.concatenate([[0], np.cumsum(n)])
@@ -194,7 +209,7 @@ def _postings(rows: DataFrame, k: int, share: int, hashes, counts) -> DataFrame:
                 order = np.lexsort((h, df, owner))
                 window = (100 - share) * n // 100 + 1
                 rank = np.arange(len(h)) - edge[:-1][owner]
-                # Of equal sets in a batch, which are linked anyway, the first stands for all.
+                # Of equal sets known here, which are linked anyway, the first stands for all.
                 ids = batch.column(0).slice(low, high - low)
                 stands = np.zeros(high - low, bool)
                 for i in np.flatnonzero(n * ids.is_valid().to_numpy(zero_copy_only=False)).tolist():
@@ -290,7 +305,8 @@ def _distances(pairs: DataFrame, rows: DataFrame, k: int) -> DataFrame:
             batch.column(0), batch.column(1), pa.array(common),
             pa.array(size[0] + size[1] - common)], names=schema.names)
 
-    measured = materialize(joined.mapInArrow(measure, schema), "distances")
+    with small_batches(rows.sparkSession):
+        measured = materialize(joined.mapInArrow(measure, schema), "distances")
     release(texts)
     return measured
 
@@ -331,10 +347,11 @@ def join(df: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
     by_region = W.partitionBy("region", "part").orderBy("id")
     alone = F.lag("id").over(by_region).isNull() & F.lead("id").over(by_region).isNull()
     placed = _postings(rows, k, share, *_frequent(scanned, frequent))
-    members = materialize(
-        placed.select("*", F.first("id").over(by_region).alias("pivot"),
-                      F.first("place").over(by_region).alias("pivot_place"), alone.alias("alone"))
-        .filter("part > 0 OR NOT alone").drop("alone"), "regions")
+    with small_batches(df.sparkSession):
+        members = materialize(
+            placed.select("*", F.first("id").over(by_region).alias("pivot"),
+                          F.first("place").over(by_region).alias("pivot_place"), alone.alias("alone"))
+            .filter("part > 0 OR NOT alone").drop("alone"), "regions")
 
     meet = _may_link(F.col("place"), F.col("pivot_place"), share) & (F.col("id") != F.col("pivot"))
     pairs = members.filter(meet).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()

@@ -164,12 +164,11 @@ class Model:
 
     def text_scores_and_sizes(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The same, and how many bytes the words of each text have, start marks included."""
-        data, offsets = flat(pc.utf8_lower(texts))
         out = np.zeros((len(texts), len(self.languages)))
         sizes = np.zeros(len(texts))
-        for low, high in pieces(offsets, _CHUNK):
-            part = data[offsets[low]:offsets[high]]
-            doc, code, words = unique_words(part, offsets[low:high + 1] - offsets[low])
+        for low, high in pieces(flat(texts)[1], _CHUNK):
+            # Lowered piece by piece, so that there is no second copy of a whole batch.
+            doc, code, words = unique_words(*flat(pc.utf8_lower(texts.slice(low, high - low))))
             scores = np.zeros((sum(len(x) for _, x in words), len(self.languages)))
             length = np.zeros(len(scores))
             for where, letters in words:

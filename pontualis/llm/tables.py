@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
+    """What is written inside goes to Python in batches of about ``size`` bytes.
+
+    A batch of ten thousand texts is as large as these; the JVM and Python hold it at once.
+    """
+    before = spark.conf.get(_BATCH_BYTES, None)
+    spark.conf.set(_BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_BYTES)
+        else:
+            spark.conf.set(_BATCH_BYTES, before)
+
+
 def fresh(columns: Iterable[str], name: str) -> str:
     """``name``, lengthened until no column has it, so that helpers never clash."""
     taken = {c.lower() for c in columns}

@@ -7,6 +7,7 @@ import pytest
 from pontualis.llm import components, jaccard
 from pontualis.llm.queries import QUERIES
 from pontualis.llm.tables import table
+from tests.plans import settings
 
 
 def shingles(text, k=5):
@@ -89,6 +90,31 @@ def test_recursion_is_exact(spark, seed, monkeypatch):
     assert len({c for _, _, c in got}) < len(docs)
 
 
+def test_batches_of_texts_are_small(spark, monkeypatch):
+    """Three thousand texts of four thousand bytes in one partition, every two of them alike."""
+    find = jaccard.shingle_sets
+
+    def bounded(texts, k):
+        assert texts.get_total_buffer_size() < 10 << 20
+        return find(texts, k)
+
+    monkeypatch.setattr(jaccard, "shingle_sets", bounded)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    words = "transform(sequence(0, 400), i -> concat('word', id div 2, '_', i))"
+    docs = spark.range(0, 3000, 1, 1).selectExpr(
+        "id AS doc_id", f"concat_ws(' ', array_append({words}, concat('end', id % 2))) AS text")
+    got = found(docs)
+    assert sorted(got) == [(i, 398, i // 2 * 2) for i in range(3000)]
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before
+
+
+def test_shingles_recur_across_batches(spark):
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="1"):
+        rows = spark.createDataFrame([(i, "a b c d e") for i in range(4)], "id long, text string").coalesce(1)
+        counted = jaccard._scan(rows, 5).filter("shingle IS NOT NULL").select("df").collect()
+    assert [r.df for r in counted] == [4]
+
+
 def test_components(spark):
     dice = random.Random(3)
     edges = [(dice.randrange(400), dice.randrange(400)) for _ in range(260)]
