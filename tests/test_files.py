@@ -103,6 +103,34 @@ def test_headers_are_found_without_reading_the_files(spark, tmp_path):
     assert {r.a: r["count"] for r in df.groupBy("a").count().collect()} == {"1": 200_000, "2": 50_000}
 
 
+def test_headers_are_found_where_files_come_in_blocks(spark, tmp_path, monkeypatch):
+    """A session may be unable to choose its splits: files in many blocks, and many small files in one task."""
+    held = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "10"}
+    conf, new_session = type(spark.conf), type(spark).newSession
+    put = conf.set
+
+    def hold(session):
+        for key, value in held.items():
+            put(session.conf, key, value)
+        return session
+
+    monkeypatch.setattr(type(spark), "newSession", lambda self: hold(new_session(self)))
+    monkeypatch.setattr(conf, "set", lambda self, key, value: None if key in held else put(self, key, value))
+    rows = [f"{i};{i * 2}" for i in range(3000)]
+    for i in range(12):
+        order = "a;b" if i % 4 else "b;a"
+        write(tmp_path / f"{i}.csv", ["banner", order, *(rows if i < 3 else rows[:2])])
+    # Its header begins in the third block.
+    write(tmp_path / "late.csv", ["banner" * 800, "a;b", *rows])
+    layout = Layout({"a": "a", "b": "b"})
+    groups = headers_of(spark, f"{tmp_path}/*.csv", layout)
+    assert [(g.header, g.skipped, g.files, len(g.named)) for g in groups] == [
+        (("a", "b"), 1, 10, 0), (("b", "a"), 1, 3, 3)]
+    df = read_delimited(spark, f"{tmp_path}/*.csv", layout, groups=groups)
+    swapped = sum(int(b) < int(a) for a, b in df.collect())
+    assert (df.count(), swapped) == (4 * 3000 + 9 * 2, 2999 + 2)
+
+
 def test_a_duplicated_unnamed_column_does_no_harm(spark, tmp_path):
     write(tmp_path / "1.csv", ["banner", "x;a;x", "1;2;3"])
     assert read_delimited(spark, str(tmp_path), Layout({"a": "a"})).collect() == [("2",)]
