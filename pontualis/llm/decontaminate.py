@@ -30,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pontualis.llm.tables import fresh
+from pontualis.llm.tables import fresh, small_batches
 from pontualis.llm.words import ALPHANUMERIC, find_words, flat, pieces
 from pontualis.sources.scratch import materialize
 
-_CHUNK = 4 << 20
+_COUNTED = 1 << 18  # bytes of texts whose words are counted at once
+_INDEXED = 1 << 19  # bytes of texts that are indexed at once
 POSTINGS = "n_words long, terms array<int>, positions array<int>"
 MATCHES = ("n_words long, n_hit long, items array<string>, near array<string>, "
            "spans array<struct<start:int,end:int>>")
@@ -118,7 +119,7 @@ def _frequencies(docs: DataFrame, text_column: str, terms: np.ndarray) -> np.nda
         total = np.zeros(len(known), np.int64)
         for batch in batches:
             data, offsets = flat(batch.column(0))
-            for low, high in pieces(offsets, _CHUNK):
+            for low, high in pieces(offsets, _COUNTED):
                 found = find_words(data[offsets[low]:offsets[high]],
                                    offsets[low:high + 1] - offsets[low], ALPHANUMERIC)
                 at = np.minimum(np.searchsorted(known, found.hash), len(known) - 1)
@@ -129,8 +130,9 @@ def _frequencies(docs: DataFrame, text_column: str, terms: np.ndarray) -> np.nda
 
     out = np.zeros(len(terms), np.int64)
     if len(terms):
-        got = (docs.select(text_column).mapInArrow(count, "term long, n long")
-               .groupBy("term").agg(F.sum("n").alias("n")).toPandas())
+        with small_batches(docs.sparkSession):
+            got = (docs.select(text_column).mapInArrow(count, "term long, n long")
+                   .groupBy("term").agg(F.sum("n").alias("n")).toPandas())
         out[got["term"]] = got["n"]
     return out
 
@@ -144,7 +146,7 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 def index_batch(queries: Queries, texts: pa.Array, slop: int) -> pa.Array:
     data, offsets = flat(texts)
     n_words, terms, positions = [], [], []
-    for low, high in pieces(offsets, _CHUNK):
+    for low, high in pieces(offsets, _INDEXED):
         n = high - low
         found = find_words(data[offsets[low]:offsets[high]],
                            offsets[low:high + 1] - offsets[low], ALPHANUMERIC)
@@ -296,9 +298,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "doc_id",
     found = []
     for queries in blocks(docs, benchmark, text_column=text_column, **parameters):
         index, search = functions(spark, queries, slop)
-        stored = materialize(docs.select(
-            F.col(id_column).alias("id"), F.xxhash64(text_column).alias("check"),
-            index(F.col(text_column)).alias("postings")), "postings")
+        with small_batches(spark):
+            stored = materialize(docs.select(
+                F.col(id_column).alias("id"), F.xxhash64(text_column).alias("check"),
+                index(F.col(text_column)).alias("postings")), "postings")
         found.append(stored.withColumn("match", search("postings"))
                      .select("id", "check", "match.*"))
     if len(found) == 1:

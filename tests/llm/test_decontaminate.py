@@ -81,3 +81,30 @@ def test_empty(spark, empty, odd):
     assert decontaminate.matches(empty, nothing).count() == 0
     assert {r.n_hit for r in decontaminate.matches(odd, nothing).collect()} == {0}
     assert decontaminate.clean(odd, nothing).count() == odd.count()
+
+
+def test_texts_are_taken_in_small_parts(spark, monkeypatch):
+    """Three thousand texts of nine thousand bytes in one partition."""
+    find, flatten = decontaminate.find_words, decontaminate.flat
+
+    def small(texts):
+        assert texts.get_total_buffer_size() < 10 << 20
+        return flatten(texts)
+
+    def bounded(data, offsets, inside):
+        assert len(data) <= 1 << 19
+        return find(data, offsets, inside)
+
+    item = " ".join(f"item{i}" for i in range(13))
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    words = "transform(sequence(1, 1000), i -> concat('word', i + id))"
+    docs = spark.range(0, 3000, 1, 1).selectExpr(
+        "id AS doc_id", f"concat_ws(' ', {words}, repeat(if(id % 3 = 0, '{item} ', ''), 10)) AS text")
+    monkeypatch.setattr(decontaminate, "find_words", bounded)
+    text = docs.select("text").toArrow().column(0).combine_chunks()
+    (queries,) = decontaminate.blocks(docs.limit(3), benchmark)
+    postings = decontaminate.index_batch(queries, text, 0)
+    assert [len(x) for x in postings.field(1).to_pylist()] == [130, 0, 0] * 1000
+    monkeypatch.setattr(decontaminate, "flat", small)
+    kept = decontaminate.clean(docs, benchmark)
+    assert kept.filter("doc_id % 3 = 0").count() == 0 and kept.count() == 2000
