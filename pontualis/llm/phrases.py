@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from pontualis.llm.tables import small_batches
 from pontualis.llm.words import LOWER, find_words, flat, mix, pieces
 from pontualis.sources.scratch import materialize
 
@@ -45,7 +46,10 @@ BORDER = np.isin(_BYTE, np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 INSIDE = ~(BORDER | (_BYTE == 0x20) | (_BYTE == 0x09))
 _EXACT = "decimal(38,0)"
 _RELATION = "doc long, at array<int>, phrase array<int>"
-_AT_ONCE = 1 << 20  # words, or positions of a relation, that are handled at once in a task
+_BYTES = 1 << 18  # bytes of texts whose words are found at once
+_AT_ONCE = 1 << 18  # positions of a relation that are handled at once in a task
+_COUNTED = 1 << 20  # pairs, and twice the words, that a task counts before it hands them on
+_HANDED_ON = 1 << 16  # counts that go back to Spark at once
 
 
 class HashClash(RuntimeError):
@@ -57,7 +61,7 @@ def _tokens(batch: pa.RecordBatch) -> Iterator[tuple]:
     with columns ``text`` and ``tongue``; ``start`` counts in ``bytes``."""
     data, offsets = flat(batch.column("text"))
     tongue = batch.column("tongue").to_numpy().view(np.uint64)
-    for low, high in pieces(offsets):
+    for low, high in pieces(offsets, _BYTES):
         part = data[offsets[low]:offsets[high]]
         edges = offsets[low:high + 1] - offsets[low]
         found = find_words(part, edges, INSIDE)
@@ -89,10 +93,11 @@ def _vocabulary(docs: DataFrame) -> DataFrame:
 
             base = 0
             for low, _, doc, _, key, found, part in _tokens(batch):
-                waiting.append((key, doc + low, found.start + base, found.length, LOWER[part].tobytes()))
+                waiting.append((key, (doc + low).astype(np.int32), found.start + base,
+                                found.length.astype(np.int32), LOWER[part].tobytes()))
                 base += len(part)
                 words += len(key)
-                if words >= _AT_ONCE // 2:
+                if words >= _COUNTED // 2:
                     yield flush()
                     waiting, words, base = [], 0, 0
             if words:
@@ -195,11 +200,26 @@ def _pair_occurrences(batch: pa.RecordBatch) -> Iterator[tuple]:
 
 def _pairs(relation: DataFrame) -> DataFrame:
     """``key, n``: how often each two phrases are adjacent; counted in each part of a task first."""
+    def counts(waiting: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Those of ``waiting``, which is empty then."""
+        every = np.concatenate(waiting)
+        waiting.clear()
+        key, n = np.unique(every, return_counts=True)
+        counted = pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+        for low in range(0, len(counted), _HANDED_ON):
+            yield counted.slice(low, _HANDED_ON)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, pairs = [], 0
         for batch in batches:
             for part in _slices(batch):
-                key, n = np.unique(_adjacent(part)[2], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+                waiting.append(_adjacent(part)[2])
+                pairs += len(waiting[-1])
+                if pairs >= _COUNTED:
+                    yield from counts(waiting)
+                    pairs = 0
+        if pairs:
+            yield from counts(waiting)
 
     counted = relation.mapInArrow(count, "key long, n long")
     return counted.groupBy("key").agg(F.sum("n").alias("n"))
@@ -214,7 +234,8 @@ def frequent_phrases(df: DataFrame, *, text_column: str = "text", lang_column: s
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lang = F.coalesce(F.col(lang_column).cast("string"), F.lit("und"))
     docs = df.select(F.col(text_column).alias("text"), lang.alias("lang"), F.xxhash64(lang).alias("tongue"))
-    words = materialize(_vocabulary(docs), "vocabulary")
+    with small_batches(spark):
+        words = materialize(_vocabulary(docs), "vocabulary")
     if not words.groupBy("key").count().filter("count > 1").isEmpty():
         raise HashClash("two words have the same hash")
     totals = materialize(words.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
@@ -222,13 +243,15 @@ def frequent_phrases(df: DataFrame, *, text_column: str = "text", lang_column: s
     level = numbered(words.filter(F.col("n") >= min_count)
                      .select("key", "lang", F.col("word").alias("phrase"), "n"), "words", partitions)
     numbers = docs.select("text", "tongue", F.monotonically_increasing_id().alias("doc"))
-    relation = materialize(_semi_join(numbers, _word_occurrences, level, broadcast_rows), "occurrences")
+    with small_batches(spark):
+        relation = materialize(_semi_join(numbers, _word_occurrences, level, broadcast_rows), "occurrences")
     found = [level.select("lang", "phrase", F.lit(1).alias("words"), "n")]
     for k in range(2, longest + 1):
-        groups = numbered(_pairs(relation).filter(F.col("n") >= min_count), f"groups_{k}", partitions)
-        if k < longest:
-            relation = materialize(_semi_join(relation, _pair_occurrences, groups, broadcast_rows),
-                                   "occurrences")
+        with small_batches(spark):
+            groups = numbered(_pairs(relation).filter(F.col("n") >= min_count), f"groups_{k}", partitions)
+            if k < longest:
+                relation = materialize(_semi_join(relation, _pair_occurrences, groups, broadcast_rows),
+                                       "occurrences")
         left = level.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("begin"))
         right = level.select(F.col("id").alias("b"),
                              F.substring_index("phrase", " ", -1).alias("end"))

@@ -96,3 +96,27 @@ def test_a_clash_is_refused(spark, monkeypatch):
         [(1, "en", "a", 5), (1, "en", "b", 5)], "key long, lang string, word string, n long"))
     with pytest.raises(phrases.HashClash):
         phrases.collocations(spark.createDataFrame([("a b", "en")], "text string, lang string"))
+
+
+def test_texts_and_relations_are_taken_in_small_parts(spark, monkeypatch):
+    """Three thousand texts of seven thousand bytes in one partition."""
+    tokens, adjacent = phrases._tokens, phrases._adjacent
+
+    def small(batch):
+        assert batch.get_total_buffer_size() < 10 << 20
+        for found in tokens(batch):
+            assert len(found[-1]) <= 1 << 18
+            yield found
+
+    def few(batch):
+        assert len(batch.column("at").flatten()) <= 1 << 18
+        return adjacent(batch)
+
+    monkeypatch.setattr(phrases, "_tokens", small)
+    monkeypatch.setattr(phrases, "_adjacent", few)
+    words = "transform(sequence(0, 999), i -> concat('word', (i + id) % 40))"
+    docs = spark.range(0, 3000, 1, 1).selectExpr(f"array_join({words}, ' ') AS text", "'en' AS lang")
+    found, totals = phrases.frequent_phrases(docs, longest=2)
+    assert totals.collect() == [("en", 3_000_000)]
+    assert found.groupBy("words").agg(F.count("*"), F.sum("n")).sort("words").collect() == [
+        (1, 40, 3_000_000), (2, 40, 2_997_000)]
