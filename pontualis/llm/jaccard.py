@@ -110,6 +110,14 @@ def differing_bits(a: Column, b: Column) -> Column:
     return F.aggregate(bits, F.lit(0).cast("long"), lambda total, x: total + x)
 
 
+def repeated(every: np.ndarray, times: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values that a sorted array holds ``times`` or more often, and how often."""
+    first = every[times - 1:] == every[:max(0, len(every) - times + 1)]
+    first[1:] &= every[1:len(first)] != every[:max(0, len(first) - 1)]
+    values = every[:len(first)][first]
+    return values, np.searchsorted(every, values, "right") - np.searchsorted(every, values, "left")
+
+
 def _scan(rows: DataFrame, k: int) -> DataFrame:
     """``id, n, d1, d2, sketch`` of every row, and rows ``shingle, df`` of shingles that recur."""
     schema = StructType([rows.schema["id"]]).add("n", "long").add("d1", "long").add("d2", "long")
@@ -146,13 +154,11 @@ def _scan(rows: DataFrame, k: int) -> DataFrame:
 
     def recurring(seen: list[np.ndarray], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
         """Those of ``seen`` that recur, and how often; ``seen`` is empty then."""
-        # Sorted in place: of all shingles there is one copy.
+        # Sorted in place: of all shingles there is one copy, even if all of them recur.
         every = np.concatenate(seen)
         seen.clear()
         every.sort()
-        again = np.flatnonzero(every[_RECURS - 1:] == every[:len(every) - _RECURS + 1])
-        values = np.unique(every[again])
-        counts = (np.searchsorted(every, values, "right") - np.searchsorted(every, values, "left"))
+        values, counts = repeated(every, _RECURS)
         if more := len(values):
             gap = pa.nulls(more, pa.int64())
             yield pa.RecordBatch.from_arrays([

@@ -36,7 +36,7 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 LONGEST = 64
 _START = 1  # the byte that stands for a word's start
 _R = np.uint64(0x9E3779B97F4A7C15)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18  # bytes of texts whose words are found and scored at once
 _BYTES = 1 << 20  # bytes of words of one length that are handled at once
 _AT_ONCE = 1 << 14  # positions of a long word whose pieces are looked up at once
 

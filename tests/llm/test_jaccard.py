@@ -1,7 +1,9 @@
 import collections
 import random
 import re
+import tracemalloc
 
+import numpy as np
 import pytest
 
 from pontualis.llm import components, jaccard
@@ -115,6 +117,26 @@ def test_shingles_recur_across_batches(spark):
     assert [r.df for r in counted] == [4]
 
 
+@pytest.mark.parametrize("times", [1, 2, 3])
+def test_repeated_values(times):
+    dice = random.Random(5)
+    for n in [*range(8), *range(8), 500]:
+        values = sorted(dice.randrange(1 + n // 3) for _ in range(n))
+        counts = sorted((v, c) for v, c in collections.Counter(values).items() if c >= times)
+        got = jaccard.repeated(np.array(values, np.uint64), times)
+        assert list(zip(*(x.tolist() for x in got), strict=True)) == counts
+
+
+def test_repeated_values_are_found_without_copies():
+    every = np.repeat(np.arange(1 << 17, dtype=np.uint64), 8)
+    tracemalloc.start()
+    values, counts = jaccard.repeated(every, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(values) == 1 << 17 and set(counts.tolist()) == {8}
+    assert peak < every.nbytes
+
+
 def test_components(spark):
     dice = random.Random(3)
     edges = [(dice.randrange(400), dice.randrange(400)) for _ in range(260)]

@@ -101,6 +101,22 @@ def test_long_words_and_no_words(toy):
     assert not got[1].any() and not got[2].any()
 
 
+def test_texts_are_scored_in_small_parts(toy, monkeypatch):
+    _, model = toy
+    find = language.find_words
+
+    def bounded(data, offsets, inside):
+        assert len(data) <= 1 << 18
+        return find(data, offsets, inside)
+
+    texts = [" ".join("abc"[i % 3] * (1 + j % 4) for j in range(3000)) for i in range(120)]
+    alone = [model.text_scores(pa.array([t]))[0] for t in texts[:3]]
+    monkeypatch.setattr(language, "find_words", bounded)
+    got = model.text_scores(pa.array(texts))
+    assert sum(map(len, texts)) > 1 << 20
+    assert all((got[i] == alone[i % 3]).all() for i in range(len(texts)))
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     lang = {r.doc_id: r.lang for r in table(spark, folder, "documents").collect()}
